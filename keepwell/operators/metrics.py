@@ -3,10 +3,14 @@ class weights and the sampled silhouette."""
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keepwell.operators.ordering import running_totals
+from keepwell.session import shuffle_partitions
 
 
 def _ratio(top: Column, bottom: Column) -> Column:
@@ -92,29 +96,28 @@ def silhouette(points: DataFrame, features: list[str], cluster: str = "cluster")
     row as one array. Each row folds that array into per-cluster distance
     sums; no pair of rows is ever emitted.
     """
-    packed = points.select(
-        F.col(cluster).cast("int").alias("c"),
-        F.array(*[F.col(f).cast("double") for f in features]).alias("x"))
-    sample = packed.agg(F.sort_array(F.collect_list(F.struct("c", "x")))).scalar()
-    row = packed.withColumn("sample", sample)
-    row = row.withColumn("near", F.transform("sample", lambda other: F.struct(
-        other["c"].alias("c"),
-        F.sqrt(F.aggregate(
-            F.zip_with(other["x"], F.col("x"), lambda a, b: (a - b) * (a - b)),
-            F.lit(0.0), lambda s, v: s + v)).alias("d"))))
-    clusters = F.array_distinct(F.transform("near", lambda p: p["c"]))
-    row = row.withColumn("per_cluster", F.transform(clusters, lambda c: F.aggregate(
-        F.filter("near", lambda p: p["c"] == c),
-        F.struct(c.alias("c"), F.lit(0.0).alias("d"), F.lit(0).alias("n")),
-        lambda s, p: F.struct(s["c"].alias("c"), (s["d"] + p["d"]).alias("d"),
-                              (s["n"] + 1).alias("n")))))
-    own = F.element_at(F.filter("per_cluster", lambda p: p["c"] == F.col("c")), 1)
-    others = F.transform(F.filter("per_cluster", lambda p: p["c"] != F.col("c")),
-                         lambda p: p["d"] / p["n"])
+    xs = [F.col(f).cast("double").alias(f"x{i}") for i, f in enumerate(features)]
+    packed = points.select(F.col(cluster).cast("int").alias("c"), *xs)
+    names = [f"x{i}" for i in range(len(features))]
+    members = packed.groupBy("c").agg(
+        F.sort_array(F.collect_list(F.struct(*names))).alias("points"))
+    everyone = members.agg(F.sort_array(F.collect_list(F.struct("c", "points")))).scalar()
+
+    def distance(p):
+        squares = [(F.col(n) - p[n]) * (F.col(n) - p[n]) for n in names]
+        return F.sqrt(reduce(add, squares))
+
+    row = packed.repartition(shuffle_partitions(points.sparkSession)).withColumn("all", everyone)
+    row = row.withColumn("far", F.transform("all", lambda g: F.struct(
+        g["c"].alias("c"), F.size(g["points"]).alias("n"),
+        F.aggregate(g["points"], F.lit(0.0), lambda s, p: s + distance(p)).alias("d"))))
+    own = F.element_at(F.filter("far", lambda g: g["c"] == F.col("c")), 1)
+    others = F.transform(F.filter("far", lambda g: g["c"] != F.col("c")),
+                         lambda g: g["d"] / g["n"])
     row = row.select(
         own["n"].alias("n"),
         F.try_divide(own["d"], (own["n"] - 1).cast("double")).alias("a"),
         F.array_min(others).alias("b"))
     value = F.when(F.col("n") > 1,
-                   F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b"))).otherwise(0.0)
+                   F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")))
     return row.agg(F.avg(F.coalesce(value, F.lit(0.0))).alias("silhouette"))

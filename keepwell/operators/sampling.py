@@ -2,13 +2,19 @@
 
 A row's place in the draw is md5(seed|id), the same on any engine and for any
 partitioning. Finding the n-th smallest hash does not sort the table: hashes
-are counted by their first four hex digits (at most 65,536 rows per stratum),
-and only the one bucket the cut falls into, about 1/65,536 of the rows, is
-ranked. Every row then decides alone by comparing its hash with the cut.
+are counted by their first four hex digits (at most 65,536 counters per class,
+summed on the map side), and only the one bucket the cut falls into, about
+1/65,536 of the rows, is ranked. The cut then becomes a literal and every row
+decides alone: the split itself is a projection without join or shuffle.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,79 +27,66 @@ def draw_hash(id_column: str, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}|"), F.col(id_column).cast("string")).cast("binary"))
 
 
-def _counts(hashed: DataFrame) -> DataFrame:
-    return (
-        hashed.groupBy("_stratum", F.substring("_hash", 1, _PREFIX).alias("_bucket"))
-        .agg(F.count("*").alias("_n"))
+def _cuts(hashed: DataFrame, take: Callable[[dict], dict]) -> dict:
+    """Per class the hash of its last drawn row. ``take`` turns class sizes
+    into the number of rows to draw; classes that draw none are left out."""
+    prefix = F.substring("_hash", 1, _PREFIX)
+    counts = (hashed.groupBy("_class", prefix.alias("bucket"))
+              .agg(F.count("*").alias("n")).toPandas().sort_values("bucket"))
+    sizes = {c: int(n) for c, n in counts.groupby("_class")["n"].sum().items()}
+    in_cut_bucket, is_cut = [], []
+    for cls, wanted in take(sizes).items():
+        buckets = counts[counts["_class"] == cls]
+        upto = buckets["n"].cumsum()
+        if wanted:
+            i = int((upto < wanted).sum())
+            nth = wanted - int(upto.iloc[i] - buckets["n"].iloc[i])
+            same = F.col("_class") == F.lit(cls)
+            in_cut_bucket.append(same & (prefix == buckets["bucket"].iloc[i]))
+            is_cut.append(same & (F.col("_place") == nth))
+    if not is_cut:
+        return {}
+    place = Window.partitionBy("_class").orderBy("_hash")
+    rows = (
+        hashed.where(reduce(or_, in_cut_bucket))
+        .withColumn("_place", F.row_number().over(place))
+        .where(reduce(or_, is_cut)).collect()
     )
+    return {r["_class"]: r["_hash"] for r in rows}
 
 
-def _cut_hash(hashed: DataFrame, counts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(stratum, cut): the hash of the ``_take``-th row of each stratum."""
-    upto = Window.partitionBy("_stratum").orderBy("_bucket")
-    cut_bucket = (
-        counts.withColumn("_upto", F.sum("_n").over(upto))
-        .join(F.broadcast(wanted), "_stratum")
-        .where((F.col("_upto") >= F.col("_take")) & (F.col("_upto") - F.col("_n") < F.col("_take")))
-        .select("_stratum", "_bucket", (F.col("_take") - F.col("_upto") + F.col("_n")).alias("_nth"))
-    )
-    place = Window.partitionBy("_stratum").orderBy("_hash")
-    return (
-        hashed.withColumn("_bucket", F.substring("_hash", 1, _PREFIX))
-        .join(F.broadcast(cut_bucket), ["_stratum", "_bucket"])
-        .withColumn("_place", F.row_number().over(place))
-        .where(F.col("_place") == F.col("_nth"))
-        .select("_stratum", F.col("_hash").alias("_cut"))
-    )
+def _drawn(df: DataFrame, cls: Column, id_column: str, seed: int, take) -> Column:
+    draw = draw_hash(id_column, seed)
+    cuts = _cuts(df.select(cls.alias("_class"), draw.alias("_hash")), take)
+    out = F.lit(False)
+    for value, cut in cuts.items():
+        out = F.when(cls == F.lit(value), draw <= cut).otherwise(out)
+    return out
 
 
 def fixed_sample(df: DataFrame, size: int, id_column: str = C.ID, seed: int = C.SEED) -> DataFrame:
     """``size`` rows without replacement (all rows if there are fewer)."""
-    tagged = df.withColumns({"_hash": draw_hash(id_column, seed), "_stratum": F.lit(0)})
-    hashed = tagged.select("_stratum", "_hash")
-    counts = _counts(hashed)
-    wanted = counts.groupBy("_stratum").agg(
-        F.least(F.lit(size).cast("bigint"), F.sum("_n")).alias("_take"))
-    cut = _cut_hash(hashed, counts, wanted)
-    return (
-        tagged.join(F.broadcast(cut), "_stratum").where(F.col("_hash") <= F.col("_cut"))
-        .drop("_hash", "_stratum", "_cut")
-    )
+    def take(sizes):
+        return {c: min(size, n) for c, n in sizes.items()}
+    return df.where(_drawn(df, F.lit(0), id_column, seed, take))
 
 
-def _allotment(counts: DataFrame, test_share: float) -> DataFrame:
-    """Test rows per stratum: ceil(share * n) in all, dealt out in proportion
-    with the largest remainders rounded up. A table of one row per class."""
-    per_stratum = counts.groupBy("_stratum").agg(F.sum("_n").cast("decimal(19,0)").alias("_m"))
-    everything = Window.partitionBy()
-    sized = per_stratum.withColumn("_all", F.sum("_m").over(everything).cast("decimal(19,0)"))
-    sized = sized.withColumn(
-        "_test", F.ceil(F.lit(test_share) * F.col("_all").cast("double")).cast("decimal(19,0)"))
-    exact = F.col("_test") * F.col("_m")
-    sized = sized.withColumns({
-        "_base": F.expr("cast((_test * _m) div _all AS bigint)"),
-        "_rest": exact % F.col("_all"),
-    })
-    by_rest = Window.orderBy(F.desc("_rest"), F.asc("_stratum"))
-    spare = F.col("_test") - F.sum("_base").over(everything)
-    return sized.select(
-        "_stratum",
-        (F.col("_base") + F.when(F.row_number().over(by_rest) <= spare, 1).otherwise(0))
-        .cast("bigint").alias("_take"))
+def test_allotment(sizes: dict, test_share: float) -> dict:
+    """Test rows per class: ceil(share * n) in all, dealt out in proportion,
+    largest remainder first."""
+    total = sum(sizes.values())
+    n_test = math.ceil(test_share * total)
+    out = {c: n_test * n // total for c, n in sizes.items()}
+    by_rest = sorted(sizes, key=lambda c: (-(n_test * sizes[c] % total), c))
+    for c in by_rest[: n_test - sum(out.values())]:
+        out[c] += 1
+    return out
 
 
 def exact_split(df: DataFrame, test_share: float = C.TEST_SHARE, strata: str | None = None,
                 id_column: str = C.ID, seed: int = C.SEED) -> DataFrame:
     """Adds ``is_test``. ``strata`` names a class column with few values; each
     class is cut separately, so class shares stay equal to a row."""
-    stratum = F.col(strata) if strata else F.lit(0)
-    tagged = df.withColumns({"_hash": draw_hash(id_column, seed), "_stratum": stratum})
-    hashed = tagged.select("_stratum", "_hash")
-    counts = _counts(hashed)
-    cut = _cut_hash(hashed, counts, _allotment(counts, test_share))
-    # A class whose share rounds to no test row has no cut and stays in train.
-    return (
-        tagged.join(F.broadcast(cut), "_stratum", "left")
-        .withColumn("is_test", F.coalesce(F.col("_hash") <= F.col("_cut"), F.lit(False)))
-        .drop("_hash", "_stratum", "_cut")
-    )
+    cls = F.col(strata) if strata else F.lit(0)
+    drawn = _drawn(df, cls, id_column, seed, lambda sizes: test_allotment(sizes, test_share))
+    return df.withColumn("is_test", drawn)
