@@ -128,7 +128,7 @@ def logistic_pipeline(inputs, n: int) -> Pipeline:
                        withMean=True, withStd=True),
         LogisticRegression(
             featuresCol="churn_features", labelCol="label", weightCol="weight",
-            probabilityCol="churn_probability", rawPredictionCol="churn_margin",
+            probabilityCol="churn_class_shares", rawPredictionCol="churn_margin",
             predictionCol="prediction", regParam=(n - 1) / n / n, elasticNetParam=0.0,
             standardization=False, maxIter=100),
     ])
@@ -139,7 +139,7 @@ def forest_pipeline(inputs, settings: ForestSettings) -> Pipeline:
         assembler(inputs, "churn_features"),
         RandomForestClassifier(
             featuresCol="churn_features", labelCol="label", weightCol="weight",
-            probabilityCol="churn_probability", rawPredictionCol="churn_margin",
+            probabilityCol="churn_class_shares", rawPredictionCol="churn_margin",
             predictionCol="prediction", numTrees=settings.trees, maxDepth=settings.depth,
             maxBins=settings.bins, featureSubsetStrategy="sqrt", seed=C.SEED),
     ])
@@ -177,9 +177,9 @@ def fit_value_model(train: DataFrame, inputs=C.VALUE_PREDICTORS,
 def churn_scores(model: FittedModel, df: DataFrame) -> DataFrame:
     """Adds the churn probability and the 0/1 prediction."""
     out = model.pipeline.transform(df)
-    vectors = [c for c in ("churn_raw", "churn_features", "churn_margin", "churn_probability")
+    vectors = [c for c in ("churn_raw", "churn_features", "churn_margin", "churn_class_shares")
                if c in out.columns]
-    return out.withColumn(C.PROBABILITY, vector_to_array("churn_probability")[1]).drop(*vectors)
+    return out.withColumn(C.PROBABILITY, vector_to_array("churn_class_shares")[1]).drop(*vectors)
 
 
 def value_scores(model: FittedModel, df: DataFrame) -> DataFrame:
