@@ -8,6 +8,7 @@ same forest on every run.
 from __future__ import annotations
 
 import json
+import math
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -90,10 +91,21 @@ def require_finite(df: DataFrame, columns) -> None:
         raise AccountTableError(f"not finite: {[r['column'] for r in broken]}")
 
 
+# Rows one task handles: forests do much work per row, k-means very little.
+FOREST_ROWS_PER_TASK = 2_000
+KMEANS_ROWS_PER_TASK = 100_000
+MAX_ROWS_PER_PARTITION = 500_000
+
+
 @contextmanager
-def fixed_layout(df: DataFrame):
-    """Cached rows in the layout every fit shares."""
-    parts = shuffle_partitions(df.sparkSession)
+def fixed_layout(df: DataFrame, rows_per_task: int = FOREST_ROWS_PER_TASK):
+    """Cached rows in the layout every fit shares. The number of partitions
+    follows the row count: few for a small base, where task overhead would
+    dominate an iterative fit, and as many as a partition size of half a
+    million rows asks for on a large one."""
+    n = df.count()
+    parts = max(1, min(shuffle_partitions(df.sparkSession), math.ceil(n / rows_per_task)),
+                math.ceil(n / MAX_ROWS_PER_PARTITION))
     rows = df.repartition(parts, C.ID).sortWithinPartitions(C.ID).persist(
         StorageLevel.MEMORY_AND_DISK)
     try:
@@ -200,7 +212,7 @@ def score_base(features: DataFrame, churn: FittedModel, value: FittedModel,
     return scored.select(C.ID, C.PROBABILITY, C.VALUE)
 
 
-def test_predictions(models: dict[str, FittedModel], test: DataFrame) -> DataFrame:
+def held_out_predictions(models: dict[str, FittedModel], test: DataFrame) -> DataFrame:
     """Predictions of all models on the same rows, stacked."""
     parts = [
         churn_scores(m, test).select(

@@ -3,7 +3,7 @@
 An unpartitioned window pulls the table into one task, and a window over the
 sort key puts a hot key into one. Here the rows are range-partitioned on the
 full sort key (which ends in a unique column, so no range can be hot), sorted
-in place and stored through a reliable checkpoint together with the number of
+in place and stored in the shared checkpoint folder together with the number of
 their range. From then on that number is data, so the per-range totals and the
 rows they are added to always agree, also after a lost executor.
 """
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from keepwell.session import checkpoint_dir, shuffle_partitions
+from keepwell.session import materialise, shuffle_partitions
 
 # monotonically_increasing_id numbers the rows of a partition in its low bits.
 _POSITION_BITS = 33
@@ -21,19 +21,15 @@ _POSITION_BITS = 33
 
 def ordered_layout(df: DataFrame, keys: list[Column]) -> DataFrame:
     """``df`` plus ``_range`` and ``_position`` (0-based inside the range)."""
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    row_no = F.monotonically_increasing_id()
-    return (
-        df.repartitionByRange(shuffle_partitions(spark), *keys)
+    return materialise(
+        df.repartitionByRange(shuffle_partitions(df.sparkSession), *keys)
         .sortWithinPartitions(*keys)
-        .withColumn("_row", row_no)
+        .withColumn("_row", F.monotonically_increasing_id())
         .withColumns({
             "_range": F.shiftright("_row", _POSITION_BITS).cast("int"),
             "_position": F.col("_row").bitwiseAND((1 << _POSITION_BITS) - 1),
         })
         .drop("_row")
-        .checkpoint()
     )
 
 

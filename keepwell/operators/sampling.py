@@ -71,7 +71,7 @@ def fixed_sample(df: DataFrame, size: int, id_column: str = C.ID, seed: int = C.
     return df.where(_drawn(df, F.lit(0), id_column, seed, take))
 
 
-def test_allotment(sizes: dict, test_share: float) -> dict:
+def deal_test_rows(sizes: dict, test_share: float) -> dict:
     """Test rows per class: ceil(share * n) in all, dealt out in proportion,
     largest remainder first."""
     total = sum(sizes.values())
@@ -88,5 +88,5 @@ def exact_split(df: DataFrame, test_share: float = C.TEST_SHARE, strata: str | N
     """Adds ``is_test``. ``strata`` names a class column with few values; each
     class is cut separately, so class shares stay equal to a row."""
     cls = F.col(strata) if strata else F.lit(0)
-    drawn = _drawn(df, cls, id_column, seed, lambda sizes: test_allotment(sizes, test_share))
+    drawn = _drawn(df, cls, id_column, seed, lambda sizes: deal_test_rows(sizes, test_share))
     return df.withColumn("is_test", drawn)

@@ -8,21 +8,26 @@ from multiprocessing.pool import ThreadPool
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import StandardScaler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from keepwell import contract as C
 from keepwell.functions import rules
 from keepwell.operators import metrics as M
-from keepwell.operators.models import FittedModel, assembler, fixed_layout
+from keepwell.operators.models import (
+    KMEANS_ROWS_PER_TASK, FittedModel, assembler, fixed_layout,
+)
 from keepwell.operators.quantiles import exact_quantiles
 from keepwell.operators.sampling import fixed_sample
 from keepwell.operators.validate import AccountTableError
 
 RESTARTS = 10
 # Fits that run at once, as in Spark's own tuning classes.
-PARALLEL_FITS = 8
+PARALLEL_FITS = 16
 THIRDS = (1 / 3, 2 / 3)
+EVALUATION_SCHEMA = "k int, inertia double, silhouette double"
+SCALED = [f"{c}_scaled" for c in C.SEGMENT_FEATURES]
 
 
 def scaler_pipeline(inputs=C.SEGMENT_FEATURES) -> Pipeline:
@@ -55,28 +60,30 @@ def evaluate_k(features: DataFrame, ks=C.K_RANGE, restarts: int = RESTARTS) -> D
     """(k, inertia, silhouette). Inertia covers all rows; the silhouette the
     fixed sample of at most 2,000, the same accounts for every k."""
     spark = features.sparkSession
-    with fixed_layout(features.select(C.ID, *C.SEGMENT_FEATURES)) as rows:
+    with fixed_layout(features.select(C.ID, *C.SEGMENT_FEATURES), KMEANS_ROWS_PER_TASK) as rows:
         n = rows.count()
         vectors = scaler_pipeline().fit(rows).transform(rows).persist()
         fits = best_fits(vectors, ks, restarts)
         sample = fixed_sample(vectors, C.SILHOUETTE_SAMPLE).persist()
-        out = []
-        for k, (cost, model) in sorted(fits.items()):
+
+        def row(item):
+            k, (cost, model) = item
             points = _unpacked(model.transform(sample))
-            score = M.silhouette(points, list(C.SEGMENT_FEATURES), "raw_cluster").first()[0]
+            score = M.silhouette(points, SCALED, "raw_cluster").first()[0]
             # The scaler divides by the n-1 deviation; inertia is reported in
             # units of the population deviation.
-            out.append((k, float(cost) * n / (n - 1), float(score)))
+            return k, float(cost) * n / (n - 1), float(score)
+
+        with ThreadPool(min(PARALLEL_FITS, len(fits))) as pool:
+            out = pool.map(row, sorted(fits.items()))
         sample.unpersist()
         vectors.unpersist()
-    return spark.createDataFrame(out, "k int, inertia double, silhouette double")
+    return spark.createDataFrame(out, EVALUATION_SCHEMA)
 
 
 def _unpacked(clustered: DataFrame) -> DataFrame:
-    from pyspark.ml.functions import vector_to_array
     values = vector_to_array("segment_features")
-    return clustered.select(
-        "raw_cluster", *[values[i].alias(c) for i, c in enumerate(C.SEGMENT_FEATURES)])
+    return clustered.select("raw_cluster", *[values[i].alias(c) for i, c in enumerate(SCALED)])
 
 
 def best_k(evaluation: DataFrame) -> DataFrame:
@@ -157,7 +164,7 @@ class SegmentModel:
 
 def fit_segments(features: DataFrame, k: int = C.SEGMENT_COUNT,
                  restarts: int = RESTARTS) -> SegmentModel:
-    with fixed_layout(features.select(C.ID, *C.SEGMENT_FEATURES)) as rows:
+    with fixed_layout(features.select(C.ID, *C.SEGMENT_FEATURES), KMEANS_ROWS_PER_TASK) as rows:
         scaler = scaler_pipeline().fit(rows)
         vectors = scaler.transform(rows).persist()
         _, kmeans = best_fits(vectors, [k], restarts)[k]

@@ -53,7 +53,7 @@ def _unknown(col: Column, vocabulary) -> Column:
 
 
 def _row_checks(df: DataFrame) -> list[tuple[int, str, str, Column]]:
-    """(position, check, column, condition) of everything countable per row."""
+    """(position, check, column, condition) of everything seen in a single row."""
     types, present = dict(df.dtypes), set(df.columns)
     checks = []
     for c in C.NUMERIC:
@@ -77,9 +77,11 @@ def _row_checks(df: DataFrame) -> list[tuple[int, str, str, Column]]:
     return checks
 
 
-def _long(df: DataFrame, checks) -> DataFrame:
-    """Count every condition in one aggregation, then one output row each."""
-    counted = df.agg(*[F.count_if(cond).alias(f"n{i}") for i, (*_, cond) in enumerate(checks)])
+def _long(df: DataFrame, checks, totals=()) -> DataFrame:
+    """Count every condition in one aggregation, then one output row each;
+    ``totals`` are further entries that bring their own aggregate."""
+    checks = [(*head, F.count_if(cond)) for *head, cond in checks] + list(totals)
+    counted = df.agg(*[count.alias(f"n{i}") for i, (*_, count) in enumerate(checks)])
     rows = [F.struct(F.lit(p).alias("position"), F.lit(name).alias("check"),
                      F.lit(c).alias("column"), F.col(f"n{i}").alias("violations"))
             for i, (p, name, c, _) in enumerate(checks)]
@@ -93,12 +95,8 @@ def validation_report(df: DataFrame, expected_rows: int | None = None) -> DataFr
         [(2, "missing_column", c, 1) for c in missing_columns(df)]
         + [(3, "unexpected_column", c, 1) for c in unexpected_columns(df)]
     )
-    rows = _long(df, _row_checks(df))
-    n = F.count("*")
-    off = F.abs(n - expected_rows) if expected_rows is not None else F.lit(0).cast("bigint")
-    rows = rows.unionByName(df.agg(n.alias("n"), off.alias("violations")).select(
-        F.lit(1).alias("position"), F.lit("row_count").alias("check"),
-        F.lit("*").alias("column"), "violations"))
+    wanted = F.lit(expected_rows) if expected_rows is not None else F.count("*")
+    rows = _long(df, _row_checks(df), [(1, "row_count", "*", F.abs(F.count("*") - wanted))])
     if C.ID in df.columns:
         rows = rows.unionByName(duplicate_count(df).select(
             F.lit(4).alias("position"), F.lit("duplicate_id").alias("check"),

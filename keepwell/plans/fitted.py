@@ -21,7 +21,7 @@ from keepwell.operators import segments as SG
 from keepwell.operators.prepare import build_features
 from keepwell.operators.sampling import fixed_sample
 from keepwell.operators.score import Bundle, score_accounts
-from keepwell.session import checkpoint_dir
+from keepwell.session import checkpoint_dir, materialise
 from keepwell.sources.star_schema import accounts
 
 # The regressor looks at all features in every split, so the queries use fewer
@@ -54,6 +54,12 @@ def _segments(app: str, sf: str):
     return SG.fit_segments(_features(SparkSession.active(), sf))
 
 
+@lru_cache(maxsize=16)
+def _k_rows(app: str, sf: str):
+    """The sweep's seven result rows."""
+    return [tuple(r) for r in SG.evaluate_k(_features(SparkSession.active(), sf)).collect()]
+
+
 @lru_cache(maxsize=16)
 def _deployed(app: str, sf: str) -> str:
     return ML.best_model(comparison(SparkSession.active(), sf)).first()["model"]
@@ -79,11 +85,14 @@ def segments(spark, sf) -> SG.SegmentModel:
     return _segments(_key(spark), sf)
 
 
+def k_evaluation(spark, sf) -> DataFrame:
+    return spark.createDataFrame(_k_rows(_key(spark), sf), SG.EVALUATION_SCHEMA)
+
+
 def comparison(spark, sf) -> DataFrame:
     """Metrics of both classifiers on the held-out accounts, rounded to 4."""
-    checkpoint_dir(spark)
     _, test = churn_split(spark, sf)
-    predictions = ML.test_predictions(churn(spark, sf), test).checkpoint()
+    predictions = materialise(ML.held_out_predictions(churn(spark, sf), test))
     compared = ML.compare_models(predictions)
     return compared.select("model", *[
         F.round(c, 4).alias(c) for c in compared.columns if c != "model"])
@@ -109,8 +118,7 @@ def scores(spark, sf) -> DataFrame:
 
 def score_new(spark, sf) -> DataFrame:
     """All accounts sent through the scoring function against stored medians."""
-    checkpoint_dir(spark)
-    base = scores(spark, sf).checkpoint()
+    base = materialise(scores(spark, sf))
     names = {r["cluster"]: r["segment"] for r in
              profiles(spark, sf).select("cluster", "segment").collect()}
     bundle = Bundle(churn(spark, sf)[_deployed(_key(spark), sf)], value(spark, sf),

@@ -48,7 +48,7 @@ def churn_stage(spark: SparkSession, root: str,
     features = T.read_table(spark, root, "features")
     train, test = ML.split_training_set(ML.churn_training_set(features), "label")
     models = ML.fit_churn_models(train, settings=settings)
-    predictions = T.write_table(ML.test_predictions(models, test), root, "churn_test_predictions")
+    predictions = T.write_table(ML.held_out_predictions(models, test), root, "churn_test_predictions")
     comparison = T.write_table(ML.compare_models(predictions), root, "churn_model_comparison_full")
     winner = ML.best_model(comparison).first()["model"]
     T.write_table(T.rounded(comparison), root, "churn_model_comparison")

@@ -26,7 +26,7 @@ from keepwell.operators.sampling import exact_split, fixed_sample
 from keepwell.operators.score import check_records, rejected
 from keepwell.operators.standardise import standardise
 from keepwell.plans import fitted
-from keepwell.session import checkpoint_dir
+from keepwell.session import materialise
 from keepwell.sources import accounts as A
 from keepwell.sources.star_schema import accounts, load, raw_accounts
 
@@ -54,10 +54,9 @@ def rule_base(spark: SparkSession, sf: str) -> DataFrame:
     """Rule scores with the columns segments and KPIs need. Medians and
     terciles take further passes, so the narrow result is materialised once in
     the shared checkpoint folder instead of repeating the joins."""
-    checkpoint_dir(spark)
-    return features(spark, sf).select(
+    return materialise(features(spark, sf).select(
         C.ID, rules.risk_rule().alias(C.PROBABILITY), F.col(C.VALUE_TARGET).alias(C.VALUE),
-        "Customer_Status", *C.SEGMENT_FEATURES).checkpoint()
+        "Customer_Status", *C.SEGMENT_FEATURES))
 
 
 def rule_level(feature: str, terciles: SG.Terciles):
@@ -121,7 +120,8 @@ def q_scan_accounts(spark, sf):
 
 
 def q_validate_report(spark, sf):
-    return V.validation_report(raw(spark, sf))
+    # The report scans its input twice; store the extract like the file it is.
+    return V.validation_report(materialise(raw(spark, sf)))
 
 
 def q_duplicate_ids(spark, sf):
@@ -545,11 +545,11 @@ def q_contrib_summary(spark, sf):
 
 
 def q_k_evaluation(spark, sf):
-    return SG.evaluate_k(features(spark, sf))
+    return fitted.k_evaluation(spark, sf)
 
 
 def q_best_k(spark, sf):
-    return SG.best_k(SG.evaluate_k(features(spark, sf)))
+    return SG.best_k(fitted.k_evaluation(spark, sf))
 
 
 def q_segment_profiles(spark, sf):
@@ -574,8 +574,7 @@ def q_model_score_range_check(spark, sf):
 
 
 def q_model_priority_matrix(spark, sf):
-    checkpoint_dir(spark)
-    scores = fitted.scores(spark, sf).checkpoint()
+    scores = materialise(fitted.scores(spark, sf))
     labelled = PR.label_accounts(scores, PR.median_thresholds(scores))
     return PR.ranked_list(PR.attach_segments(labelled, q_segment_assign(spark, sf)))
 
