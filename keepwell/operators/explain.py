@@ -15,16 +15,22 @@ to the tasks is bounded by trees * 2^depth rows, whatever the data size.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keepwell import contract as C
 from keepwell.operators.models import FOREST, LOGISTIC, FittedModel
+from keepwell.session import shuffle_partitions
+
+# Executors get the function itself, so they need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def logistic_contributions(model: FittedModel, df: DataFrame) -> DataFrame:
@@ -73,7 +79,6 @@ def forest_paths(model: FittedModel, scratch: str) -> list[tuple]:
 
 def forest_nodes(path: str) -> DataFrame:
     """One row per node of a stored random forest."""
-    from pyspark.sql import SparkSession
     n = F.col("nodeData")
     stats = n["impurityStats"]
     weight = F.aggregate(stats, F.lit(0.0), lambda a, b: a + b)
@@ -105,20 +110,19 @@ def shapley_values(x: np.ndarray, leaves) -> np.ndarray:
 def forest_contributions(model: FittedModel, df: DataFrame, scratch: str) -> DataFrame:
     """(id, feature, contribution) in probability units. ``df`` is the bounded
     explanation sample; rows are spread over all tasks first."""
-    from keepwell.session import shuffle_partitions
-    leaves, inputs = forest_paths(model, scratch), list(model.inputs)
+    leaves, inputs, key = forest_paths(model, scratch), list(model.inputs), C.ID
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             values = shapley_values(batch[inputs].to_numpy(dtype=float), leaves)
             yield pd.DataFrame({
-                C.ID: np.repeat(batch[C.ID].to_numpy(), len(inputs)),
+                key: np.repeat(batch[key].to_numpy(), len(inputs)),
                 "feature": np.tile(inputs, len(batch)),
                 "contribution": values.ravel(),
             })
 
-    rows = df.select(C.ID, *inputs).repartition(shuffle_partitions(df.sparkSession), C.ID)
-    return rows.mapInPandas(explain, f"{C.ID} string, feature string, contribution double")
+    rows = df.select(key, *inputs).repartition(shuffle_partitions(df.sparkSession), key)
+    return rows.mapInPandas(explain, f"{key} string, feature string, contribution double")
 
 
 def contribution_summary(models: dict[str, FittedModel], sample: DataFrame,

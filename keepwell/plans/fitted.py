@@ -1,4 +1,4 @@
-"""Models fitted on the account view, one fit per session and data folder.
+"""Feature table and fitted models, made once per session and data folder.
 
 Fitting is the expensive part of every model query. The first query that
 needs a model fits it; the others reuse it. ``bench.py`` times the fits as
@@ -29,8 +29,15 @@ from keepwell.sources.star_schema import accounts
 VALUE_SETTINGS = ML.ForestSettings(trees=20)
 
 
-def _features(spark: SparkSession, sf: str) -> DataFrame:
-    return build_features(accounts(spark, sf))
+@lru_cache(maxsize=16)
+def _stage_table(app: str, sf: str) -> DataFrame:
+    return materialise(build_features(accounts(SparkSession.active(), sf)))
+
+
+def features(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored feature table, the hand-over between pipeline stages. Splits
+    and fits scan it many times."""
+    return _stage_table(_key(spark), sf)
 
 
 def _key(spark: SparkSession) -> str:
@@ -51,13 +58,13 @@ def _value(app: str, sf: str):
 
 @lru_cache(maxsize=16)
 def _segments(app: str, sf: str):
-    return SG.fit_segments(_features(SparkSession.active(), sf))
+    return SG.fit_segments(features(SparkSession.active(), sf))
 
 
 @lru_cache(maxsize=16)
 def _k_rows(app: str, sf: str):
     """The sweep's seven result rows."""
-    return [tuple(r) for r in SG.evaluate_k(_features(SparkSession.active(), sf)).collect()]
+    return [tuple(r) for r in SG.evaluate_k(features(SparkSession.active(), sf)).collect()]
 
 
 @lru_cache(maxsize=16)
@@ -66,11 +73,11 @@ def _deployed(app: str, sf: str) -> str:
 
 
 def churn_split(spark, sf):
-    return ML.split_training_set(ML.churn_training_set(_features(spark, sf)), "label")
+    return ML.split_training_set(ML.churn_training_set(features(spark, sf)), "label")
 
 
 def value_split(spark, sf):
-    return ML.split_training_set(ML.value_training_set(_features(spark, sf)), None)
+    return ML.split_training_set(ML.value_training_set(features(spark, sf)), None)
 
 
 def churn(spark, sf) -> dict[str, ML.FittedModel]:
@@ -106,14 +113,14 @@ def contributions(spark, sf) -> DataFrame:
 
 
 def profiles(spark, sf) -> DataFrame:
-    f = _features(spark, sf).select(C.ID, *C.SEGMENT_FEATURES)
+    f = features(spark, sf).select(C.ID, *C.SEGMENT_FEATURES)
     model = segments(spark, sf)
     return SG.segment_profiles(model.assign(f), model, SG.population_terciles(f))
 
 
 def scores(spark, sf) -> DataFrame:
     best = churn(spark, sf)[_deployed(_key(spark), sf)]
-    return ML.score_base(_features(spark, sf), best, value(spark, sf))
+    return ML.score_base(features(spark, sf), best, value(spark, sf))
 
 
 def score_new(spark, sf) -> DataFrame:

@@ -506,17 +506,17 @@ def t_order_ranking(spark, sf):
 # --- fitted models (no SQL twin) --------------------------------------------
 
 def q_churn_lr_scores(spark, sf):
-    return ML.churn_scores(fitted.churn(spark, sf)[ML.LOGISTIC], features(spark, sf)).select(
+    return ML.churn_scores(fitted.churn(spark, sf)[ML.LOGISTIC], fitted.features(spark, sf)).select(
         C.ID, C.PROBABILITY)
 
 
 def q_churn_rf_scores(spark, sf):
-    return ML.churn_scores(fitted.churn(spark, sf)[ML.FOREST], features(spark, sf)).select(
+    return ML.churn_scores(fitted.churn(spark, sf)[ML.FOREST], fitted.features(spark, sf)).select(
         C.ID, C.PROBABILITY)
 
 
 def q_clv_scores(spark, sf):
-    return ML.value_scores(fitted.value(spark, sf), features(spark, sf)).select(C.ID, C.VALUE)
+    return ML.value_scores(fitted.value(spark, sf), fitted.features(spark, sf)).select(C.ID, C.VALUE)
 
 
 def q_model_comparison(spark, sf):
@@ -557,7 +557,7 @@ def q_segment_profiles(spark, sf):
 
 
 def q_segment_assign(spark, sf):
-    return SG.assign_segments(features(spark, sf), fitted.segments(spark, sf),
+    return SG.assign_segments(fitted.features(spark, sf), fitted.segments(spark, sf),
                               fitted.profiles(spark, sf))
 
 
