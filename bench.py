@@ -57,7 +57,7 @@ def main() -> None:
         query(spark, sf_dir).write.format("noop").mode("overwrite").save()
 
     QUERIES["q_status_counts"](spark, sf_dir).count()     # start-up, not timed
-    plain = [n for n in HEADLINE if "fitted" not in QUERIES[n].__code__.co_names]
+    plain = [n for n in HEADLINE if "fitted" not in QUERIES[n].__wrapped__.__code__.co_names]
     for name in plain:
         timed(name, lambda: drain(QUERIES[name]))
     for name, fit in FITS.items():

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from keepwell import contract as C
 from keepwell.functions import features as fx
+from keepwell.sources.accounts import numeric_value
 
 
 def repair(df: DataFrame) -> DataFrame:
@@ -47,15 +48,17 @@ def build_features(df: DataFrame) -> DataFrame:
 
 def score_frame(df: DataFrame) -> DataFrame:
     """Lay a record set of any field subset, in any case, over the raw columns
-    a score needs; what is missing becomes a typed NULL."""
-    present = {c.lower(): c for c in df.columns}
-    kinds = {"text": "string", "int": "int", "double": "double"}
-    names = (C.ID,) + C.SCORE_INPUTS
-    return df.select(*[
-        (F.col(present[n.lower()]) if n.lower() in present else F.lit(None))
-        .try_cast(kinds[C.FIELD[n].kind]).alias(n)
-        for n in names
-    ])
+    a score needs; what is missing or no number becomes a typed NULL."""
+    present = {c.lower(): (c, t) for c, t in df.dtypes}
+
+    def field(name):
+        kind = C.FIELD[name].kind
+        if name.lower() not in present:
+            return F.lit(None).cast("string" if kind == "text" else kind)
+        sent, dtype = present[name.lower()]
+        return F.col(sent).cast("string") if kind == "text" else numeric_value(name, dtype, F.col(sent))
+
+    return df.select(*[field(n).alias(n) for n in (C.ID,) + C.SCORE_INPUTS])
 
 
 def split_rejected(features: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -20,6 +20,7 @@ from keepwell.operators import priority as PR
 from keepwell.operators.prepare import build_features, split_rejected
 from keepwell.operators.sampling import fixed_sample
 from keepwell.operators.score import Bundle
+from keepwell.session import tune
 from keepwell.sources import accounts as A
 from keepwell.sources import tables as T
 
@@ -123,7 +124,7 @@ def run(raw: DataFrame, root: str, expected_rows: int | None = None,
         settings: ML.ForestSettings = ML.ForestSettings(),
         restarts: int = SG.RESTARTS, keep_rejects: bool = False) -> DataFrame:
     """All stages; returns the one-row business summary."""
-    spark = raw.sparkSession
+    spark = tune(raw.sparkSession)
     features_stage(raw, root, expected_rows, keep_rejects)
     churn_stage(spark, root, settings)
     value_stage(spark, root, settings)
@@ -147,7 +148,7 @@ def main(argv=None) -> None:
     parser.add_argument("--stage", choices=["all", "features", *STAGES], default="all")
     args = parser.parse_args(argv)
     logging.basicConfig(level=logging.INFO)
-    spark = SparkSession.builder.appName("keepwell").getOrCreate()
+    spark = tune(SparkSession.builder.appName("keepwell").getOrCreate())
     if args.stage in STAGES:
         log.info("%s: %s", args.stage, STAGES[args.stage](spark, args.root))
         return

@@ -7,6 +7,8 @@ rule; queries named ``q_model_*`` and the other unverified ones fit models.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,7 +28,7 @@ from keepwell.operators.sampling import exact_split, fixed_sample
 from keepwell.operators.score import check_records, rejected
 from keepwell.operators.standardise import standardise
 from keepwell.plans import fitted
-from keepwell.session import materialise
+from keepwell.session import materialise, tune
 from keepwell.sources import accounts as A
 from keepwell.sources.star_schema import accounts, load, raw_accounts
 
@@ -583,7 +585,14 @@ def q_score_new_accounts(spark, sf):
     return fitted.score_new(spark, sf)
 
 
+def _tuned(query):
+    @wraps(query)
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        return query(tune(spark), sf)
+    return run
+
+
 QUERIES = {
-    name: fn for name, fn in list(globals().items())
+    name: _tuned(fn) for name, fn in list(globals().items())
     if callable(fn) and name[:2] in ("q_", "t_") and getattr(fn, "__module__", "") == __name__
 }

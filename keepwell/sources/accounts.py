@@ -7,11 +7,6 @@ from pyspark.sql import functions as F
 
 from keepwell import contract as C
 
-# A plain decimal number. Spark's own cast also takes Java suffixes ("1d"),
-# which no CSV tool would call a number.
-NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-
-
 def normalise_header(df: DataFrame) -> DataFrame:
     return df.toDF(*[name.strip().replace(" ", "_") for name in df.columns])
 
@@ -38,23 +33,28 @@ def read_accounts(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame
     return blank_to_null(normalise_header(df))
 
 
-def as_number(name: str, dtype: str) -> Column:
-    """The column as DOUBLE, NULL where the text is no number."""
-    col = F.col(name)
-    if dtype != "string":
-        return col.cast("double")
-    return F.when(col.rlike(NUMBER), col.try_cast("double"))
+def text_number(col: Column) -> Column:
+    """A text as DOUBLE, NULL where it is no plain finite number. Spark's cast
+    also takes Java's type suffixes ("1d") and "Infinity", which no CSV tool
+    would call a number."""
+    number = col.try_cast("double")
+    suffixed = F.lower(F.substring(F.rtrim(col), -1, 1)).isin("d", "f")
+    return F.when(~suffixed & (F.abs(number) < float("inf")), number)
 
 
-def numeric_value(name: str, dtype: str) -> Column:
-    """``as_number`` in the contract type; a fraction in a whole-number column
+def numeric_value(name: str, dtype: str, source: Column | None = None) -> Column:
+    """The column in its contract type. A fraction in a whole-number column
     becomes NULL, so the validator reports it rather than cutting it off."""
-    number = as_number(name, dtype)
+    col = F.col(name) if source is None else source
+    number = text_number(col) if dtype == "string" else col.cast("double")
     if C.FIELD[name].kind == "double":
         return number
     if dtype in ("tinyint", "smallint", "int"):
-        return F.col(name).cast("int")
-    return F.when(number == F.floor(number), number.try_cast("int"))
+        return col.cast("int")
+    # Nearly all values are plain whole numbers; only the rest ("30.0") takes
+    # the longer way.
+    return F.coalesce(col.try_cast("int") if dtype != "double" else F.lit(None).cast("int"),
+                      F.when(number == F.floor(number), number.try_cast("int")))
 
 
 def typed(df: DataFrame) -> DataFrame:
