@@ -98,10 +98,12 @@ def shapley_values(x: np.ndarray, leaves) -> np.ndarray:
     dividing its factor out, so a leaf costs three small matrix products.
     """
     out = np.zeros(x.shape)
+    rules = {d: np.polynomial.legendre.leggauss((d + 1) // 2)
+             for d in {len(leaf[1]) for leaf in leaves} if d}
     for value, features, low, high, share in leaves:
         if not len(features):
             continue
-        nodes, weights = np.polynomial.legendre.leggauss((len(features) + 1) // 2)
+        nodes, weights = rules[len(features)]
         t = (nodes + 1) / 2
         miss = share[:, None] * (1 - t)
         met = miss + t
