@@ -26,8 +26,8 @@ def tune(spark: SparkSession) -> SparkSession:
     """Settings the wide account projections need, on any session.
 
     The JVM never compiles a method of more than 8,000 bytes of code, and one
-    generated stage over 38 to 60 columns is larger: it would run interpreted,
-    five to seven times slower. With this limit Spark generates such stages
+    generated stage over 38 to 60 columns is larger: it would run interpreted, and
+    was measured 3 to 6 times slower. With this limit Spark generates such stages
     in small methods instead.
     """
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
