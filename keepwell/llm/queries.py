@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keepwell.llm import suffix_matches
+from keepwell.llm import subword_quality, suffix_matches
+
+QUALITY_THRESHOLD = 0.3
 
 
 def load(spark: SparkSession, sf: str, table: str) -> DataFrame:
@@ -23,5 +25,22 @@ def op6_suffix_decontamination(spark, sf):
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated", "longest_match")
 
 
+def held_out(doc_id="doc_id"):
+    """Rows no model of a query may learn from."""
+    return F.crc32(F.col(doc_id).cast("string")) % 5 == 0
+
+
+def quality_model(docs: DataFrame, labels: DataFrame) -> subword_quality.Model:
+    return subword_quality.fit(docs, labels.where(~held_out()))
+
+
+def op9_subword_quality(spark, sf):
+    docs = load(spark, sf, "documents")
+    model = quality_model(docs, load(spark, sf, "labels"))
+    return subword_quality.score(docs, model).select(
+        "doc_id", held_out().alias("held_out"), "score",
+        (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
+
+
 QUERIES = {name: fn for name, fn in list(globals().items()) if name.startswith("op")}
 ORACLES: dict[str, str] = {}

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from keepwell.llm import suffix_matches
-from keepwell.llm.queries import load
+from keepwell.llm import subword_quality, suffix_matches
+from keepwell.llm.queries import QUALITY_THRESHOLD, load, quality_model
 
 
 def quality(spark, docs, sf_dir):
-    raise NotImplementedError
+    """Documents the classifier rejects go. It learns from the labelled rows
+    that are not held out, out of ``docs`` itself."""
+    model = quality_model(docs, load(spark, sf_dir, "labels"))
+    return subword_quality.keep_above(docs, model, QUALITY_THRESHOLD)
 
 
 def lines(spark, docs, sf_dir):
