@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keepwell.llm import subword_quality, suffix_matches
+from keepwell.llm import chunked_bpe, subword_quality, suffix_matches
 
 QUALITY_THRESHOLD = 0.3
 
@@ -18,6 +18,24 @@ def load(spark: SparkSession, sf: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{table}.parquet")
 
 
+def vocabulary() -> str:
+    """The public byte-level BPE vocabulary the queries encode with."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def encoding_digests(docs: DataFrame) -> DataFrame:
+    decoded = chunked_bpe.decode(chunked_bpe.encode(docs, vocabulary()), vocabulary())
+    return decoded.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op5_chunked_bpe(spark, sf):
+    return encoding_digests(load(spark, sf, "documents"))
+
+
 def op6_suffix_decontamination(spark, sf):
     found = suffix_matches.contamination(load(spark, sf, "documents"), load(spark, sf, "benchmark"))
     return found.select(

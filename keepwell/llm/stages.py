@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from keepwell.llm import subword_quality, suffix_matches
-from keepwell.llm.queries import QUALITY_THRESHOLD, load, quality_model
+from keepwell.llm.queries import QUALITY_THRESHOLD, encoding_digests, load, quality_model
 
 
 def quality(spark, docs, sf_dir):
@@ -27,4 +27,5 @@ def decontamination(spark, docs, sf_dir):
 
 
 def encoding(spark, docs, sf_dir):
-    raise NotImplementedError
+    """Token counts and digests of ids and decoded texts; nothing is dropped."""
+    return encoding_digests(docs)
