@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keepwell.llm import chunked_bpe, subword_quality, suffix_matches
+from keepwell.llm import chunked_bpe, minhash_groups, subword_quality, suffix_matches
 
 QUALITY_THRESHOLD = 0.3
 
@@ -18,6 +18,10 @@ def load(spark: SparkSession, sf: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{table}.parquet")
 
 
+def op2_minhash_groups(spark, sf):
+    return minhash_groups.near_duplicates(load(spark, sf, "documents"), size=3, percent=85)
+
+
 def vocabulary() -> str:
     """The public byte-level BPE vocabulary the queries encode with."""
     import public_tokenizers

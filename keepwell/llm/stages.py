@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from keepwell.llm import subword_quality, suffix_matches
+from keepwell.llm import minhash_groups, subword_quality, suffix_matches
 from keepwell.llm.queries import QUALITY_THRESHOLD, encoding_digests, load, quality_model
 
 
@@ -18,7 +18,9 @@ def lines(spark, docs, sf_dir):
 
 
 def near_duplicates(spark, docs, sf_dir):
-    raise NotImplementedError
+    """One document of each near-duplicate group stays: five-word shingles at a
+    similarity of 0.8 or more."""
+    return minhash_groups.keep_one(docs, size=5, percent=80, bands=40, rows=5)
 
 
 def decontamination(spark, docs, sf_dir):
