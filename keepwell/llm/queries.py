@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keepwell.llm import chunked_bpe, minhash_groups, subword_quality, suffix_matches
+from keepwell.llm import chunked_bpe, line_dedup, minhash_groups, subword_quality, suffix_matches
 
 QUALITY_THRESHOLD = 0.3
 
@@ -47,6 +47,13 @@ def op6_suffix_decontamination(spark, sf):
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated", "longest_match")
 
 
+def op7_line_dedup(spark, sf):
+    found = line_dedup.removed_per_document(load(spark, sf, "documents"))
+    return found.select("doc_id", F.col("n_lines").cast("long").alias("n_lines"),
+                        F.size("removed").cast("long").alias("n_removed"),
+                        F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed_lines"))
+
+
 def held_out(doc_id="doc_id"):
     """Rows no model of a query may learn from."""
     return F.crc32(F.col(doc_id).cast("string")) % 5 == 0
@@ -66,3 +73,38 @@ def op9_subword_quality(spark, sf):
 
 QUERIES = {name: fn for name, fn in list(globals().items()) if name.startswith("op")}
 ORACLES: dict[str, str] = {}
+ORACLES["op7_line_dedup"] = f"""
+WITH lines AS (
+  SELECT doc_id, unnest(range(len(parts))) AS line_no, unnest(parts) AS line
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents
+        WHERE doc_id IS NOT NULL AND text IS NOT NULL)),
+sets AS (
+  SELECT doc_id, line_no, list_sort(list_distinct(list_filter(string_split(translate(
+    lower(line), chr(9) || chr(13) || chr(12) || chr(11), '    '), ' '), lambda w: w <> ''))) AS words
+  FROM lines),
+usable AS (SELECT * FROM sets WHERE len(words) >= {line_dedup.LEAST_WORDS}),
+classes AS (
+  SELECT words, len(words) AS n, min({{'d': doc_id, 'l': line_no}}) AS place, row_number() OVER () AS id
+  FROM usable GROUP BY words),
+tokens AS (SELECT id, n, place, unnest(words) AS word FROM classes),
+ranked AS (
+  SELECT id, n, place, word, row_number() OVER (PARTITION BY id ORDER BY times, word) AS pos
+  FROM tokens JOIN (SELECT word, count(*) AS times FROM tokens GROUP BY word) USING (word)),
+prefixes AS (
+  SELECT * FROM ranked WHERE pos <= n - CAST(ceil(n * {line_dedup.PERCENT} / 100.0) AS BIGINT) + 1),
+pairs AS (
+  SELECT DISTINCT y.id AS y, x.id AS x FROM prefixes y JOIN prefixes x USING (word)
+  WHERE x.place < y.place AND 100 * least(x.n, y.n) >= {line_dedup.PERCENT} * greatest(x.n, y.n)),
+alike AS (
+  SELECT DISTINCT a.place FROM pairs JOIN classes a ON a.id = y JOIN classes b ON b.id = x
+  WHERE 100 * len(list_intersect(a.words, b.words)) >=
+    {line_dedup.PERCENT} * (a.n + b.n - len(list_intersect(a.words, b.words)))),
+gone AS (
+  SELECT DISTINCT doc_id, line_no FROM usable JOIN classes USING (words)
+  WHERE {{'d': doc_id, 'l': line_no}} > place OR place IN (SELECT place FROM alike)),
+per_doc AS (
+  SELECT doc_id, count(*) AS n_removed, string_agg(line_no, ',' ORDER BY line_no) AS removed_lines
+  FROM gone GROUP BY doc_id)
+SELECT doc_id, CAST(CASE WHEN text IS NULL THEN 0 ELSE len(string_split(text, chr(10))) END AS BIGINT) AS n_lines,
+  coalesce(n_removed, 0) AS n_removed, coalesce(removed_lines, '') AS removed_lines
+FROM documents LEFT JOIN per_doc USING (doc_id)"""

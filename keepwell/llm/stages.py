@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from keepwell.llm import minhash_groups, subword_quality, suffix_matches
+from pyspark.sql import functions as F
+
+from keepwell.llm import line_dedup, minhash_groups, subword_quality, suffix_matches
 from keepwell.llm.queries import QUALITY_THRESHOLD, encoding_digests, load, quality_model
 
 
@@ -14,7 +16,9 @@ def quality(spark, docs, sf_dir):
 
 
 def lines(spark, docs, sf_dir):
-    raise NotImplementedError
+    """Later lines go out of the texts; no document does. ``n_chars`` follows."""
+    cleaned = line_dedup.dedup_lines(docs)
+    return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def near_duplicates(spark, docs, sf_dir):
