@@ -30,7 +30,7 @@ def vocabulary() -> str:
 
 
 def encoding_digests(docs: DataFrame) -> DataFrame:
-    decoded = chunked_bpe.decode(chunked_bpe.encode(docs, vocabulary()), vocabulary())
+    decoded = chunked_bpe.encode(docs, vocabulary(), decoded=True)
     return decoded.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
