@@ -9,15 +9,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keepwell.llm import chunked_bpe, line_dedup, minhash_groups, subword_quality, suffix_matches
+from keepwell.llm import chunked_bpe, hilbert_shards, line_dedup, minhash_groups, subword_quality, suffix_matches
 
 QUALITY_THRESHOLD = 0.3
+SHARDS = 40
+DIMENSIONS = {"source": hilbert_shards.TEXT, "lang": hilbert_shards.TEXT, "n_chars": hilbert_shards.NUMBER}
 
 
 def load(spark: SparkSession, sf: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{table}.parquet")
 
 
+def op1_hilbert_shards(spark, sf):
+    found = hilbert_shards.shard(load(spark, sf, "documents"), DIMENSIONS, SHARDS)
+    return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                        F.lit(None).cast("int").alias("grown_shard"), "hilbert")
+
+
 def op2_minhash_groups(spark, sf):
     return minhash_groups.near_duplicates(load(spark, sf, "documents"), size=3, percent=85)
 
@@ -108,3 +116,56 @@ per_doc AS (
 SELECT doc_id, CAST(CASE WHEN text IS NULL THEN 0 ELSE len(string_split(text, chr(10))) END AS BIGINT) AS n_lines,
   coalesce(n_removed, 0) AS n_removed, coalesce(removed_lines, '') AS removed_lines
 FROM documents LEFT JOIN per_doc USING (doc_id)"""
+
+
+def _hilbert_sql(bits: int) -> str:
+    """The curve as one derived table per turn of the axes x0, x1, x2."""
+    out = "SELECT *, s0 AS x0, s1 AS x1, s2 AS x2 FROM cells"
+    for k in range(bits - 1, 0, -1):
+        for i in range(3):
+            q, swap = 1 << k, f"(xor(x0, x{i}) & {(1 << k) - 1})"
+            new = {0: f"xor(x0, CASE WHEN x{i} & {q} <> 0 THEN {q - 1} ELSE {swap} END)"}
+            if i:
+                new[i] = f"xor(x{i}, CASE WHEN x{i} & {q} <> 0 THEN 0 ELSE {swap} END)"
+            out = f"SELECT * REPLACE ({', '.join(f'{e} AS x{c}' for c, e in new.items())}) FROM ({out})"
+    out = f"SELECT * REPLACE (xor(x0, x1) AS x1, xor(xor(x0, x1), x2) AS x2) FROM ({out})"
+    flip = "0"
+    for k in range(bits - 1, 0, -1):
+        flip = f"xor({flip}, CASE WHEN x2 & {1 << k} <> 0 THEN {(1 << k) - 1} ELSE 0 END)"
+    out = f"SELECT *, {flip} AS flip FROM ({out})"
+    bits_of = [f"((xor(x{i}, flip) >> {k}) & 1) * {1 << (3 * k + 2 - i)}" for k in range(bits) for i in range(3)]
+    return f"SELECT *, {' + '.join(bits_of)} AS hilbert FROM ({out})"
+
+
+_STEP_SQL = "coalesce(CAST('0x' || substr(md5({0}), 1, 4) AS INT) >> {1}, 0)"
+_CODE_SQL = "length(bin(greatest(n_chars, 0) + 8)) * 8 + {0}"
+_THREE_BITS = " + ".join(f"CAST(substr(bin(greatest(n_chars, 0) + 8), {2 + k}, 1) AS INT) * {4 >> k}" for k in range(3))
+ORACLES["op1_hilbert_shards"] = f"""
+WITH RECURSIVE crc(b, c, k) AS (
+  SELECT range, CAST(range AS BIGINT), 0 FROM range(256)
+  UNION ALL SELECT b, xor(c >> 1, (c & 1) * 3988292384), k + 1 FROM crc WHERE k < 8),
+steps_of AS (SELECT list(c ORDER BY b) AS t FROM crc WHERE k = 8),
+rows AS (
+  SELECT doc_id, source, lang, octet_length(encode(coalesce(text, ''))) + 16 AS size,
+    hex(encode(coalesce(text, ''))) AS digits, {_CODE_SQL.format(_THREE_BITS)} AS code
+  FROM documents),
+checked AS (
+  SELECT * EXCLUDE (digits), xor(4294967295, list_reduce(
+    list_transform(regexp_extract_all(digits, '..'), lambda x: CAST('0x' || x AS BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), CAST(4294967295 AS BIGINT))) AS text_crc32
+  FROM rows, steps_of),
+depth AS (
+  SELECT code, CAST(floor((sum(n) OVER (ORDER BY code) - n) * {1 << hilbert_shards.BITS} / sum(n) OVER ()) AS INT) AS step
+  FROM (SELECT code, count(*) AS n FROM checked WHERE code IS NOT NULL GROUP BY code)),
+cells AS (
+  SELECT c.*, {_STEP_SQL.format('source', 16 - hilbert_shards.BITS)} AS s0,
+    {_STEP_SQL.format('lang', 16 - hilbert_shards.BITS)} AS s1, coalesce(step, 0) AS s2
+  FROM checked c LEFT JOIN depth USING (code)),
+placed AS (
+  SELECT *, row_number() OVER (ORDER BY hilbert, text_crc32, doc_id) - 1 AS place, count(*) OVER () AS n
+  FROM ({_hilbert_sql(hilbert_shards.BITS)}))
+SELECT doc_id, CAST(size AS BIGINT) AS size, text_crc32, 'rows' AS law,
+  CAST(place * {SHARDS} // n AS INT) AS shard,
+  CAST(place - ((place * {SHARDS} // n) * n + {SHARDS - 1}) // {SHARDS} AS BIGINT) AS slot,
+  CAST(NULL AS INT) AS grown_shard, CAST(hilbert AS BIGINT) AS hilbert
+FROM placed"""
