@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keepwell.llm import chunked_bpe, hilbert_shards, line_dedup, minhash_groups, subword_quality, suffix_matches
+from keepwell.llm import chunked_bpe, hilbert_shards, line_dedup, minhash_groups, subword_quality, suffix_matches, warc_merge
 
 QUALITY_THRESHOLD = 0.3
 SHARDS = 40
@@ -79,6 +79,12 @@ def op9_subword_quality(spark, sf):
         (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
 
 
+def op10_warc_merge(spark, sf):
+    return warc_merge.archive_pages(load(spark, sf, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
+        "url_key", "captured_at", "position")
+
+
 QUERIES = {name: fn for name, fn in list(globals().items()) if name.startswith("op")}
 ORACLES: dict[str, str] = {}
 ORACLES["op7_line_dedup"] = f"""
@@ -117,6 +123,31 @@ SELECT doc_id, CAST(CASE WHEN text IS NULL THEN 0 ELSE len(string_split(text, ch
   coalesce(n_removed, 0) AS n_removed, coalesce(removed_lines, '') AS removed_lines
 FROM documents LEFT JOIN per_doc USING (doc_id)"""
 
+# The host is everything up to the first slash of what follows the scheme.
+ORACLES["op10_warc_merge"] = f"""
+WITH parts AS (
+  SELECT page_id, coalesce(html, '') AS payload, split_part(coalesce(url, ''), '#', 1) AS whole FROM pages),
+bare AS (
+  SELECT *, CASE WHEN instr(whole, '://') > 0 AND substr(whole, instr(whole, '://') + 3) <> ''
+    THEN substr(whole, instr(whole, '://') + 3) ELSE whole END AS rest FROM parts),
+hosts AS (
+  SELECT *, regexp_replace(regexp_replace(regexp_replace(lower(split_part(rest, '/', 1)), '^www[.]', ''),
+    ':80$', ''), ':443$', '') AS host,
+    CASE WHEN instr(rest, '/') > 0 THEN substr(rest, instr(rest, '/')) ELSE '/' END AS path FROM bare),
+keyed AS (
+  SELECT page_id, octet_length(encode(payload)) AS payload_bytes, sha1(payload) AS payload_digest,
+    array_to_string(list_reverse(string_split(host, '.')), ',') || ')' || path AS url_key,
+    strftime(TIMESTAMP '{warc_merge.FIRST_CAPTURE}' + to_seconds(page_id), '%Y-%m-%dT%H:%M:%SZ') AS captured_at
+  FROM hosts),
+grouped AS (
+  SELECT *, CASE WHEN payload_bytes >= {warc_merge.LEAST_BYTES}
+    THEN max(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS stored FROM keyed)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN stored <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN stored <> page_id THEN stored END AS refers_to, url_key, captured_at,
+  row_number() OVER (ORDER BY encode(url_key), captured_at, page_id) - 1 AS position
+FROM grouped"""
+
 
 def _hilbert_sql(bits: int) -> str:
     """The curve as one derived table per turn of the axes x0, x1, x2."""
