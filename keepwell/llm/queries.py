@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keepwell.llm import chunked_bpe, hilbert_shards, line_dedup, minhash_groups, subword_quality, suffix_matches, warc_merge
+from keepwell.llm import chunked_bpe, hilbert_shards, line_dedup, minhash_groups, rotation_codes, subword_quality, suffix_matches, warc_merge
 
 QUALITY_THRESHOLD = 0.3
 SHARDS = 40
@@ -30,6 +30,10 @@ def op2_minhash_groups(spark, sf):
     return minhash_groups.near_duplicates(load(spark, sf, "documents"), size=3, percent=85)
 
 
+def op3_rotation_codes(spark, sf):
+    return rotation_codes.near_vectors(load(spark, sf, "embeddings"), 0.98)
+
+
 def vocabulary() -> str:
     """The public byte-level BPE vocabulary the queries encode with."""
     import public_tokenizers
