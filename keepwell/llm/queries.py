@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keepwell.llm import chunked_bpe, hilbert_shards, line_dedup, minhash_groups, rotation_codes, subword_quality, suffix_matches, warc_merge
+from keepwell.llm import byte_language, chunked_bpe, hilbert_shards, line_dedup, minhash_groups, rotation_codes, subword_quality, suffix_matches, warc_merge
 
 QUALITY_THRESHOLD = 0.3
 SHARDS = 40
@@ -34,6 +34,13 @@ def op3_rotation_codes(spark, sf):
     return rotation_codes.near_vectors(load(spark, sf, "embeddings"), 0.98)
 
 
+def op4_byte_language(spark, sf):
+    docs = load(spark, sf, "documents")
+    network = byte_language.fit(docs.where(~held_out()))
+    return byte_language.predict(docs, network).select(
+        "doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def vocabulary() -> str:
     """The public byte-level BPE vocabulary the queries encode with."""
     import public_tokenizers
