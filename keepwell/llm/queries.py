@@ -9,10 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keepwell.llm import byte_language, chunked_bpe, hilbert_shards, line_dedup, minhash_groups, rotation_codes, subword_quality, suffix_matches, warc_merge
+from keepwell.llm import byte_language, chunked_bpe, hilbert_shards, line_dedup, minhash_groups, rotation_codes, subword_quality, suffix_matches, surrogates, warc_merge
 
 QUALITY_THRESHOLD = 0.3
 SHARDS = 40
+#: A deployment passes a secret of its own to ``replace_entities``.
+SURROGATE_KEY = "public example key"
 DIMENSIONS = {"source": hilbert_shards.TEXT, "lang": hilbert_shards.TEXT, "n_chars": hilbert_shards.NUMBER}
 
 
@@ -73,6 +75,12 @@ def op7_line_dedup(spark, sf):
                         F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed_lines"))
 
 
+def op8_surrogates(spark, sf):
+    docs = load(spark, sf, "documents").select("doc_id", "text")
+    return surrogates.replace_entities(docs, SURROGATE_KEY).select(
+        "doc_id", "n_entities", "entity_kinds", "text")
+
+
 def held_out(doc_id="doc_id"):
     """Rows no model of a query may learn from."""
     return F.crc32(F.col(doc_id).cast("string")) % 5 == 0
