@@ -117,8 +117,7 @@ def shapley_values(x: np.ndarray, leaves) -> np.ndarray:
 
 
 def forest_contributions(model: FittedModel, df: DataFrame, scratch: str) -> DataFrame:
-    """(id, feature, contribution) in probability units. ``df`` is the bounded
-    explanation sample; rows are spread over all tasks first."""
+    """(id, feature, contribution) in probability units for every row."""
     leaves, inputs, key = forest_paths(model, scratch), list(model.inputs), C.ID
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -134,19 +133,46 @@ def forest_contributions(model: FittedModel, df: DataFrame, scratch: str) -> Dat
     return rows.mapInPandas(explain, f"{key} string, feature string, contribution double")
 
 
-def contribution_summary(models: dict[str, FittedModel], sample: DataFrame,
-                         scratch: str) -> DataFrame:
-    """Mean absolute contribution per model and feature, all models tagged."""
+def forest_summary(model: FittedModel, df: DataFrame, scratch: str) -> DataFrame:
+    """(feature, n, total, total_abs) over all rows, summed inside each batch:
+    a batch sends one row per feature, not one per account and feature."""
+    leaves, inputs = forest_paths(model, scratch), list(model.inputs)
+
+    def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            values = shapley_values(batch[inputs].to_numpy(dtype=float), leaves)
+            yield pd.DataFrame({"feature": inputs, "n": len(batch), "total": values.sum(axis=0),
+                                "total_abs": np.abs(values).sum(axis=0)})
+
+    rows = df.select(C.ID, *inputs).repartition(shuffle_partitions(df.sparkSession), C.ID).select(*inputs)
+    return rows.mapInPandas(explain, "feature string, n long, total double, total_abs double").groupBy(
+        "feature").agg(*[F.sum(c).alias(c) for c in ("n", "total", "total_abs")])
+
+
+def logistic_summary(model: FittedModel, df: DataFrame) -> DataFrame:
+    """(feature, n, total, total_abs) by one wide aggregation without a shuffle
+    of accounts."""
+    scaled = model.pipeline.transform(df)
+    weights = model.pipeline.stages[-1].coefficients.toArray()
+    values = vector_to_array("churn_features")
+    terms = scaled.select(*[(values[i] * float(w)).alias(f"c{i}") for i, w in enumerate(weights)])
+    sums = terms.agg(F.count("*").alias("n"), *[
+        F.struct(F.sum(c).alias("t"), F.sum(F.abs(c)).alias("a")).alias(c) for c in terms.columns])
+    return sums.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("feature"), F.col("n").alias("n"), F.col(f"c{i}.t").alias("total"),
+                 F.col(f"c{i}.a").alias("total_abs")) for i, name in enumerate(model.inputs)])))
+
+
+def contribution_summary(models: dict[str, FittedModel], rows: DataFrame, scratch: str) -> DataFrame:
+    """Mean and mean absolute contribution per model and feature over all
+    ``rows``, all models tagged."""
     parts = []
     if LOGISTIC in models:
-        parts.append(logistic_contributions(models[LOGISTIC], sample)
-                     .withColumn("model", F.lit(LOGISTIC)))
+        parts.append(logistic_summary(models[LOGISTIC], rows).withColumn("model", F.lit(LOGISTIC)))
     if FOREST in models:
-        parts.append(forest_contributions(models[FOREST], sample, scratch)
-                     .withColumn("model", F.lit(FOREST)))
+        parts.append(forest_summary(models[FOREST], rows, scratch).withColumn("model", F.lit(FOREST)))
     stacked = parts[0]
     for part in parts[1:]:
         stacked = stacked.unionByName(part)
-    return stacked.groupBy("model", "feature").agg(
-        F.avg(F.abs("contribution")).alias("mean_abs_contribution"),
-        F.avg("contribution").alias("mean_contribution"))
+    return stacked.select("model", "feature", (F.col("total_abs") / F.col("n")).alias("mean_abs_contribution"),
+                          (F.col("total") / F.col("n")).alias("mean_contribution"))

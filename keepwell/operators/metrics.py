@@ -1,5 +1,5 @@
 """Model quality as aggregates: confusion cells, rates, exact AUC, errors,
-class weights and the sampled silhouette."""
+class weights and the silhouette."""
 
 from __future__ import annotations
 
@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keepwell.operators.ordering import running_totals
-from keepwell.session import shuffle_partitions
 
 
 def _ratio(top: Column, bottom: Column) -> Column:
@@ -88,35 +87,32 @@ def regression_metrics(scored: DataFrame, target: str, estimate: str) -> DataFra
 
 
 def silhouette(points: DataFrame, features: list[str], cluster: str = "cluster") -> DataFrame:
-    """Mean Euclidean silhouette of a *fixed-size* sample; one row.
+    """Mean silhouette over all rows with squared Euclidean distances; one row.
 
-    ``points`` must be the output of ``fixed_sample``: its size bound (2,000
-    rows of a few doubles) is what allows handing the whole sample to every
-    row as one array. Each row folds that array into per-cluster distance
-    sums; no pair of rows is ever emitted.
+    The mean squared distance from x to the members of a cluster is
+    |x|^2 - 2 x.mean + mean |y|^2, so a cluster's size, sums and sum of squares
+    are all a row needs: one aggregation to a row per cluster, then one
+    projection. The clusters must be few (their statistics are collected); a
+    cluster of one row counts 0. ``points`` is scanned twice.
     """
-    xs = [F.col(f).cast("double").alias(f"x{i}") for i, f in enumerate(features)]
-    packed = points.select(F.col(cluster).cast("int").alias("c"), *xs)
-    names = [f"x{i}" for i in range(len(features))]
-    members = packed.groupBy("c").agg(
-        F.sort_array(F.collect_list(F.struct(*names))).alias("points"))
-    everyone = members.agg(F.sort_array(F.collect_list(F.struct("c", "points")))).scalar()
-
-    def distance(p):
-        squares = [(F.col(n) - p[n]) * (F.col(n) - p[n]) for n in names]
-        return F.sqrt(reduce(add, squares))
-
-    row = packed.repartition(shuffle_partitions(points.sparkSession)).withColumn("all", everyone)
-    row = row.withColumn("far", F.transform("all", lambda g: F.struct(
-        g["c"].alias("c"), F.size(g["points"]).alias("n"),
-        F.aggregate(g["points"], F.lit(0.0), lambda s, p: s + distance(p)).alias("d"))))
-    own = F.element_at(F.filter("far", lambda g: g["c"] == F.col("c")), 1)
-    others = F.transform(F.filter("far", lambda g: g["c"] != F.col("c")),
-                         lambda g: g["d"] / g["n"])
-    row = row.select(
-        own["n"].alias("n"),
-        F.try_divide(own["d"], (own["n"] - 1).cast("double")).alias("a"),
-        F.array_min(others).alias("b"))
+    xs = {f"x{i}": F.col(f).cast("double") for i, f in enumerate(features)}
+    packed = points.select(F.col(cluster).cast("int").alias("c"), *[v.alias(n) for n, v in xs.items()])
+    # Around the mean, so that large coordinates do not cancel.
+    middle = packed.agg(*[F.avg(n).alias(n) for n in xs]).first()
+    packed = packed.select("c", *[(F.col(n) - F.lit(middle[n] or 0.0)).alias(n) for n in xs])
+    norm = reduce(add, [F.col(n) * F.col(n) for n in xs])
+    groups = packed.groupBy("c").agg(
+        F.count("*").alias("n"), F.avg(norm).alias("square"), *[F.avg(n).alias(n) for n in xs]).collect()
+    own = other = F.lit(None).cast("double")
+    size = F.lit(0)
+    for g in groups:
+        cross = reduce(add, [F.col(n) * g[n] for n in xs])
+        far = F.greatest(norm - 2 * cross + g["square"], F.lit(0.0))
+        mine = F.col("c") == g["c"]
+        size = F.when(mine, g["n"]).otherwise(size)
+        own = F.when(mine, far * (g["n"] / max(1, g["n"] - 1))).otherwise(own)
+        other = F.least(other, F.when(~mine, far))
+    measured = packed.select(size.alias("n"), own.alias("a"), other.alias("b"))
     value = F.when(F.col("n") > 1,
                    F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")))
-    return row.agg(F.avg(F.coalesce(value, F.lit(0.0))).alias("silhouette"))
+    return measured.agg(F.avg(F.coalesce(value, F.lit(0.0))).alias("silhouette"))

@@ -1,13 +1,13 @@
 """Exact, linearly interpolated quantiles that never gather a column.
 
-Spark's ``percentile`` keeps every distinct value of a group in one
-aggregation buffer. That is fine for a few hundred thousand values and fatal
-for a customer base of billions, so larger columns go through histogram
-narrowing: count values in equal bins between the smallest and largest one,
-step into the bin holding the wanted rank, repeat. Each round is one scan with
-map-side combining into at most ``bins`` rows per rank, and strictly fewer
-distinct values stay in play, so it ends with the exact order statistic
-whatever the distribution or the number of ties.
+Spark's ``percentile`` keeps every distinct value of a group in one aggregation
+buffer. Here values are counted in equal bins between the smallest and largest
+finite one, the bin that holds the wanted rank becomes the next range, and so
+on. Each round is one scan with map-side combining into at most ``bins`` rows
+per rank. The ends of a range are values of the column, the smallest falls into
+the first bin and the largest into the last, so every round leaves strictly
+fewer distinct values and the search ends, whatever the distribution, span or
+number of ties. Infinities are counted apart; NaN and blanks are left out.
 """
 
 from __future__ import annotations
@@ -18,7 +18,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BUILTIN_ROW_LIMIT = 1_000_000
 BINS = 4096
 
 
@@ -32,9 +31,7 @@ class _Rank:
     value: float | None = None
 
 
-def exact_quantiles(df: DataFrame, columns, probabilities,
-                    builtin_row_limit: int = BUILTIN_ROW_LIMIT,
-                    bins: int = BINS) -> dict[str, list[float | None]]:
+def exact_quantiles(df: DataFrame, columns, probabilities, bins: int = BINS) -> dict[str, list[float | None]]:
     """Like ``DataFrame.approxQuantile``, but exact. Blanks are left out; a
     column without any value gives None. Pass a table that is cheap to scan
     more than once."""
@@ -43,24 +40,26 @@ def exact_quantiles(df: DataFrame, columns, probabilities,
         F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(c)
         for c in columns
     ])
-    stats = [F.struct(F.count(c).alias("n"), F.min(c).alias("low"), F.max(c).alias("high"))
-             .alias(c) for c in columns]
+    finite = {c: F.when(F.abs(c) < math.inf, F.col(c)) for c in columns}
+    stats = [F.struct(F.count(c).alias("n"), F.count_if(F.col(c) == -math.inf).alias("below"),
+                      F.count(finite[c]).alias("inside"), F.min(finite[c]).alias("low"),
+                      F.max(finite[c]).alias("high")).alias(c) for c in columns]
     span = values.agg(*stats).first()
-    if max(span[c]["n"] for c in columns) <= builtin_row_limit:
-        row = values.agg(*[
-            F.percentile(c, F.array(*[F.lit(p) for p in probabilities])).alias(c)
-            for c in columns
-        ]).first()
-        return {c: list(row[c]) if row[c] is not None else [None] * len(probabilities)
-                for c in columns}
 
     ranks: dict[tuple[str, int], _Rank] = {}
     for c in columns:
         for p in probabilities:
             position = p * (span[c]["n"] - 1)
             for k in (math.floor(position), math.ceil(position)):
-                if span[c]["n"]:
-                    ranks[c, k] = _Rank(c, k, span[c]["low"], span[c]["high"])
+                if not span[c]["n"]:
+                    continue
+                inside = k - span[c]["below"]
+                rank = _Rank(c, inside, span[c]["low"], span[c]["high"])
+                if inside < 0:
+                    rank.value = -math.inf
+                elif inside >= span[c]["inside"]:
+                    rank.value = math.inf
+                ranks[c, k] = rank
     _resolve(values, list(ranks.values()), bins)
 
     def interpolated(c: str, p: float) -> float | None:
@@ -87,7 +86,10 @@ def _resolve(values: DataFrame, ranks: list[_Rank], bins: int) -> None:
         tagged = []
         for i, r in enumerate(open_ranks):
             x = F.col(r.column)
-            bin_no = F.least(F.floor((x - r.low) / (r.high - r.low) * bins), F.lit(bins - 1))
+            # Halves where the span of two finite doubles would overflow.
+            scale = 1.0 if math.isfinite(r.high - r.low) else 0.5
+            low, width = r.low * scale, r.high * scale - r.low * scale
+            bin_no = F.least(F.floor((x * scale - low) / width * bins), F.lit(bins - 1))
             inside = x.between(r.low, r.high)
             tagged.append(F.when(inside, F.struct(
                 F.lit(i).alias("i"), bin_no.alias("bin"), x.alias("x"))))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
@@ -19,7 +20,6 @@ from keepwell.operators.models import (
     KMEANS_ROWS_PER_TASK, FittedModel, assembler, fixed_layout,
 )
 from keepwell.operators.quantiles import exact_quantiles
-from keepwell.operators.sampling import fixed_sample
 from keepwell.operators.validate import AccountTableError
 
 RESTARTS = 10
@@ -56,19 +56,31 @@ def best_fits(vectors: DataFrame, ks, restarts: int = RESTARTS) -> dict[int, tup
     return best
 
 
+@contextmanager
+def _scaled(features: DataFrame):
+    """(fitted scaler, cached scaled vectors): the rows themselves are only
+    cached until the scaler is fitted and the vectors are stored."""
+    with fixed_layout(features.select(C.ID, *C.SEGMENT_FEATURES), KMEANS_ROWS_PER_TASK) as rows:
+        scaler = scaler_pipeline().fit(rows)
+        vectors = scaler.transform(rows).select("segment_features").persist()
+        vectors.count()
+    try:
+        yield scaler, vectors
+    finally:
+        vectors.unpersist()
+
+
 def evaluate_k(features: DataFrame, ks=C.K_RANGE, restarts: int = RESTARTS) -> DataFrame:
-    """(k, inertia, silhouette). Inertia covers all rows; the silhouette the
-    fixed sample of at most 2,000, the same accounts for every k."""
+    """(k, inertia, silhouette), both over all rows; the silhouette takes
+    squared distances, so it needs two more passes per k and no sample."""
     spark = features.sparkSession
-    with fixed_layout(features.select(C.ID, *C.SEGMENT_FEATURES), KMEANS_ROWS_PER_TASK) as rows:
-        n = rows.count()
-        vectors = scaler_pipeline().fit(rows).transform(rows).persist()
+    with _scaled(features) as (_, vectors):
+        n = vectors.count()
         fits = best_fits(vectors, ks, restarts)
-        sample = fixed_sample(vectors, C.SILHOUETTE_SAMPLE).persist()
 
         def row(item):
             k, (cost, model) = item
-            points = _unpacked(model.transform(sample))
+            points = _unpacked(model.transform(vectors))
             score = M.silhouette(points, SCALED, "raw_cluster").first()[0]
             # The scaler divides by the n-1 deviation; inertia is reported in
             # units of the population deviation.
@@ -76,8 +88,6 @@ def evaluate_k(features: DataFrame, ks=C.K_RANGE, restarts: int = RESTARTS) -> D
 
         with ThreadPool(min(PARALLEL_FITS, len(fits))) as pool:
             out = pool.map(row, sorted(fits.items()))
-        sample.unpersist()
-        vectors.unpersist()
     return spark.createDataFrame(out, EVALUATION_SCHEMA)
 
 
@@ -164,11 +174,8 @@ class SegmentModel:
 
 def fit_segments(features: DataFrame, k: int = C.SEGMENT_COUNT,
                  restarts: int = RESTARTS) -> SegmentModel:
-    with fixed_layout(features.select(C.ID, *C.SEGMENT_FEATURES), KMEANS_ROWS_PER_TASK) as rows:
-        scaler = scaler_pipeline().fit(rows)
-        vectors = scaler.transform(rows).persist()
+    with _scaled(features) as (scaler, vectors):
         _, kmeans = best_fits(vectors, [k], restarts)[k]
-        vectors.unpersist()
     fitted = FittedModel("KMeans", C.SEGMENT_FEATURES, PipelineModel([*scaler.stages, kmeans]))
     return SegmentModel.of(fitted)
 
@@ -177,14 +184,15 @@ def segment_profiles(assigned: DataFrame, model: SegmentModel, terciles: Tercile
     """The named table of k rows: sizes, centroids in original units, levels."""
     spark: SparkSession = assigned.sparkSession
     schema = "cluster int, " + ", ".join(f"{f}_centroid double" for f in C.SEGMENT_FEATURES)
-    rows = [(i, *(round(x, 2) for x in c)) for i, c in enumerate(model.centroids)]
+    rows = [(i, *c) for i, c in enumerate(model.centroids)]
     centroids = spark.createDataFrame(rows, schema)
     counts = assigned.groupBy("cluster").agg(F.count("*").alias("customers"))
     total = counts.agg(F.sum("customers")).scalar()
     sized = centroids.join(counts, "cluster", "left").withColumns({
         "customers": F.coalesce("customers", F.lit(0)),
     }).withColumn("share", F.col("customers").cast("double") / total.cast("double"))
-    return name_profiles(sized, terciles)
+    named = name_profiles(sized, terciles)      # names from the full values
+    return named.select(*[F.round(c, 2).alias(c) if c.endswith("_centroid") else c for c in named.columns])
 
 
 def assign_segments(features: DataFrame, model: SegmentModel, profiles: DataFrame) -> DataFrame:

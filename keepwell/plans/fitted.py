@@ -19,16 +19,10 @@ from keepwell.operators import models as ML
 from keepwell.operators import priority as PR
 from keepwell.operators import segments as SG
 from keepwell.operators.prepare import build_features
-from keepwell.operators.sampling import fixed_sample
 from keepwell.operators.score import Bundle, score_accounts
 from keepwell.session import checkpoint_dir, materialise
 from keepwell.sources.star_schema import accounts
 
-# The regressor looks at all features in every split, so the queries use fewer
-# trees than the library default; the churn forest keeps the default.
-VALUE_SETTINGS = ML.ForestSettings(trees=20)
-
-
 @lru_cache(maxsize=16)
 def _stage_table(app: str, sf: str) -> DataFrame:
     return materialise(build_features(accounts(SparkSession.active(), sf)))
@@ -53,7 +47,7 @@ def _churn(app: str, sf: str):
 @lru_cache(maxsize=16)
 def _value(app: str, sf: str):
     train, _ = value_split(SparkSession.active(), sf)
-    return ML.fit_value_model(train, settings=VALUE_SETTINGS)
+    return ML.fit_value_model(train)
 
 
 @lru_cache(maxsize=16)
@@ -69,7 +63,7 @@ def _k_rows(app: str, sf: str):
 
 @lru_cache(maxsize=16)
 def _deployed(app: str, sf: str) -> str:
-    return ML.best_model(comparison(SparkSession.active(), sf)).first()["model"]
+    return ML.best_model(full_comparison(SparkSession.active(), sf)).first()["model"]
 
 
 def churn_split(spark, sf):
@@ -96,20 +90,32 @@ def k_evaluation(spark, sf) -> DataFrame:
     return spark.createDataFrame(_k_rows(_key(spark), sf), SG.EVALUATION_SCHEMA)
 
 
-def comparison(spark, sf) -> DataFrame:
-    """Metrics of both classifiers on the held-out accounts, rounded to 4."""
+@lru_cache(maxsize=16)
+def _comparison(app: str, sf: str) -> DataFrame:
+    spark = SparkSession.active()
     _, test = churn_split(spark, sf)
     predictions = materialise(ML.held_out_predictions(churn(spark, sf), test))
-    compared = ML.compare_models(predictions)
+    return materialise(ML.compare_models(predictions))
+
+
+def full_comparison(spark, sf) -> DataFrame:
+    """Metrics of both classifiers on the held-out accounts; the deployed model
+    is chosen from these, never from rounded ones."""
+    return _comparison(_key(spark), sf)
+
+
+def comparison(spark, sf) -> DataFrame:
+    """The same, rounded to 4 places for the report."""
+    compared = full_comparison(spark, sf)
     return compared.select("model", *[
         F.round(c, 4).alias(c) for c in compared.columns if c != "model"])
 
 
 def contributions(spark, sf) -> DataFrame:
+    """Over all held-out accounts."""
     _, test = churn_split(spark, sf)
-    sample = fixed_sample(test, C.EXPLANATION_SAMPLE)
     scratch = f"{checkpoint_dir(spark)}/forest-nodes-{uuid.uuid4().hex}"
-    return explain.contribution_summary(churn(spark, sf), sample, scratch)
+    return explain.contribution_summary(churn(spark, sf), test, scratch)
 
 
 def profiles(spark, sf) -> DataFrame:

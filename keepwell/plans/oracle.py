@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from keepwell import contract as C
 
+SAMPLE_ROWS = 100
+
 _D = "DECIMAL(18,2)"
 
 
@@ -415,24 +417,27 @@ def _standard(source: str, key: str, columns) -> str:
 
 
 def _silhouette() -> str:
-    n = C.SILHOUETTE_SAMPLE
-    d = "+".join(f"(x.{c} - y.{c}) * (x.{c} - y.{c})" for c in C.SEGMENT_FEATURES)
+    """From the statistics of each cluster: mean squared distances need no pairs."""
+    cs = C.SEGMENT_FEATURES
+    norm = " + ".join(f"{c} * {c}" for c in cs)
+    cross = " + ".join(f"p.{c} * g.m_{c}" for c in cs)
     return f"""
-SELECT ROUND(AVG(CASE WHEN own_n > 1 AND GREATEST(own_d / (own_n - 1), b) > 0
-                 THEN (b - own_d / (own_n - 1)) / GREATEST(own_d / (own_n - 1), b)
+SELECT ROUND(AVG(CASE WHEN own_n > 1 AND GREATEST(a, b) > 0 THEN (b - a) / GREATEST(a, b)
                  ELSE 0.0::DOUBLE END), 6) AS silhouette
-FROM (SELECT id, MAX(CASE WHEN oc = c THEN n END) AS own_n, MAX(CASE WHEN oc = c THEN d END) AS own_d,
-             MIN(CASE WHEN oc <> c THEN d / n END) AS b
-      FROM (SELECT x.Customer_ID AS id, x.Cluster AS c, y.Cluster AS oc, COUNT(*) AS n,
-                   SUM(SQRT({d})) AS d
-            FROM picked x CROSS JOIN picked y GROUP BY 1, 2, 3) GROUP BY id)"""
+FROM (SELECT p.Customer_ID, MAX(CASE WHEN g.Cluster = p.Cluster THEN n END) AS own_n,
+             MAX(CASE WHEN g.Cluster = p.Cluster AND n > 1
+                 THEN GREATEST(p.norm - 2 * ({cross}) + square, 0) * n / (n - 1) END) AS a,
+             MIN(CASE WHEN g.Cluster <> p.Cluster
+                 THEN GREATEST(p.norm - 2 * ({cross}) + square, 0) END) AS b
+      FROM (SELECT *, {norm} AS norm FROM picked) p
+      CROSS JOIN (SELECT Cluster, COUNT(*)::DOUBLE AS n, AVG({norm}) AS square,
+                         {', '.join(f'AVG({c}) AS m_{c}' for c in cs)} FROM picked GROUP BY 1) g
+      GROUP BY 1)"""
 
 
 _PICKED = f"""
-picked AS (
-  SELECT Customer_ID, Cluster, {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in C.SEGMENT_FEATURES)}
-  FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY md5('42|' || Customer_ID)) AS place FROM named)
-  WHERE place <= {C.SILHOUETTE_SAMPLE})"""
+picked AS (SELECT Customer_ID, Cluster, {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in C.SEGMENT_FEATURES)}
+           FROM named)"""
 _SEGMENT_PROFILES = profile_ctes("Segment")
 _LABELLED = """(SELECT Customer_ID, CAST(Customer_Status = 'Churned' AS INTEGER) AS label
   FROM accounts WHERE Customer_Status IN ('Stayed', 'Churned'))"""
@@ -525,7 +530,7 @@ SELECT ANY_VALUE(p50) AS median_probability, ANY_VALUE(v50) AS median_value,
     "q_fixed_sample": a(f"""
 SELECT Customer_ID, Tenure_in_Months FROM (
   SELECT *, ROW_NUMBER() OVER (ORDER BY md5('42|' || Customer_ID)) AS place FROM accounts)
-WHERE place <= {C.SILHOUETTE_SAMPLE}"""),
+WHERE place <= {SAMPLE_ROWS}"""),
     "q_stratified_split": _nested([ACCOUNTS, f"labelled AS {_LABELLED}"],
                                   _split("labelled", "Customer_ID, label", "Customer_ID", "label")),
     "q_plain_split": _nested([ACCOUNTS], _split("accounts", "Customer_ID", "Customer_ID", None)),
@@ -618,21 +623,15 @@ SELECT Customer_ID AS customer_id, Customer_Status AS status, Priority_Label AS
        ROUND(Churn_Probability * 100, 6) AS churn_pct, ROUND(Predicted_CLV, 6) AS predicted_clv,
        Segment AS segment, Tenure_in_Months AS tenure_months,
        ROUND(Monthly_Charge, 6) AS monthly_bill FROM matrix"""),
-    "q_dossier": m(f"""
+    "q_dossier": m("""
 SELECT Customer_ID, Churn_Probability, Predicted_CLV, Priority_Label, Segment,
-       x.Customer_Status, Contract, Internet_Type, Payment_Method, Offer, City,
-       Age || ' · ' || CASE WHEN Gender = 1 THEN 'Male' ELSE 'Female' END AS age_gender,
-       CASE WHEN Married = 1 THEN 'Yes' ELSE 'No' END || ' · ' || Number_of_Dependents
-         || ' dependents' AS household,
-       x.Total_Services || ' total · ' || Premium_Services || ' premium · '
-         || Streaming_Services || ' streaming' AS services,
+       x.Customer_Status, Contract, Internet_Type, Payment_Method, Offer, City, Age,
+       Gender = 1 AS is_male, Married = 1 AS is_married, Number_of_Dependents,
+       x.Total_Services, Premium_Services, Streaming_Services,
        x.Monthly_Charge, Total_Revenue, x.Tenure_in_Months,
-       CASE WHEN Paperless_Billing = 1 THEN 'Yes' ELSE 'No' END AS paperless, Number_of_Referrals,
-       Number_of_Referrals / GREATEST(x.Tenure_in_Months / 12.0::DOUBLE, 1e-9::DOUBLE)
-         AS referrals_per_year,
-       Avg_Monthly_GB_Download,
-       CASE WHEN Is_New_Customer = 1 THEN 'new customer' ELSE 'established' END || ' · '
-         || CASE WHEN Senior_Citizen = 1 THEN 'senior' ELSE 'under 60' END AS status_flags
+       Paperless_Billing = 1 AS is_paperless, Number_of_Referrals,
+       Number_of_Referrals / NULLIF(x.Tenure_in_Months / 12.0::DOUBLE, 0) AS referrals_per_year,
+       Avg_Monthly_GB_Download, Is_New_Customer = 1 AS is_new, Senior_Citizen = 1 AS is_senior
 FROM matrix JOIN features x USING (Customer_ID)"""),
     "q_pick_account": m("""
 SELECT * FROM ranked WHERE contains(lower(Customer_ID), 'c0000001')
@@ -640,11 +639,7 @@ ORDER BY rank LIMIT 1 OFFSET 3"""),
     "q_rule_explained": m(f"""
 SELECT Customer_ID, Priority_Label, CASE WHEN hr THEN 'at/above' ELSE 'below' END AS risk_side,
        CASE WHEN hv THEN 'at/above' ELSE 'below' END AS value_side,
-       'churn probability ' || CASE WHEN hr THEN '>=' ELSE '<' END || ' base median: '
-         || CASE WHEN hr THEN 'HIGH risk' ELSE 'low risk' END || '; predicted CLV '
-         || CASE WHEN hv THEN '>=' ELSE '<' END || ' base median: '
-         || CASE WHEN hv THEN 'HIGH value' ELSE 'low value' END || ' => '
-         || upper(Priority_Label) AS rule_text,
+       Churn_Probability - p50 AS risk_margin, Predicted_CLV - v50 AS value_margin,
        {_word('Priority_Label', C.PLAYBOOK)} AS playbook FROM matrix"""),
     # plain tables
     "t_order_quantiles": _union([_quantile_row(t, c) for t, c in (
@@ -658,7 +653,7 @@ SELECT Customer_ID, Priority_Label, CASE WHEN hr THEN 'at/above' ELSE 'below' EN
     "t_order_sample": f"""
 SELECT o_orderkey, o_totalprice FROM (
   SELECT *, ROW_NUMBER() OVER (ORDER BY md5('42|' || CAST(o_orderkey AS VARCHAR))) AS place
-  FROM orders) WHERE place <= {C.SILHOUETTE_SAMPLE}""",
+  FROM orders) WHERE place <= {SAMPLE_ROWS}""",
     "t_label_split": _split("labels", "doc_id, quality", "doc_id", "quality"),
     "t_order_split": _split("orders", "o_orderkey, o_orderstatus", "o_orderkey", "o_orderstatus"),
     "t_label_confusion": """

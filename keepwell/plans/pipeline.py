@@ -18,7 +18,6 @@ from keepwell.operators import explain, kpis, models as ML, segments as SG, vali
 from keepwell.operators import metrics as M
 from keepwell.operators import priority as PR
 from keepwell.operators.prepare import build_features, split_rejected
-from keepwell.operators.sampling import fixed_sample
 from keepwell.operators.score import Bundle
 from keepwell.session import tune
 from keepwell.sources import accounts as A
@@ -55,8 +54,7 @@ def churn_stage(spark: SparkSession, root: str,
     T.write_table(T.rounded(comparison), root, "churn_model_comparison")
     T.write_table(M.confusion_matrix(predictions.where(F.col("model") == winner)),
                   root, "churn_confusion_matrix")
-    sample = fixed_sample(test, C.EXPLANATION_SAMPLE)
-    T.write_table(explain.contribution_summary(models, sample, T.table_path(root, "_forest_nodes")),
+    T.write_table(explain.contribution_summary(models, test, T.table_path(root, "_forest_nodes")),
                   root, "churn_contributions")
     models[winner].save(T.table_path(root, "churn_model"))
     log.info("churn: %s deployed", winner)

@@ -33,6 +33,7 @@ from keepwell.sources import accounts as A
 from keepwell.sources.star_schema import accounts, load, raw_accounts
 
 SEARCH_TEXT = " c0000001 "
+SAMPLE_ROWS = 100      # below the smallest base, so that a cut is searched at every size
 NO_ORDERS = tuple(c for c in C.COLUMNS if c not in
                   ("Number_of_Referrals", "Total_Refunds", "Total_Revenue",
                    "Total_Extra_Data_Charges"))
@@ -56,36 +57,46 @@ def rule_base(spark: SparkSession, sf: str) -> DataFrame:
     """Rule scores with the columns segments and KPIs need. Medians and
     terciles take further passes, so the narrow result is materialised once in
     the shared checkpoint folder instead of repeating the joins."""
-    return materialise(features(spark, sf).select(
-        C.ID, rules.risk_rule().alias(C.PROBABILITY), F.col(C.VALUE_TARGET).alias(C.VALUE),
-        "Customer_Status", *C.SEGMENT_FEATURES))
+    return materialise(features(spark, sf).select(*rule_columns()))
+
+
+def rule_columns() -> list:
+    return [C.ID, rules.risk_rule().alias(C.PROBABILITY), F.col(C.VALUE_TARGET).alias(C.VALUE),
+            "Customer_Status", *C.SEGMENT_FEATURES]
 
 
 def rule_level(feature: str, terciles: SG.Terciles):
     return terciles.level(F.col(feature), feature)
 
 
-def rule_assignments(base: DataFrame, terciles: SG.Terciles) -> DataFrame:
-    """Nine rule clusters from the tenure and charge thirds."""
+def rule_assigned(base: DataFrame, terciles: SG.Terciles) -> DataFrame:
+    """``base`` with nine rule clusters from the tenure and charge thirds."""
     tenure, charge, _ = C.SEGMENT_FEATURES
     order = {"Low": 0, "Mid": 1, "High": 2}
     number = lambda level: F.when(level == "Low", order["Low"]).when(
         level == "Mid", order["Mid"]).otherwise(order["High"])
     t, c = rule_level(tenure, terciles), rule_level(charge, terciles)
-    return base.select(C.ID, (number(t) * 3 + number(c)).alias("Cluster"),
-                       rules.segment_name(t, c).alias(C.SEGMENT))
+    return base.withColumns({"Cluster": number(t) * 3 + number(c),
+                             C.SEGMENT: rules.segment_name(t, c)})
+
+
+def rule_assignments(base: DataFrame, terciles: SG.Terciles) -> DataFrame:
+    """The clusters as a table of their own, as a fitted model stores them."""
+    return rule_assigned(base, terciles).select(C.ID, "Cluster", C.SEGMENT)
 
 
 def rule_matrix(spark: SparkSession, sf: str, keep=()) -> DataFrame:
-    """Labels and segments by the rules, joined one to one on the id."""
+    """Labels and segments by the rules."""
     base = rule_base(spark, sf)
     return matrix_of(base, keep)
 
 
 def matrix_of(base: DataFrame, keep=()) -> DataFrame:
-    labelled = PR.label_accounts(base, PR.median_thresholds(base)).select(
-        C.ID, C.PROBABILITY, C.VALUE, C.LABEL, *keep)
-    return PR.attach_segments(labelled, rule_assignments(base, SG.population_terciles(base)))
+    """The rule segment is a projection of the same row, so nothing is joined;
+    ``q_attach_segments`` joins a stored assignment table instead."""
+    labelled = PR.label_accounts(base, PR.median_thresholds(base))
+    return rule_assigned(labelled, SG.population_terciles(base)).select(
+        C.ID, C.PROBABILITY, C.VALUE, C.LABEL, *keep, C.SEGMENT)
 
 
 def rule_profiles(base: DataFrame, terciles: SG.Terciles, cluster) -> DataFrame:
@@ -261,7 +272,7 @@ def q_tercile_levels(spark, sf):
 
 def q_fixed_sample(spark, sf):
     a = accounts(spark, sf, [C.ID, "Tenure_in_Months"])
-    return fixed_sample(a, C.SILHOUETTE_SAMPLE)
+    return fixed_sample(a, SAMPLE_ROWS)
 
 
 def q_stratified_split(spark, sf):
@@ -308,10 +319,8 @@ def q_regression_metrics(spark, sf):
 
 def q_silhouette(spark, sf):
     base = rule_base(spark, sf)
-    clustered = base.join(
-        rule_assignments(base, SG.population_terciles(base)).select(C.ID, "Cluster"), C.ID)
-    sample = fixed_sample(clustered, C.SILHOUETTE_SAMPLE)
-    return rounded(M.silhouette(sample, list(C.SEGMENT_FEATURES), "Cluster"))
+    clustered = rule_assigned(base, SG.population_terciles(base))
+    return rounded(M.silhouette(clustered, list(C.SEGMENT_FEATURES), "Cluster"))
 
 
 # --- priority matrix and KPIs ----------------------------------------------
@@ -323,7 +332,13 @@ def q_priority_labels(spark, sf):
 
 
 def q_attach_segments(spark, sf):
-    return rule_matrix(spark, sf)
+    """The join of scores with a table of assignments (J-1)."""
+    base = rule_base(spark, sf)
+    labelled = PR.label_accounts(base, PR.median_thresholds(base)).select(
+        C.ID, C.PROBABILITY, C.VALUE, C.LABEL)
+    assigned = materialise(rule_assignments(base, SG.population_terciles(base)))
+    V.require_one_to_one(labelled, assigned)
+    return PR.attach_segments(labelled, assigned)
 
 
 def q_ranked_list(spark, sf):
@@ -413,15 +428,16 @@ def q_filter_queue(spark, sf):
 
 def q_priority_queue(spark, sf):
     base = rule_base(spark, sf)
-    joined = LK.join_records(
-        matrix_of(base),
-        base.select(C.ID, "Customer_Status", "Tenure_in_Months", "Monthly_Charge"))
-    return rounded(LK.priority_queue(joined))
+    return rounded(LK.priority_queue(matrix_of(
+        base, ["Customer_Status", "Tenure_in_Months", "Monthly_Charge"])))
 
 
 def q_dossier(spark, sf):
-    joined = LK.join_records(rule_matrix(spark, sf), features(spark, sf))
-    return LK.dossier(joined)
+    """The join of the matrix with the account records (J-2); the feature table
+    is built once and stored, and both sides come from it."""
+    stored = materialise(features(spark, sf))
+    base = stored.select(*rule_columns())
+    return LK.dossier(LK.join_records(matrix_of(base), stored))
 
 
 def q_pick_account(spark, sf):
@@ -464,7 +480,7 @@ def t_document_blanks(spark, sf):
 
 def t_order_sample(spark, sf):
     orders = load(spark, sf, "orders").select("o_orderkey", "o_totalprice")
-    return fixed_sample(orders, C.SILHOUETTE_SAMPLE, id_column="o_orderkey")
+    return fixed_sample(orders, SAMPLE_ROWS, id_column="o_orderkey")
 
 
 def t_label_split(spark, sf):
@@ -526,7 +542,8 @@ def q_model_comparison(spark, sf):
 
 
 def q_best_model(spark, sf):
-    return ML.best_model(fitted.comparison(spark, sf))
+    """Chosen at full precision, reported to 4 places."""
+    return rounded(ML.best_model(fitted.full_comparison(spark, sf)), 4)
 
 
 def q_clv_metrics(spark, sf):

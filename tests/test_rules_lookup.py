@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from keepwell import contract as C
 from keepwell.operators import kpis as K
 from keepwell.operators import lookup as LK
+from keepwell.operators.validate import AccountTableError
 from keepwell.operators import priority as PR
 
 ROWS = [("b7", 0.9, 50.0, "S1", "Churned"), ("A7", 0.9, 10.0, "S1", "Stayed"),
@@ -97,8 +98,15 @@ def test_rule_texts(scores, matrix):
     t = PR.median_thresholds(scores)
     row = LK.explain_rule(matrix, t).where("Customer_ID = 'A7'").first()
     assert row.risk_side == "at/above" and row.value_side == "below"
-    assert row.rule_text.endswith("low value => NURTURE")
-    assert row.playbook == "Cheap save offer."
+    assert row.risk_margin >= 0 > row.value_margin
+    assert row.playbook == C.PLAYBOOK["Nurture"]
+
+
+def test_record_join_refuses_a_repeated_id(matrix):
+    record = matrix.select(C.ID).limit(1)
+    twice = record.unionByName(record).withColumn("City", F.lit("X"))
+    with pytest.raises(AccountTableError, match="repeated"):
+        LK.join_records(matrix, twice)
 
 
 def test_every_quadrant_and_a_half_split(spark):

@@ -34,27 +34,57 @@ CASES = {
 
 
 @pytest.mark.parametrize("case", CASES)
-def test_both_quantile_paths_agree(spark, case):
+def test_quantiles_for_any_bins(spark, case):
     df = frame(spark, CASES[case])
     probs = [0.0, 1 / 3, 0.5, 2 / 3, 1.0]
-    builtin = exact_quantiles(df, ["x"], probs)["x"]
-    narrowed = exact_quantiles(df, ["x"], probs, builtin_row_limit=0, bins=4)["x"]
+    wide = exact_quantiles(df, ["x"], probs)["x"]
+    narrowed = exact_quantiles(df, ["x"], probs, bins=4)["x"]
     clean = [v for v in CASES[case] if v is not None and not math.isnan(v)]
-    assert narrowed == builtin
-    assert np.allclose(builtin, np.quantile(clean, probs), rtol=1e-12)
+    assert narrowed == wide
+    assert np.allclose(wide, np.quantile(clean, probs), rtol=1e-12)
+
+
+def test_quantiles_with_infinities_and_a_span_beyond_doubles(spark):
+    inf = math.inf
+    values = [-inf, *map(float, range(50)), inf, inf]
+    got = exact_quantiles(frame(spark, values), ["x"], [0.0, 0.5, 1.0], bins=4)["x"]
+    assert got == [-inf, 25.0, inf]
+    huge = [-1.7e308, -1.0, 0.0, 1.0, 1.7e308]
+    assert exact_quantiles(frame(spark, huge), ["x"], [0.0, 0.25, 0.5, 1.0], bins=4)["x"] == [
+        -1.7e308, -1.0, 0.0, 1.7e308]
+    assert exact_quantiles(frame(spark, [5e-324, 0.0]), ["x"], [1.0], bins=4)["x"] == [5e-324]
 
 
 @settings(**FEW)
 @given(values=st.lists(st.floats(-1e6, 1e6, allow_nan=False), min_size=1, max_size=60),
        p=st.floats(0, 1))
 def test_quantile_property(spark, values, p):
-    got = exact_quantiles(frame(spark, values), ["x"], [p], builtin_row_limit=0, bins=8)["x"][0]
+    got = exact_quantiles(frame(spark, values), ["x"], [p], bins=8)["x"][0]
     assert np.isclose(got, np.quantile(values, p), rtol=1e-9, atol=1e-9)
 
 
 def test_quantile_of_nothing(spark):
     assert exact_quantiles(frame(spark, [None]), ["x"], [0.5]) == {"x": [None]}
-    assert exact_quantiles(frame(spark, [None]), ["x"], [0.5], builtin_row_limit=-1) == {"x": [None]}
+
+
+def test_split_keeps_a_null_class(spark):
+    df = spark.range(100).select("id", F.when(F.col("id") % 4 > 0, F.col("id") % 2).alias("c"))
+    drawn = exact_split(df, 0.2, strata="c", id_column="id").where("is_test")
+    assert drawn.count() == 20
+    assert {r.c: r["count"] for r in drawn.groupBy("c").count().collect()} == {None: 5, 0: 5, 1: 10}
+
+
+def test_sample_refuses_rows_that_share_an_id(spark):
+    df = spark.range(100).select((F.col("id") % 10).alias("id"))
+    with pytest.raises(ValueError, match="share an id"):
+        fixed_sample(df, 15, "id")
+    assert fixed_sample(df, 20, "id").count() == 20
+
+
+def test_split_refuses_an_id_like_class(spark):
+    df = spark.range(1_001).select("id", F.col("id").alias("c"))
+    with pytest.raises(ValueError, match="classes"):
+        exact_split(df, strata="c", id_column="id")
 
 
 def skewed(spark, n=900):
@@ -176,7 +206,7 @@ def test_class_weights(spark):
 def brute_silhouette(x, c):
     out = []
     for i in range(len(x)):
-        d = np.sqrt(((x - x[i]) ** 2).sum(axis=1))
+        d = ((x - x[i]) ** 2).sum(axis=1)
         own = c == c[i]
         if own.sum() < 2:
             out.append(0.0)
@@ -195,7 +225,7 @@ def test_silhouette(spark):
     df = spark.createDataFrame([(int(k), *map(float, p)) for k, p in zip(c, x)],
                                "cluster int, a double, b double")
     got = M.silhouette(df, ["a", "b"]).first()[0]
-    assert np.isclose(got, brute_silhouette(x, c), rtol=1e-12)
+    assert np.isclose(got, brute_silhouette(x, c), rtol=1e-9)
 
 
 def test_standardise(spark):
