@@ -27,18 +27,19 @@ from keepwell.operators.sampling import exact_split
 from keepwell.operators.validate import (
     AccountTableError, finite_check, require_inputs, require_numeric,
 )
-from keepwell.session import shuffle_partitions
 
 LOGISTIC, FOREST = C.CHURN_MODEL_NAMES
 
 
 @dataclass(frozen=True)
 class ForestSettings:
-    """Library defaults. Depth is capped where Spark's level-wise growth stays
-    affordable; 100 trees and the feature subset rule are the usual defaults."""
+    """Library defaults. Depth is bounded where Spark's level-wise growth stays
+    affordable, and ``bins`` is the number of candidate cuts per feature (an
+    exact search would sort every feature); 100 trees and the feature subset
+    rule are the usual defaults."""
     trees: int = 100
     depth: int = 10
-    bins: int = 32
+    bins: int = 128
 
 
 @dataclass(frozen=True)
@@ -94,18 +95,17 @@ def require_finite(df: DataFrame, columns) -> None:
 # Rows one task handles: forests do much work per row, k-means very little.
 FOREST_ROWS_PER_TASK = 2_000
 KMEANS_ROWS_PER_TASK = 100_000
-MAX_ROWS_PER_PARTITION = 500_000
+MOST_TASKS = 2_000
 
 
 @contextmanager
 def fixed_layout(df: DataFrame, rows_per_task: int = FOREST_ROWS_PER_TASK):
-    """Cached rows in the layout every fit shares. The number of partitions
-    follows the row count: few for a small base, where task overhead would
-    dominate an iterative fit, and as many as a partition size of half a
-    million rows asks for on a large one."""
+    """Cached rows in the layout every fit shares. Bagging draws per partition,
+    so the number of partitions follows the row count and these parameters
+    alone, never a session setting: the same rows and seed give the same forest
+    on any cluster."""
     n = df.count()
-    parts = max(1, min(shuffle_partitions(df.sparkSession), math.ceil(n / rows_per_task)),
-                math.ceil(n / MAX_ROWS_PER_PARTITION))
+    parts = min(MOST_TASKS, max(1, math.ceil(n / rows_per_task)))
     rows = df.repartition(parts, C.ID).sortWithinPartitions(C.ID).persist(
         StorageLevel.MEMORY_AND_DISK)
     try:

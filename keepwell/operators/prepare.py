@@ -39,11 +39,12 @@ def one_hot(df: DataFrame) -> DataFrame:
     })
 
 
-def build_features(df: DataFrame) -> DataFrame:
+def build_features(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Full chain in the fixed column order; columns the input lacks (identity
-    and outcomes of a record to score) are simply absent from the result."""
+    and outcomes of a record to score) are simply absent from the result.
+    ``keep`` names further columns to carry."""
     out = df.transform(repair).transform(encode_flags).transform(derive).transform(one_hot)
-    return out.select(*[c for c in C.FEATURE_COLUMNS if c in out.columns])
+    return out.select(*[c for c in C.FEATURE_COLUMNS if c in out.columns], *keep)
 
 
 def score_frame(df: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from keepwell.operators import models as ML
 from keepwell.operators import priority as PR
 from keepwell.operators import segments as SG
 from keepwell.operators.prepare import build_features
-from keepwell.operators.score import Bundle, score_accounts
+from keepwell.operators.score import Bundle, score_records
 from keepwell.session import checkpoint_dir, materialise
 from keepwell.sources.star_schema import accounts
 
@@ -129,11 +129,29 @@ def scores(spark, sf) -> DataFrame:
     return ML.score_base(features(spark, sf), best, value(spark, sf))
 
 
-def score_new(spark, sf) -> DataFrame:
-    """All accounts sent through the scoring function against stored medians."""
-    base = materialise(scores(spark, sf))
+@lru_cache(maxsize=16)
+def _bundle(app: str, sf: str) -> Bundle:
+    spark = SparkSession.active()
     names = {r["cluster"]: r["segment"] for r in
              profiles(spark, sf).select("cluster", "segment").collect()}
-    bundle = Bundle(churn(spark, sf)[_deployed(_key(spark), sf)], value(spark, sf),
-                    segments(spark, sf), names, PR.median_thresholds(base))
-    return score_accounts(accounts(spark, sf), bundle)
+    return Bundle(churn(spark, sf)[_deployed(app, sf)], value(spark, sf), segments(spark, sf), names,
+                  PR.median_thresholds(stored_scores(spark, sf)))
+
+
+def bundle(spark, sf) -> Bundle:
+    """What scoring needs, fitted on the base."""
+    return _bundle(_key(spark), sf)
+
+
+@lru_cache(maxsize=16)
+def _stored_scores(app: str, sf: str) -> DataFrame:
+    return materialise(scores(SparkSession.active(), sf))
+
+
+def stored_scores(spark, sf) -> DataFrame:
+    return _stored_scores(_key(spark), sf)
+
+
+def score_new(spark, sf) -> DataFrame:
+    """All accounts sent through the scoring function against stored medians."""
+    return score_records(accounts(spark, sf), bundle(spark, sf))

@@ -328,19 +328,19 @@ def _text_filled(c: str) -> str:
 def _reasons() -> str:
     """The text extract laid over typed columns, then every reason in order."""
     parts = []
-    for c, (low, high) in C.SCORE_BOUNDS.items():
-        outside = f"{c} < {low}" + (f" OR {c} > {high}" if high is not None else "")
-        parts.append(f"CASE WHEN {outside} THEN '{c}: out of range' END")
     for c in C.SCORE_INPUTS:
+        blank = (f"({_filled(c)}) IS NULL THEN '{c}: blank that cannot be repaired'"
+                 if C.FIELD[c].may_be_blank else f"{c} IS NULL THEN '{c}: missing'")
+        cases = [f"WHEN {blank}"]
         if C.FIELD[c].vocabulary:
-            parts.append(f"CASE WHEN {_bad_word(c)} THEN '{c}: unknown value' END")
-        if C.FIELD[c].may_be_blank:
-            parts.append(f"CASE WHEN ({_filled(c)}) IS NULL THEN "
-                         f"'{c}: blank that cannot be repaired' END")
-        else:
-            parts.append(f"CASE WHEN {c} IS NULL THEN '{c}: missing' END")
-    parts.append("CASE WHEN Tenure_in_Months = 0 THEN "
-                 "'Tenure_in_Months: zero, no referral rate' END")
+            cases.append(f"WHEN {_bad_word(c)} THEN '{c}: unknown value'")
+        if c in C.SCORE_BOUNDS:
+            low, high = C.SCORE_BOUNDS[c]
+            outside = f"{c} < {low}" + (f" OR {c} > {high}" if high is not None else "")
+            cases.append(f"WHEN {outside} THEN '{c}: out of range'")
+        if c == "Tenure_in_Months":
+            cases.append(f"WHEN {c} = 0 THEN '{c}: zero, no referral rate'")
+        parts.append(f"CASE {' '.join(cases)} END")
     return ", ".join(parts)
 
 
@@ -448,6 +448,10 @@ def _nested(outer_with: list[str], statement: str) -> str:
     return "WITH " + ",".join(outer_with) + "," + statement.strip()[len("WITH"):]
 
 
+def _no_violation(table: str) -> str:
+    return f"SELECT COUNT(*) AS row_count, CAST(0 AS BIGINT) AS violations FROM {table}"
+
+
 ORACLES = {
     # scans and validation
     "q_scan_accounts": r("SELECT * FROM typed"),
@@ -641,6 +645,32 @@ SELECT Customer_ID, Priority_Label, CASE WHEN hr THEN 'at/above' ELSE 'below' EN
        CASE WHEN hv THEN 'at/above' ELSE 'below' END AS value_side,
        Churn_Probability - p50 AS risk_margin, Predicted_CLV - v50 AS value_margin,
        {_word('Priority_Label', C.PLAYBOOK)} AS playbook FROM matrix"""),
+    # properties of fitted models
+    "q_score_acceptance": r(
+        "SELECT Customer_ID AS customer_id, reasons = '' AS accepted, reasons, TRUE AS complete "
+        f"FROM (SELECT Customer_ID, concat_ws('; ', {_reasons()}) AS reasons FROM typed)"),
+    "q_stream_scoring": r(
+        "SELECT Customer_ID AS customer_id, reasons = '' AS accepted, reasons "
+        f"FROM (SELECT Customer_ID, concat_ws('; ', {_reasons()}) AS reasons FROM typed)"),
+    "q_bundle_round_trip": _no_violation("customer"),
+    "q_scored_base_check": _no_violation("customer"),
+    "q_model_label_check": _no_violation("customer"),
+    "q_segment_nearest_check": _no_violation("customer"),
+    "q_model_score_range_check": "SELECT COUNT(*) AS row_count, CAST(0 AS BIGINT) AS probability_not_finite, "
+        "CAST(0 AS BIGINT) AS probability_out_of_range, CAST(0 AS BIGINT) AS value_not_finite FROM customer",
+    "q_model_assignment_contract": "SELECT COUNT(*) AS row_count, CAST(0 AS BIGINT) AS null_names, "
+        "CAST(0 AS BIGINT) AS unknown_names, CAST(0 AS BIGINT) AS unused_names, "
+        "CAST(0 AS BIGINT) AS extra_copies FROM customer",
+    "q_contribution_check": a(
+        "SELECT CAST(CEIL(0.2::DOUBLE * COUNT(*)) AS BIGINT) AS row_count, TRUE AS one_base, "
+        "TRUE AS base_is_a_share FROM accounts WHERE Customer_Status IN ('Stayed', 'Churned')"),
+    "q_logistic_gradient_check": "SELECT unnest([" + ", ".join(f"'{c}'" for c in C.CHURN_PREDICTORS)
+        + "]) AS feature, TRUE AS stationary",
+    "q_importance_check": "SELECT unnest([" + ", ".join(f"'{c}'" for c in C.VALUE_PREDICTORS)
+        + "]) AS feature, TRUE AS is_share",
+    "q_comparison_check": "SELECT unnest([" + ", ".join(f"'{c}'" for c in C.CHURN_MODEL_NAMES)
+        + "]) AS model, TRUE AS in_range, TRUE AS not_above_best",
+    "q_k_sweep_check": "SELECT CAST(range AS INTEGER) AS k, TRUE AS inertia_falls, TRUE AS in_range FROM range(2, 9)",
     # plain tables
     "t_order_quantiles": _union([_quantile_row(t, c) for t, c in (
         ("orders", "o_totalprice"), ("lineitem", "l_extendedprice"), ("customer", "c_acctbal"))]),

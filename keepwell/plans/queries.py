@@ -7,19 +7,23 @@ rule; queries named ``q_model_*`` and the other unverified ones fit models.
 
 from __future__ import annotations
 
+import uuid
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from keepwell import contract as C
 from keepwell.functions import rules
+from keepwell.operators import explain as E
 from keepwell.operators import kpis as K
 from keepwell.operators import lookup as LK
 from keepwell.operators import metrics as M
 from keepwell.operators import models as ML
 from keepwell.operators import prepare as P
 from keepwell.operators import priority as PR
+from keepwell.operators import score as SC
 from keepwell.operators import segments as SG
 from keepwell.operators import validate as V
 from keepwell.operators.ordering import rank_global
@@ -28,9 +32,10 @@ from keepwell.operators.sampling import exact_split, fixed_sample
 from keepwell.operators.score import check_records, rejected
 from keepwell.operators.standardise import standardise
 from keepwell.plans import fitted
-from keepwell.session import materialise, tune
+from keepwell.session import checkpoint_dir, materialise, tune
 from keepwell.sources import accounts as A
 from keepwell.sources.star_schema import accounts, load, raw_accounts
+from keepwell.streaming.scoring import account_stream, score_stream
 
 SEARCH_TEXT = " c0000001 "
 SAMPLE_ROWS = 100      # below the smallest base, so that a cut is searched at every size
@@ -593,7 +598,7 @@ def q_model_score_range_check(spark, sf):
 
 
 def q_model_priority_matrix(spark, sf):
-    scores = materialise(fitted.scores(spark, sf))
+    scores = fitted.stored_scores(spark, sf)
     labelled = PR.label_accounts(scores, PR.median_thresholds(scores))
     return PR.ranked_list(PR.attach_segments(labelled, q_segment_assign(spark, sf)))
 
@@ -602,6 +607,141 @@ def q_score_new_accounts(spark, sf):
     return fitted.score_new(spark, sf)
 
 
+# --- properties of the fitted models that hold whatever was fitted ------------
+
+def _verdict(df: DataFrame, violated) -> DataFrame:
+    return df.agg(F.count("*").alias("row_count"),
+                  F.count_if(F.coalesce(violated, F.lit(True))).alias("violations"))
+
+
+def q_score_acceptance(spark, sf):
+    """Every record of the raw extract is answered, with its reasons or scores."""
+    judged = SC.score_records(raw(spark, sf), fitted.bundle(spark, sf))
+    complete = F.lit(True)
+    for name in SC.OUTPUTS:
+        complete = complete & (F.col(name).isNotNull() == F.col("accepted"))
+    return judged.select("customer_id", "accepted", F.concat_ws("; ", "reasons").alias("reasons"),
+                         complete.alias("complete"))
+
+
+def q_stream_scoring(spark, sf):
+    """The same through a stream: a file source read in several batches, one
+    sink for scores and one for rejects, put together again."""
+    root = f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+    raw(spark, sf).repartition(3).write.parquet(f"{root}/in")
+    schema = spark.read.parquet(f"{root}/in").schema
+    stream = account_stream(spark, f"{root}/in", schema=schema, files_per_trigger=1)
+    score_stream(stream, fitted.bundle(spark, sf), f"{root}/scores", f"{root}/rejects",
+                 f"{root}/state").awaitTermination()
+    good, bad = spark.read.parquet(f"{root}/scores"), spark.read.parquet(f"{root}/rejects")
+    return good.select("customer_id", F.lit(True).alias("accepted"), F.lit("").alias("reasons")).unionByName(
+        bad.select("customer_id", F.lit(False).alias("accepted"), F.concat_ws("; ", "reasons").alias("reasons")))
+
+
+def q_bundle_round_trip(spark, sf):
+    """Stored and loaded again, the bundle scores every account the same."""
+    root = f"{checkpoint_dir(spark)}/bundle-{uuid.uuid4().hex}"
+    kept = fitted.bundle(spark, sf)
+    kept.save(root)
+    a = accounts(spark, sf)
+    again = SC.score_records(a, SC.Bundle.load(root)).select(
+        "customer_id", F.struct(*SC.OUTPUTS).alias("loaded"))
+    both = SC.score_records(a, kept).select("customer_id", F.struct(*SC.OUTPUTS).alias("fitted")).join(
+        again, "customer_id")
+    return _verdict(both, ~F.col("loaded").eqNullSafe(F.col("fitted")))
+
+
+def q_scored_base_check(spark, sf):
+    """Stored scores equal the deployed models' answers, and both are in range."""
+    again = fitted.scores(spark, sf).withColumnsRenamed({C.PROBABILITY: "p", C.VALUE: "v"})
+    both = fitted.stored_scores(spark, sf).join(again, C.ID)
+    return _verdict(both, (F.abs(F.col(C.PROBABILITY) - F.col("p")) > 1e-12)
+                    | (F.abs(F.col(C.VALUE) - F.col("v")) > 1e-9) | ~F.col("p").between(0, 1))
+
+
+def q_model_label_check(spark, sf):
+    """Labels of the model matrix follow the medians Spark's percentile gives."""
+    matrix = q_model_priority_matrix(spark, sf)
+    mid = matrix.agg(F.percentile(C.PROBABILITY, 0.5).alias("p"), F.percentile(C.VALUE, 0.5).alias("v"))
+    want = rules.priority_label(F.col(C.PROBABILITY) >= F.col("p"), F.col(C.VALUE) >= F.col("v"))
+    return _verdict(matrix.join(F.broadcast(mid)), F.col(C.LABEL) != want)    # mid is one row
+
+
+def q_segment_nearest_check(spark, sf):
+    """Every account is in the cluster whose centroid is nearest in scaled units."""
+    model = fitted.segments(spark, sf)
+    scaler = model.fitted.pipeline.stages[-2]
+    std = scaler.std.toArray()
+    rows = model.assign(fitted.features(spark, sf).select(C.ID, *C.SEGMENT_FEATURES))
+
+    def distance(centroid):
+        return sum((((F.col(f) - c) / float(s)) ** 2 for f, c, s in zip(C.SEGMENT_FEATURES, centroid, std)), F.lit(0.0))
+
+    own = F.lit(None).cast("double")
+    for k, centroid in enumerate(model.centroids):
+        own = F.when(F.col("cluster") == k, distance(centroid)).otherwise(own)
+    nearest = F.least(*[distance(c) for c in model.centroids])
+    return _verdict(rows, own > nearest + 1e-9)
+
+
+def q_contribution_check(spark, sf):
+    """Forest contributions of every held-out account add up to its score."""
+    _, test = fitted.churn_split(spark, sf)
+    model = fitted.churn(spark, sf)[ML.FOREST]
+    scratch = f"{checkpoint_dir(spark)}/forest-nodes-{uuid.uuid4().hex}"
+    total = E.forest_contributions(model, test, scratch).groupBy(C.ID).agg(F.sum("contribution").alias("total"))
+    rest = materialise(ML.churn_scores(model, test).join(total, C.ID).select(
+        C.ID, (F.col(C.PROBABILITY) - F.col("total")).alias("base")))
+    base = rest.agg(F.min("base").alias("low"), F.max("base").alias("high"))
+    return rest.agg(F.count("*").alias("row_count")).join(F.broadcast(base)).select(
+        "row_count", (F.col("high") - F.col("low") < 1e-6).alias("one_base"),
+        F.col("low").between(0, 1).alias("base_is_a_share"))
+
+
+def q_logistic_gradient_check(spark, sf):
+    """At the fitted weights the penalised gradient of every feature vanishes."""
+    train, _ = fitted.churn_split(spark, sf)
+    model = fitted.churn(spark, sf)[ML.LOGISTIC]
+    last = model.pipeline.stages[-1]
+    weighted, n = ML.balanced(train)
+    scored = model.pipeline.transform(weighted)
+    z, p = vector_to_array("churn_features"), vector_to_array("churn_class_shares")[1]
+    error = F.col("weight") * (p - F.col("label"))
+    sums = scored.select(error.alias("e"), z.alias("z")).agg(
+        *[F.avg(F.col("e") * F.col("z")[i]).alias(f"g{i}") for i in range(len(model.inputs))])
+    penalty = (n - 1) / n / n
+    return sums.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("feature"),
+                 (F.abs(F.col(f"g{i}") + penalty * float(last.coefficients[i])) < 1e-3).alias("stationary"))
+        for i, name in enumerate(model.inputs)])))
+
+
+def q_importance_check(spark, sf):
+    """Every predictor has a share, no share is negative, and they add to one."""
+    shares = ML.feature_importance(fitted.value(spark, sf))
+    total = shares.agg(F.sum("importance")).scalar()
+    return shares.select("feature", ((F.col("importance") >= 0) & (F.abs(total - 1) < 1e-9)).alias("is_share"))
+
+
+def q_comparison_check(spark, sf):
+    """Both classifiers are compared with rates in range, and the deployed one
+    has the largest AUC."""
+    full = fitted.full_comparison(spark, sf)
+    best = ML.best_model(full).select("roc_auc").scalar()
+    inside = F.lit(True)
+    for c in ("accuracy", "precision", "recall", "f1", "roc_auc"):
+        inside = inside & F.col(c).between(0, 1)
+    return full.select("model", inside.alias("in_range"), (F.col("roc_auc") <= best).alias("not_above_best"))
+
+
+def q_k_sweep_check(spark, sf):
+    """Every k is there, inertia falls, and the silhouette is one."""
+    before = F.lag("inertia").over(Window.orderBy("k"))      # seven rows
+    return fitted.k_evaluation(spark, sf).select(
+        "k", F.coalesce(F.col("inertia") < before, F.lit(True)).alias("inertia_falls"),
+        F.col("silhouette").between(-1, 1).alias("in_range"))
+
+
 def _tuned(query):
     @wraps(query)
     def run(spark: SparkSession, sf: str) -> DataFrame:

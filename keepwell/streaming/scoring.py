@@ -2,17 +2,16 @@
 
 Scoring is stateless: models, names and medians are fixed when the query
 starts. So there is no watermark and no state store; each micro-batch is one
-projection, and rejected records go to a sink of their own.
+projection whose accepted and rejected records go to a sink each.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from keepwell import contract as C
-from keepwell.operators.score import Bundle, check_records, rejected, score_accounts
+from keepwell.operators.score import OUTPUTS, Bundle, score_records
 
 
 def account_stream(spark: SparkSession, path: str, schema=C.ACCOUNT_SCHEMA,
@@ -25,21 +24,22 @@ def account_stream(spark: SparkSession, path: str, schema=C.ACCOUNT_SCHEMA,
     return reader.load(path)
 
 
-def score_stream(records: DataFrame, bundle: Bundle, out_path: str, checkpoint: str,
-                 available_now: bool = True) -> StreamingQuery:
-    """Append scores as files. ``checkpoint`` must be in shared storage."""
-    return _files(score_accounts(records, bundle), out_path, checkpoint, available_now)
-
-
-def reject_stream(records: DataFrame, out_path: str, checkpoint: str,
-                  available_now: bool = True) -> StreamingQuery:
-    bad = rejected(check_records(records)).select(C.ID, F.col("reasons"))
-    return _files(bad, out_path, checkpoint, available_now)
-
-
-def _files(df: DataFrame, out_path: str, checkpoint: str, available_now: bool) -> StreamingQuery:
-    writer = (df.writeStream.format("parquet").outputMode("append")
-              .option("path", out_path).option("checkpointLocation", checkpoint))
+def score_stream(records: DataFrame, bundle: Bundle, out_path: str, reject_path: str,
+                 checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """Scores and rejects of every micro-batch, from one reading of it. Each
+    batch owns the folder of its number, which a repeated batch overwrites, so
+    both sinks hold every record once. ``checkpoint`` must be in shared storage."""
+    def write(batch: DataFrame, number: int) -> None:
+        judged = score_records(batch, bundle).persist()
+        try:
+            judged.where("accepted").select("customer_id", *OUTPUTS).write.mode("overwrite").parquet(
+                f"{out_path}/batch={number}")
+            judged.where("NOT accepted").select("customer_id", "reasons").write.mode("overwrite").parquet(
+                f"{reject_path}/batch={number}")
+        finally:
+            judged.unpersist()
+
+    writer = records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()

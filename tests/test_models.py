@@ -17,7 +17,7 @@ from keepwell.operators import segments as SG
 from keepwell.operators import validate as V
 from keepwell.plans import pipeline as PL
 from keepwell.sources import star_schema, tables
-from keepwell.streaming.scoring import account_stream, reject_stream, score_stream
+from keepwell.streaming.scoring import account_stream, score_stream
 
 TINY = ML.ForestSettings(trees=6, depth=4)
 
@@ -307,10 +307,61 @@ def test_stream_equals_batch(spark, root, accounts, tmp_path):
     source = str(tmp_path / "in")
     accounts.repartition(3).write.parquet(source)
     stream = account_stream(spark, source, files_per_trigger=1)
-    score_stream(stream, bundle, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
-    reject_stream(stream, str(tmp_path / "bad"), str(tmp_path / "cp2")).awaitTermination()
-    got = spark.read.parquet(str(tmp_path / "out"))
+    score_stream(stream, bundle, str(tmp_path / "out"), str(tmp_path / "bad"),
+                 str(tmp_path / "cp")).awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out")).drop("batch")
     want = S.score_accounts(accounts, bundle)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     rejects = spark.read.parquet(str(tmp_path / "bad"))
     assert got.count() + rejects.count() == 150
+
+
+def test_every_record_is_answered(spark, root, table):
+    bundle = S.Bundle.load(root)
+    rows = {r.customer_id: r for r in S.score_records(
+        table({}, {"Age": 121}, {"Tenure_in_Months": 0}), bundle).collect()}
+    assert rows["A0"].accepted and rows["A0"].priority_label in C.PRIORITY_LABELS
+    for bad, reason in (("A1", "Age: out of range"), ("A2", "Tenure_in_Months: zero, no referral rate")):
+        assert not rows[bad].accepted and rows[bad].reasons == [reason]
+        assert rows[bad].churn_probability is None and rows[bad].segment is None
+
+
+def test_a_cluster_without_a_name_is_a_reason(root, table):
+    import dataclasses
+    bundle = dataclasses.replace(S.Bundle.load(root), names={})
+    row = S.score_records(table({}), bundle).first()
+    assert not row.accepted and row.reasons == ["cluster: no segment name"]
+
+
+def test_names_come_from_the_full_centroids(spark):
+    cuts = SG.Terciles({"Tenure_in_Months": (24.0, 48.0), "Monthly_Charge": (20.0, 80.0), "Total_Services": (2.0, 6.0)})
+    model = SG.SegmentModel(None, (0,), ((24.004, 50.0, 3.0),))
+    assigned = spark.createDataFrame([("a", 0)], "Customer_ID string, cluster int")
+    row = SG.segment_profiles(assigned, model, cuts).first()
+    assert row.tenure_level == "Mid" and row.Tenure_in_Months_centroid == 24.0
+
+
+def test_the_better_auc_wins_below_four_places(spark):
+    rows = [(C.CHURN_MODEL_NAMES[0], .9, .9, .9, .5, 0.90001), (C.CHURN_MODEL_NAMES[1], .9, .9, .9, .6, 0.90000)]
+    compared = spark.createDataFrame(rows, "model string, accuracy double, precision double, recall double, f1 double, roc_auc double")
+    assert ML.best_model(compared).first().model == C.CHURN_MODEL_NAMES[0]
+
+
+def test_one_forest_for_any_shuffle_setting(spark, split):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    scores = []
+    try:
+        for setting in ("3", "7"):
+            spark.conf.set("spark.sql.shuffle.partitions", setting)
+            model = ML.fit_churn_models(split[0], settings=TINY)[ML.FOREST]
+            scores.append(sorted(map(tuple, ML.churn_scores(model, split[1]).select(C.ID, C.PROBABILITY).collect())))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert scores[0] == scores[1]
+
+
+def test_shipped_settings_fit(split):
+    models = ML.fit_churn_models(split[0])
+    forest = models[ML.FOREST].pipeline.stages[-1]
+    assert forest.getNumTrees == ML.ForestSettings().trees == 100
+    assert ML.compare_models(ML.held_out_predictions(models, split[1])).where("roc_auc > 0.6").count() == 2
