@@ -216,15 +216,14 @@ def fit(docs: DataFrame, *, language: str = "lang", doc_id: str = "doc_id", text
 
 def predict(docs: DataFrame, network: Network, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score) for every row of ``docs``."""
-    shared = docs.sparkSession.sparkContext.broadcast(network)
     letters = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
     rows = docs.select(F.col(doc_id).alias("doc_id"),
                        F.when(letters, F.col(text).cast("string")).alias("text"))
 
     def run(batches):
-        names = np.array(shared.value.languages, object)
+        names = np.array(network.languages, object)
         for batch in blocks(batches, limit=SCORE_BLOCK_BYTES):
-            found = shared.value.document_probabilities(*text_bytes(batch.column("text")))
+            found = network.document_probabilities(*text_bytes(batch.column("text")))
             best, unknown = found.argmax(axis=1), batch.column("text").is_null().to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array(np.where(unknown, UNDETERMINED, names[best]), pa.string()),
@@ -237,11 +236,10 @@ def predict(docs: DataFrame, network: Network, *, doc_id: str = "doc_id", text:
 
 def label_runs(docs: DataFrame, network: Network, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, start, bytes, language): maximal runs of bytes with one label."""
-    shared = docs.sparkSession.sparkContext.broadcast(network)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
 
     def run(batches):
-        net = shared.value
+        net = network
         for batch in blocks(batches, limit=SCORE_BLOCK_BYTES):
             data, offsets = text_bytes(batch.column("text"))
             column, valid, _ = segments(data, offsets)

@@ -159,13 +159,12 @@ def fit(docs: DataFrame, labels: DataFrame, *, label: str = "quality", doc_id: s
 def score(docs: DataFrame, model: Model, *, positive: int = 1, doc_id: str = "doc_id",
           text: str = "text") -> DataFrame:
     """(doc_id, score): probability of class ``positive`` for every document."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     column = model.classes.index(positive)
 
     def run(batches):
         for batch in blocks(batches, limit=SCORE_BLOCK_BYTES):
-            found = shared.value.probabilities(*text_bytes(batch.column("text")))
+            found = model.probabilities(*text_bytes(batch.column("text")))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(found[:, column])], names=["doc_id", "score"])
 
@@ -176,12 +175,11 @@ def keep_above(docs: DataFrame, model: Model, least: float, *, positive: int = 1
                text: str = "text") -> DataFrame:
     """``docs`` whose score is at least ``least``; same columns, texts unread by
     anything but the classifier."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
     column = model.classes.index(positive)
 
     def run(batches):
         for batch in blocks(batches, text, SCORE_BLOCK_BYTES):
-            found = shared.value.probabilities(*text_bytes(batch.column(text)))
+            found = model.probabilities(*text_bytes(batch.column(text)))
             yield batch.filter(pa.array(found[:, column] >= least))
 
     return docs.mapInArrow(run, docs.schema)

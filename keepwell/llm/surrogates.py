@@ -60,7 +60,9 @@ PATTERNS = {
     "secret": r"(?<![\p{L}\p{N}])[0-9a-fA-F]{32,128}+(?![\p{L}\p{N}])",
     "person": r"(?<!\p{L})(?:" + "|".join(MALE_TITLES + FEMALE_TITLES) + rf")\.? {_NAME}(?: {_NAME}){{0,2}}",
 }
-PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
+PATTERN = r"(?<![\p{L}\p{N}])(?:" + "|".join(f"(?:{p})" for p in PATTERNS.values()) + ")"
+#: What every mention holds: texts without it are not searched any further.
+HINT = "[0-9@]|(?:" + "|".join(MALE_TITLES + FEMALE_TITLES) + ")[. ]"
 
 
 def _digits(text: Column) -> Column:
@@ -76,41 +78,48 @@ def luhn(digits: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.length(digits) - 1), F.lit(0), add) % 10 == 0
 
 
-def kind_of(mention: Column) -> Column:
-    """The type of a mention, null for what only looks like one."""
-    digits = _digits(mention)
+def with_kind(rows: DataFrame) -> DataFrame:
+    """``rows`` with a ``mention`` plus its ``digits`` and ``kind``; the kind is
+    null for what only looks like a mention."""
+    rows = rows.withColumn("digits", _digits(F.col("mention")))
+    rows = rows.withColumn("checked", luhn(F.col("digits")))
+    mention = F.col("mention")
     octets = F.forall(F.split(mention, "[.]"), lambda x: x.cast("int") <= 255)
-    out = F.lit(None).cast("string")
-    for kind in reversed(PATTERNS):
-        found = F.when(mention.rlike(f"^(?:{PATTERNS[kind]})$"), F.lit(kind))
-        if kind == "card":
-            found = F.when(mention.rlike("^[2-6]") & mention.rlike(f"^(?:{PATTERNS[kind]})$") & luhn(digits), kind)
-        if kind == "ip":
-            found = F.when(mention.rlike(f"^(?:{PATTERNS[kind]})$") & octets, kind)
-        out = F.coalesce(found, out)
-    return out
-
-
-def parts_of(mention: Column) -> Column:
-    """The parts of a mention; kind null: the raw text stays."""
-    kind = kind_of(mention)
+    kind = F.lit(None).cast("string")
+    for name in reversed(PATTERNS):
+        found = mention.rlike(f"^(?:{PATTERNS[name]})$")
+        if name == "card":
+            found = found & mention.rlike("^[2-6]") & F.col("checked")
+        if name == "ip":
+            found = found & octets
+        kind = F.when(found, name).otherwise(kind)
+    return rows.withColumn("kind", kind).drop("checked")
+
+
+def with_parts(rows: DataFrame) -> DataFrame:
+    """``rows`` of ``with_kind`` with one row per part of the mention: (piece,
+    kind, raw, normal); a part without a kind stays as it is."""
+    mention, kind = F.col("mention"), F.col("kind")
 
     def part(k: Column, raw: Column, normal: Column) -> Column:
         return F.struct(k.cast("string").alias("kind"), raw.alias("raw"), normal.alias("normal"))
 
-    normal = F.when(kind.isin("card", "ssn"), _digits(mention)).when(
-        kind == "phone", F.right(_digits(mention), F.lit(10))).when(
-        kind.isin("email", "iban"), F.lower(F.replace(mention, F.lit(" "), F.lit("")))).otherwise(mention)
-    title = F.regexp_replace(F.substring_index(mention, " ", 1), "[.]$", "")
-    gender = F.when(title.isin(*MALE_TITLES), "m").otherwise("f")
-    words = F.split(mention, " ")
+    rows = rows.withColumns({
+        "whole": F.when(kind.isin("card", "ssn"), F.col("digits")).when(
+            kind == "phone", F.right("digits", F.lit(10))).when(
+            kind.isin("email", "iban"), F.lower(F.replace(mention, F.lit(" "), F.lit("")))).otherwise(mention),
+        "words": F.split(mention, " "),
+        "given": F.when(F.regexp_replace(F.substring_index(mention, " ", 1), "[.]$", "").isin(*MALE_TITLES),
+                        "given_m").otherwise("given_f")})
 
     def name(word: Column, k: Column) -> Column:
-        role = F.when(k == 0, F.lit(None)).when(k == F.size(words) - 1, "surname").otherwise(
-            F.concat(F.lit("given_"), gender))
+        role = F.when(k == 0, F.lit(None)).when(k == F.size("words") - 1, "surname").otherwise(F.col("given"))
         return part(role, F.concat(F.when(k > 0, F.lit(" ")).otherwise(""), word), F.lower(word))
 
-    return F.when(kind == "person", F.transform(words, name)).otherwise(F.array(part(kind, mention, normal)))
+    parts = F.when(kind == "person", F.transform("words", name)).otherwise(
+        F.array(part(kind, mention, F.col("whole"))))
+    kept = [c for c in rows.columns if c not in ("mention", "digits", "kind", "whole", "words", "given")]
+    return rows.select(*kept, F.posexplode(parts).alias("piece", "part")).select(*kept, "piece", "part.*")
 
 
 def _stream(key: str, kind: Column, normal: Column, attempt: Column) -> Column:
@@ -141,28 +150,26 @@ def _each(text: Column, change) -> Column:
     return F.array_join(F.transform(F.split(text, ""), change), "")
 
 
-def _number(raw: Column, stream: Column, fixed_head: int) -> Column:
-    """Digits replaced, counted from the right; those beyond ten from the right
-    and the first ``fixed_head`` stay, and so does the layout."""
+def _number(raw: Column, stream: Column, keep_first: Column) -> Column:
+    """Digits replaced, counted from the right, in the layout of ``raw``; those
+    beyond ten from the right stay, but of a card only the first one."""
     count = F.length(_digits(raw))
 
     def change(c: Column, k: Column) -> Column:
         place = count - F.length(_digits(F.substring(raw, F.lit(1), k + 1)))
-        most = 10 if not fixed_head else 64
-        mine = c.rlike("^[0-9]$") & (place < most) & (count - place > fixed_head)
+        mine = c.rlike("^[0-9]$") & F.when(keep_first, place < count - 1).otherwise(place < 10)
         return F.when(mine, _draw(stream, place, 10).cast("string")).otherwise(c)
     return _each(raw, change)
 
 
-def _card(raw: Column, stream: Column) -> Column:
-    """As a number, the last digit chosen so that the card passes Luhn."""
-    drawn = _number(raw, stream, 1)
-    body = F.substring(drawn, F.lit(1), F.length(drawn) - 1)
-    out = F.concat(body, F.lit("0"))
-    for last in range(1, 10):
-        tried = F.concat(body, F.lit(str(last)))
-        out = F.when(luhn(_digits(tried)), tried).otherwise(out)
-    return out
+def _check_digit(body: Column) -> Column:
+    """The digit that makes ``body`` and it pass Luhn."""
+    def add(total: Column, k: Column) -> Column:
+        digit = F.substring(body, F.length(body) - k, F.lit(1)).cast("int")
+        twice = digit * 2
+        return total + F.when(k % 2 == 1, digit).otherwise(F.when(twice > 9, twice - 9).otherwise(twice))
+    total = F.aggregate(F.sequence(F.lit(0), F.length(body) - 1), F.lit(0), add)
+    return ((10 - total % 10) % 10).cast("string")
 
 
 def _ip(stream: Column) -> Column:
@@ -174,7 +181,7 @@ def _name_text(raw: Column, kind: Column, stream: Column, attempt: Column) -> Co
     case; Latin names alternate consonants and vowels."""
     bare = F.ltrim(raw)
     long = F.concat(bare, F.repeat(F.right(bare, F.lit(1)), attempt))
-    last = F.length(long) - 1
+    last = F.length(bare) + attempt - 1
 
     def change(c: Column, k: Column) -> Column:
         plain = F.when(k % 2 == 0, _pick(CONSONANTS, _draw(stream, k, len(CONSONANTS)))).otherwise(
@@ -189,8 +196,12 @@ def _name_text(raw: Column, kind: Column, stream: Column, attempt: Column) -> Co
     return F.concat(F.when(raw.startswith(" "), F.lit(" ")).otherwise(""), _each(long, change))
 
 
-def surrogate(key: str, kind: Column, raw: Column, normal: Column, attempt: Column) -> Column:
-    stream = _stream(key, kind, normal, attempt)
+def with_surrogate(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """``rows`` of (kind, raw, normal, attempt, ...) with the surrogate of the
+    raw text as ``name``. In steps, so that nothing is computed per character
+    that depends on the entity alone."""
+    kind, raw, stream = F.col("kind"), F.col("raw"), F.col("_stream")
+    rows = rows.withColumn("_stream", _stream(key, kind, F.col("normal"), F.col("attempt")))
     hexadecimal = _each(raw, lambda c, k: F.when(
         c.rlike("^[A-F]$"), F.upper(_pick("0123456789abcdef", _draw(stream, k, 16)))).otherwise(
         _pick("0123456789abcdef", _draw(stream, k, 16))))
@@ -198,22 +209,29 @@ def surrogate(key: str, kind: Column, raw: Column, normal: Column, attempt: Colu
     top = F.substring_index(raw, ".", -1)
     mail = F.concat(_each(F.substring(raw, F.lit(1), F.length(raw) - F.length(top)),
                           lambda c, k: _letter(c, k, stream)), top)
-    account = F.concat(F.substring(raw, 1, 2), _each(F.substring(raw, F.lit(3), F.length(raw)), lambda c, k: _letter(c, k, stream)))
-    return F.when(kind.isNull(), raw).when(kind == "email", mail).when(kind == "ip", _ip(stream)).when(
-        kind == "card", _card(raw, stream)).when(kind.isin("phone", "ssn"), _number(raw, stream, 0)).when(
+    account = F.concat(F.substring(raw, 1, 2), _each(
+        F.substring(raw, F.lit(3), F.length(raw)), lambda c, k: _letter(c, k, stream)))
+    drawn = F.when(kind.isNull(), raw).when(kind == "email", mail).when(kind == "ip", _ip(stream)).when(
+        kind.isin("card", "phone", "ssn"), _number(raw, stream, kind == "card")).when(
         kind == "iban", account).when(kind == "secret", hexadecimal).otherwise(
-        _name_text(raw, kind, stream, attempt))
+        _name_text(raw, kind, stream, F.col("attempt")))
+    rows = rows.withColumn("_drawn", drawn)
+    rows = rows.withColumn("_body", F.substring("_drawn", F.lit(1), F.length("_drawn") - 1))
+    rows = rows.withColumn("_digits", _digits(F.col("_body")))
+    card = F.concat("_body", _check_digit(F.col("_digits")))
+    return rows.withColumn(name, F.when(kind == "card", card).otherwise(F.col("_drawn"))).drop(
+        "_stream", "_drawn", "_body", "_digits")
 
 
 def mentions(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, print, place, mention, kind) of every valid mention."""
     found = _found(docs, doc_id, text)
-    return found.select("doc_id", "print", F.posexplode("mentions").alias("place", "mention")).withColumn(
-        "kind", kind_of(F.col("mention"))).where("kind IS NOT NULL")
+    return with_kind(found.select("doc_id", "print", F.posexplode("mentions").alias("place", "mention"))).drop(
+        "digits").where("kind IS NOT NULL")
 
 
 def _found(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    return docs.select(
+    return docs.where(F.col(text).rlike(HINT)).select(
         F.col(doc_id).cast("string").alias("doc_id"), F.xxhash64(text).alias("print"),
         F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)).alias("mentions")).where(F.size("mentions") > 0)
 
@@ -222,9 +240,8 @@ def settled(entities: DataFrame, key: str) -> DataFrame:
     """(kind, normal, attempt) with distinct surrogates that are no entities."""
     now = materialise(entities.select("kind", "normal").distinct().withColumn("attempt", F.lit(0)))
     while True:
-        drawn = now.withColumn("drawn", F.lower(surrogate(
-            key, F.col("kind"), F.col("normal"), F.col("normal"), F.col("attempt"))))
-        drawn = materialise(drawn)
+        drawn = materialise(with_surrogate(now.withColumn("raw", F.col("normal")), key, "drawn").withColumn(
+            "drawn", F.lower("drawn")))
         first = drawn.groupBy("kind", "drawn").agg(F.min("normal").alias("owner"), F.count("*").alias("n"))
         real = drawn.select("kind", F.col("normal").alias("drawn"), F.lit(True).alias("real"))
         judged = drawn.join(first.where("n > 1").select("kind", "drawn", "owner"), ["kind", "drawn"], "left").join(
@@ -240,13 +257,11 @@ def replace_entities(docs: DataFrame, key: str, *, doc_id: str = "doc_id", text:
     """``docs`` with surrogates in the text, plus ``n_entities`` (mentions
     replaced) and ``entity_kinds`` (their types, sorted, distinct)."""
     found = materialise(_found(docs, doc_id, text))
-    parts = materialise(found.select("doc_id", "print", F.posexplode("mentions").alias("place", "mention")).select(
-        "doc_id", "print", "place", F.posexplode(parts_of(F.col("mention"))).alias("piece", "part")).select(
-        "doc_id", "print", "place", "piece", "part.*").distinct())
+    parts = materialise(with_parts(with_kind(found.select(
+        "doc_id", "print", F.posexplode("mentions").alias("place", "mention")))).distinct())
     attempts = settled(parts.where("kind IS NOT NULL"), key)
-    drawn = parts.join(attempts, ["kind", "normal"], "left").select(
-        "doc_id", "print", "place", "piece", "kind",
-        surrogate(key, F.col("kind"), F.col("raw"), F.col("normal"), F.coalesce("attempt", F.lit(0))).alias("new"))
+    known = parts.join(attempts, ["kind", "normal"], "left").withColumn("attempt", F.coalesce("attempt", F.lit(0)))
+    drawn = with_surrogate(known, key, "new").select("doc_id", "print", "place", "piece", "kind", "new")
     whole = drawn.groupBy("doc_id", "print", "place").agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("piece", "new"))), lambda x: x["new"]), "").alias("new"),
         F.max("kind").alias("kind"))
