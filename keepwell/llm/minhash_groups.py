@@ -9,11 +9,12 @@
    each class gets one candidate edge: to the least class it shares any bucket
    with (a star). Edges are confirmed on the full sets.
 4. Confirmed stars are merged. What a star may miss are links across the groups
-   that remain in one bucket; in such mixed buckets every class outside the
-   bucket's largest group is compared with the classes of the other groups, and
-   confirmed too. So within the buckets no link is lost, and a group of n copies
-   costs n edges, not n * n. The bands make a pair at the threshold miss all
-   buckets with a probability below one in a million.
+   that remain in one bucket; there the largest group leads, and the classes of
+   the others are compared with it and with each other, in blocks of bounded
+   size that emit only links. So within the buckets no link is lost, and a group
+   of n copies costs n edges, not n * n; only classes that share buckets with a
+   group without a link to it are compared with all of it. The bands make a pair
+   at the threshold miss all buckets with a probability below one in a million.
 
 Nulls, empty texts and texts without words have no shingles and link with
 nothing. A text of fewer words than a shingle is one shingle. A null id links
@@ -38,6 +39,7 @@ from keepwell.llm.textblocks import (
 from keepwell.session import materialise
 
 PAIR_BLOCK_BYTES = 2_000_000
+BLOCK_SHINGLES = 200_000
 
 
 def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -121,23 +123,74 @@ def confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Data
     return joined.select("a", "b", "text_a", "text_b").mapInArrow(run, f"a {kind}, b {kind}").distinct()
 
 
-def _mixed_pairs(buckets: DataFrame, merged: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different groups in one bucket, each with one class at least
-    outside the bucket's largest group, whose set sizes allow a link."""
-    named = buckets.join(merged.withColumnsRenamed({"node": "doc_id"}), "doc_id", "left").select(
-        "key", "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component"))
+def _comparisons(buckets: DataFrame, merged: DataFrame) -> DataFrame:
+    """Who is still to be compared: (lead, asks, doc_id, component, x_block,
+    u_block). In a bucket with several groups the largest leads; every class of
+    another group asks, and is compared with all classes of the leading group
+    and with all that ask it. That covers each pair of groups in each bucket.
+
+    Both sides of a lead are dealt into blocks of about ``BLOCK_SHINGLES``, and
+    each pair of blocks is a work group of bounded size, however large the lead.
+    """
+    named = materialise(buckets.join(
+        merged.withColumnsRenamed({"node": "doc_id"}), "doc_id", "left").select(
+        "key", "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component")))
     groups = named.groupBy("key", "component").agg(F.count("*").alias("n"))
     lead = groups.groupBy("key").agg(
         F.max_by("component", F.struct("n", "component")).alias("lead"), F.count("*").alias("groups"))
-    mixed = materialise(named.join(lead.where("groups > 1"), "key").drop("groups"))
-    small = mixed.where("component != lead").select(
-        "key", F.col("doc_id").alias("x"), F.col("n_shingles").alias("nx"), F.col("component").alias("cx"))
-    other = mixed.select(
-        "key", F.col("doc_id").alias("y"), F.col("n_shingles").alias("ny"), F.col("component").alias("cy"))
-    near = small.join(other, "key").where(
-        (F.col("cx") != F.col("cy"))
-        & (100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")))
-    return near.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
+    asking = materialise(named.join(lead.where("groups > 1"), "key").where("component != lead").select(
+        "lead", "doc_id", "n_shingles", "component", F.lit(True).alias("asks")).distinct())
+    members = named.select("doc_id", "n_shingles", "component").distinct().join(
+        asking.select(F.col("lead").alias("component")).distinct(), "component").select(
+        F.col("component").alias("lead"), "doc_id", "n_shingles", "component", F.lit(False).alias("asks"))
+    rows = asking.unionByName(members)
+    room = rows.groupBy("lead").agg(
+        F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).cast("int").alias("x_blocks"),
+        F.ceil(F.sum(F.when(F.col("asks"), F.col("n_shingles"))) / BLOCK_SHINGLES).cast("int").alias("u_blocks"))
+    dealt = rows.join(room, "lead").withColumns({
+        "x_block": F.pmod(F.xxhash64("doc_id"), "x_blocks").cast("int"),
+        "u_block": F.pmod(F.xxhash64("doc_id"), "u_blocks").cast("int")})
+    every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+    compared = dealt.select("lead", F.lit(False).alias("asks"), "doc_id", "component", "x_block",
+                            every("u_blocks").alias("u_block"))
+    asked = dealt.where("asks").select("lead", "asks", "doc_id", "component",
+                                       every("x_blocks").alias("x_block"), "u_block")
+    return compared.unionByName(asked)
+
+
+def _compare(work: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links (a, b) found in the work groups: for every class that asks, the
+    least linked class of each group, which is all that merging needs."""
+    rows = work.join(texts, "doc_id").select("lead", "x_block", "u_block", "asks", "doc_id", "component", "text")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("doc_id")
+        asks = table.column("asks").to_numpy()
+        name, group = table.column("doc_id"), table.column("component").to_numpy()
+        sets = [s for batch in blocks(table.select(["text"]).to_batches()) for s in
+                shingle_sets(batch.column("text"), size)]
+        held = np.flatnonzero(~asks)
+        count = np.array([len(sets[k]) for k in held])
+        owner = np.repeat(np.arange(len(held)), count)
+        shingle = np.concatenate([sets[k] for k in held] or [np.zeros(0, np.uint64)])
+        order = np.argsort(shingle, kind="stable")
+        shingle, owner = shingle[order], owner[order]
+        left, right = [], []
+        for u in np.flatnonzero(asks):
+            low, high = np.searchsorted(shingle, sets[u]), np.searchsorted(shingle, sets[u], "right")
+            many = high - low
+            at = np.repeat(low - (np.cumsum(many) - many), many) + np.arange(many.sum())
+            common = np.bincount(owner[at], minlength=len(held))
+            near = (common > 0) & (100 * common >= percent * (count + len(sets[u]) - common))
+            near &= group[held] != group[u]
+            x = held[near]
+            for k in x[np.unique(group[x], return_index=True)[1]]:
+                left.append(u)
+                right.append(k)
+        return pa.table({"a": name.take(pa.array(left, pa.int64())), "b": name.take(pa.array(right, pa.int64()))})
+
+    return rows.groupBy("lead", "x_block", "u_block").applyInArrow(run, f"a {kind}, b {kind}").distinct()
 
 
 def near_duplicates(docs: DataFrame, *, size: int, percent: int, bands: int = 32, rows: int = 6,
@@ -163,9 +216,8 @@ def near_duplicates(docs: DataFrame, *, size: int, percent: int, bands: int = 32
         F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).join(
         wanted, "doc_id", "left_semi"))
     linked = materialise(confirm(stars, texts, size, percent))
-    pairs = _mixed_pairs(buckets, components(linked), percent)
-    pairs = pairs.join(stars, ["a", "b"], "left_anti")
-    merged = components(linked.unionByName(confirm(materialise(pairs), texts, size, percent)))
+    work = materialise(_comparisons(buckets, components(linked)))
+    merged = components(linked.unionByName(_compare(work, texts, size, percent)))
 
     rooted = classes.join(merged.withColumnsRenamed({"node": "first"}), "first", "left").select(
         *prints, F.coalesce("component", "first").alias("component"))
