@@ -455,6 +455,8 @@ def _no_violation(table: str) -> str:
 ORACLES = {
     # scans and validation
     "q_scan_accounts": r("SELECT * FROM typed"),
+    "q_csv_round_trip": r("SELECT * FROM typed"),
+    "q_stage_round_trip": f("SELECT * FROM features"),
     "q_validate_report": r(_report()),
     "q_duplicate_ids": r("SELECT Customer_ID, COUNT(*) - 1 AS extra_copies FROM raw "
                          "GROUP BY 1 HAVING COUNT(*) > 1"),

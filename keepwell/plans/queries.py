@@ -34,6 +34,7 @@ from keepwell.operators.standardise import standardise
 from keepwell.plans import fitted
 from keepwell.session import checkpoint_dir, materialise, tune
 from keepwell.sources import accounts as A
+from keepwell.sources import tables as T
 from keepwell.sources.star_schema import accounts, load, raw_accounts
 from keepwell.streaming.scoring import account_stream, score_stream
 
@@ -137,6 +138,21 @@ def q_scan_accounts(spark, sf):
     return A.typed(raw(spark, sf))
 
 
+def q_csv_round_trip(spark, sf):
+    """The extract written as a CSV file and read back by the account reader."""
+    root = f"{checkpoint_dir(spark)}/csv-{uuid.uuid4().hex}"
+    raw_accounts(spark, sf).write.options(
+        header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(root)
+    return A.typed(A.read_accounts(spark, root))
+
+
+def q_stage_round_trip(spark, sf):
+    """The feature table as a stage hands it to the next one."""
+    root = f"{checkpoint_dir(spark)}/stage-{uuid.uuid4().hex}"
+    T.write_table(features(spark, sf), root, "features")
+    return T.read_table(spark, root, "features")
+
+
 def q_validate_report(spark, sf):
     # The report scans its input twice; store the extract like the file it is.
     return V.validation_report(materialise(raw(spark, sf)))
