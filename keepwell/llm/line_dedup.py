@@ -1,6 +1,6 @@
 """Line dedup: exact set-similarity join of lines, DataFrame functions only.
 
-A line is the set of its distinct lower-case words. It goes if an earlier line
+A line is the set of its distinct words, which blanks separate. It goes if an earlier line
 of the corpus (by doc_id, then line number) has a Jaccard similarity of
 ``percent`` / 100 or more, whether or not that earlier line goes itself. Lines
 of fewer than ``least_words`` distinct words stay.
@@ -11,10 +11,13 @@ of fewer than ``least_words`` distinct words stay.
 2. Equal sets are one class, with its first place; later places go.
 3. A class's prefix is its rarest n - ceil(t n) + 1 words; similar sets share a
    prefix word. Pairs that meet must pass the length filter (n small against n
-   large) and the positional filter (what can still match after this word).
-4. First each class is only compared with the first class it meets on its
-   rarest words; near copies of one line go here with one comparison each. The
-   classes that remain meet all earlier ones. Pairs are verified on the words.
+   large), the positional filter (what can still match after this word) and
+   the bitmap filter: a word that only one of the sets has flips one bit of
+   64 (128 between long lines), so the bits that differ bound how many there are.
+4. First each class is only compared with the first class it shares one of the
+   last words of its prefix with (what near copies differ in is rarer and stands
+   before them); near copies of one line go here with a few comparisons each.
+   The classes that remain meet all earlier ones. Pairs are verified on the words.
 
 Nulls and texts without words lose nothing. Rows without an id are left as they
 are and don't count as earlier lines. Rows that share an id are one document:
@@ -33,13 +36,14 @@ from keepwell.session import materialise
 PERCENT = 80
 LEAST_WORDS = 3
 RARITY_BUCKETS = 65_536
-STAR_WORDS = 4
+STAR_WORDS = 6
+#: Lines of more words have a bitmap of 128 bits, the others of 64.
+LONG_LINE = 80
 _HASH_MASK = (1 << 56) - 1
 
 
 def words_of(line: Column) -> Column:
-    plain = F.translate(F.lower(line), "\t\r\f\v", "    ")
-    return F.array_distinct(F.array_remove(F.split(plain, " "), ""))
+    return F.array_remove(F.split(line, " "), "")
 
 
 def numbered_lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -51,7 +55,7 @@ def numbered_lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 def rarity(lines: DataFrame) -> Column:
     """Rarity class of every hash bucket, 0 to 127, as one constant array. The
     table has ``RARITY_BUCKETS`` entries whatever the corpus."""
-    counts = lines.select(F.explode(words_of(F.col("line"))).alias("word")).select(
+    counts = lines.select(F.explode(F.split("line", " ")).alias("word")).where("word != ''").select(
         F.pmod(F.xxhash64("word"), F.lit(RARITY_BUCKETS)).alias("bucket")).groupBy("bucket").agg(
         F.least(F.lit(127), F.floor(4 * F.log2(F.count("*") + 1))).cast("int").alias("class")).collect()
     table = [0] * RARITY_BUCKETS
@@ -69,26 +73,52 @@ def line_keys(lines: DataFrame, least_words: int, percent: int) -> DataFrame:
         rank = F.element_at(classes, (F.pmod(h, F.lit(RARITY_BUCKETS)) + 1).cast("int")).cast("long")
         return F.shiftleft(rank, 56).bitwiseOR(h.bitwiseAND(F.lit(_HASH_MASK)))
 
-    keyed = lines.select("doc_id", "line_no", F.sort_array(
-        F.transform(words_of(F.col("line")), key)).alias("keys")).where(F.size("keys") >= least_words)
+    def flip(bits: Column, k: Column) -> Column:
+        return bits.bitwiseXOR(F.call_function(
+            "shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int")))
+
+    def flip_half(bits: Column, k: Column) -> Column:
+        return F.when(k.bitwiseAND(F.lit(64)) == 0, bits).otherwise(flip(bits, k))
+
+    found = F.array_distinct(F.transform(F.split("line", " "), key))
+    keyed = lines.select("doc_id", "line_no", F.sort_array(F.array_remove(found, key(F.lit("")))).alias("keys")).where(
+        F.size("keys") >= least_words)
     n = F.size("keys")
     length = n - F.floor((n * percent + 99) / 100).cast("int") + 1
+    prefix = F.slice("keys", F.lit(1), length)
+    star = F.slice("keys", F.greatest(length - STAR_WORDS + 1, F.lit(1)), F.least(length, F.lit(STAR_WORDS)))
     return keyed.select(
         "doc_id", "line_no", n.alias("n"), F.xxhash64("keys").alias("set_a"),
-        F.xxhash64(F.lit(1), "keys").alias("set_b"),
-        F.transform(F.slice("keys", F.lit(1), length), lambda k: F.hash(k)).alias("prefix"))
+        F.xxhash64(F.lit(1), "keys").alias("set_b"), F.aggregate("keys", F.lit(0).cast("long"), flip).alias("bits"),
+        F.when(n > LONG_LINE, F.aggregate("keys", F.lit(0).cast("long"), flip_half)).otherwise(
+            F.lit(0).cast("long")).alias("half"),
+        F.transform(prefix, lambda k: F.hash(k)).alias("prefix"),
+        F.transform(star, lambda k: F.hash(k)).alias("star"))
+
+
+_CLASS = ("doc", "line", "n", "bits", "half", "at")
 
 
-def _meet(later: DataFrame, earlier: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes on a common prefix word that pass both filters."""
-    y = later.select("word", *[F.col(c).alias(f"y_{c}") for c in ("set_a", "doc", "line", "n", "at")])
-    x = earlier.select("word", *[F.col(c).alias(f"x_{c}") for c in ("set_a", "doc", "line", "n", "at")])
+def _meet(later: DataFrame, earlier: DataFrame, percent: int, live: bool = False) -> DataFrame:
+    """Pairs of classes on a common prefix word that pass the filters. With
+    ``live`` only later classes marked 1 take part; that is asked of both sides
+    at once, so that both sides of a self-join come from one exchange."""
+    columns = (*_CLASS, "live") if live else _CLASS
+    y = later.select("word", *[F.col(c).alias(f"y_{c}") for c in columns])
+    x = earlier.select("word", *[F.col(c).alias(f"x_{c}") for c in columns])
     both = F.col("x_n") + F.col("y_n")
     may = F.least(F.col("x_n") - F.col("x_at"), F.col("y_n") - F.col("y_at"))
+    bits = F.col("x_bits").bitwiseXOR(F.col("y_bits"))
+    half = F.col("x_half").bitwiseXOR(F.col("y_half"))
+    # Of two long lines the halves of the bitmap are known apart.
+    differ = F.when(F.least("x_n", "y_n") > LONG_LINE, F.bit_count(bits.bitwiseXOR(half)) + F.bit_count(half)).otherwise(
+        F.bit_count(bits))
+    asks = 2 * F.col("y_live") + F.col("x_live") >= 2 if live else F.lit(True)
     return y.join(x, "word").where(
-        (F.struct("x_doc", "x_line") < F.struct("y_doc", "y_line"))
-        & (100 * F.least("x_n", "y_n") >= percent * F.greatest("x_n", "y_n"))
-        & (may * (100 + percent) >= percent * both))
+        asks & (100 * F.least("x_n", "y_n") >= percent * F.greatest("x_n", "y_n"))
+        & (may * (100 + percent) >= percent * both)
+        & (differ * (100 + percent) <= (100 - percent) * both)
+        & (F.struct("x_doc", "x_line") < F.struct("y_doc", "y_line")))
 
 
 def _verify(pairs: DataFrame, docs: DataFrame, percent: int, doc_id: str, text: str) -> DataFrame:
@@ -102,7 +132,7 @@ def _verify(pairs: DataFrame, docs: DataFrame, percent: int, doc_id: str, text:
         checked(ids), "doc_id", "left_semi")
     held = materialise(numbered_lines(some, "doc_id", "text").join(
         places, ["doc_id", "line_no"], "left_semi").select(
-        "doc_id", "line_no", words_of(F.col("line")).alias("words")))
+        "doc_id", "line_no", F.array_distinct(words_of(F.col("line"))).alias("words")))
     for side in ("y", "x"):
         pairs = pairs.join(held.withColumnsRenamed(
             {"doc_id": f"{side}_doc", "line_no": f"{side}_line", "words": f"{side}_words"}),
@@ -117,19 +147,21 @@ def later_lines(docs: DataFrame, *, percent: int = PERCENT, least_words: int = L
     """(doc_id, line_no) of every line that goes; line numbers start at 0."""
     keys = materialise(line_keys(numbered_lines(docs, doc_id, text), least_words, percent))
     classes = materialise(keys.groupBy("set_a", "set_b", "n").agg(
-        F.min(F.struct("doc_id", "line_no")).alias("place"), F.first("prefix").alias("prefix")))
-    index = classes.select(
-        "set_a", "n", F.col("place.doc_id").alias("doc"), F.col("place.line_no").alias("line"),
-        F.posexplode("prefix").alias("at", "word"))
+        F.min(F.struct("doc_id", "line_no")).alias("place"),
+        F.first("bits").alias("bits"), F.first("half").alias("half"), F.first("prefix").alias("prefix"), F.first("star").alias("star")))
+    narrow = classes.select("n", "bits", "half", F.col("place.doc_id").alias("doc"),
+                            F.col("place.line_no").alias("line"), "prefix", "star")
 
-    rare = index.where(F.col("at") < STAR_WORDS)
+    rare = narrow.select("n", "bits", "half", "doc", "line", F.lit(0).alias("at"), F.explode("star").alias("word"))
     first = rare.groupBy("word").agg(
-        F.min(F.struct("doc", "line", "set_a", "n", "at")).alias("first"), F.count("*").alias("times"))
+        F.min(F.struct("doc", "line", "n", "bits", "half", "at")).alias("first"), F.count("*").alias("times"))
     first = first.where("times > 1").select("word", "first.*")
     stars = materialise(_verify(_meet(rare, first, percent), docs, percent, doc_id, text).select(
         F.col("y_doc").alias("doc"), F.col("y_line").alias("line")).distinct())
-    rest = index.join(stars, ["doc", "line"], "left_anti")
-    others = _verify(_meet(rest, index, percent), docs, percent, doc_id, text).select(
+    marked = narrow.join(checked(stars.withColumn("gone", F.lit(True))), ["doc", "line"], "left")
+    index = marked.select("n", "bits", "half", "doc", "line", F.col("gone").isNull().cast("int").alias("live"),
+                          F.posexplode("prefix").alias("at", "word"))
+    others = _verify(_meet(index, index, percent, live=True), docs, percent, doc_id, text).select(
         F.col("y_doc").alias("doc"), F.col("y_line").alias("line"))
     similar = materialise(stars.unionByName(others).distinct())
 
@@ -156,9 +188,11 @@ def removed_per_document(docs: DataFrame, *, doc_id: str = "doc_id", text: str =
         "doc_id", "n_lines", F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
 
 
-def dedup_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+def dedup_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
+                drop_emptied: bool = False, **options) -> DataFrame:
     """``docs`` with the later lines taken out of the text; same columns. A
-    document that loses every line keeps an empty text."""
+    document that loses all its words keeps a blank text, or goes too with
+    ``drop_emptied``; texts without words before stay in either case."""
     gone = materialise(later_lines(docs, doc_id=doc_id, text=text, **options).groupBy("doc_id").agg(
         F.collect_list("line_no").alias("removed")).select(
         F.struct("doc_id", "removed").alias("_gone")))
@@ -166,4 +200,7 @@ def dedup_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
                     lambda line, k: ~F.array_contains(F.col("_gone.removed"), k))
     joined = docs.join(gone, F.col(doc_id) == F.col("_gone.doc_id"), "left")
     cleaned = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
+    if drop_emptied:
+        emptied = F.col("_gone").isNotNull() & (F.trim(F.array_join(kept, " ")) == "")
+        joined = joined.where(~emptied)
     return joined.select(*[cleaned.alias(c) if c == text else F.col(c) for c in docs.columns])

@@ -112,8 +112,8 @@ WITH lines AS (
   FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents
         WHERE doc_id IS NOT NULL AND text IS NOT NULL)),
 sets AS (
-  SELECT doc_id, line_no, list_sort(list_distinct(list_filter(string_split(translate(
-    lower(line), chr(9) || chr(13) || chr(12) || chr(11), '    '), ' '), lambda w: w <> ''))) AS words
+  SELECT doc_id, line_no, list_sort(list_distinct(list_filter(
+    string_split(line, ' '), lambda w: w <> ''))) AS words
   FROM lines),
 usable AS (SELECT * FROM sets WHERE len(words) >= {line_dedup.LEAST_WORDS}),
 classes AS (

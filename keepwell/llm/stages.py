@@ -16,8 +16,9 @@ def quality(spark, docs, sf_dir):
 
 
 def lines(spark, docs, sf_dir):
-    """Later lines go out of the texts; no document does. ``n_chars`` follows."""
-    cleaned = line_dedup.dedup_lines(docs)
+    """Later lines go out of the texts, and ``n_chars`` follows. A document of
+    which nothing is left, a copy, goes as a whole."""
+    cleaned = line_dedup.dedup_lines(docs, drop_emptied=True)
     return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
