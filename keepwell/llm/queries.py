@@ -82,8 +82,8 @@ def op8_surrogates(spark, sf):
 
 
 def held_out(doc_id="doc_id"):
-    """Rows no model of a query may learn from."""
-    return F.crc32(F.col(doc_id).cast("string")) % 5 == 0
+    """Rows no model of a query may learn from; a row without an id is none."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))
 
 
 def quality_model(docs: DataFrame, labels: DataFrame) -> subword_quality.Model:
