@@ -39,6 +39,8 @@ RARITY_BUCKETS = 65_536
 STAR_WORDS = 6
 #: Lines of more words have a bitmap of 128 bits, the others of 64.
 LONG_LINE = 80
+#: Line numbers a broadcast may hold: some eight megabytes.
+BROADCAST_LINES = 2_000_000
 _HASH_MASK = (1 << 56) - 1
 
 
@@ -68,8 +70,7 @@ def line_keys(lines: DataFrame, least_words: int, percent: int) -> DataFrame:
     """(doc_id, line_no, n, set_a, set_b, prefix) of lines with enough words."""
     classes = rarity(lines)
 
-    def key(word: Column) -> Column:
-        h = F.xxhash64(word)
+    def key(h: Column) -> Column:
         rank = F.element_at(classes, (F.pmod(h, F.lit(RARITY_BUCKETS)) + 1).cast("int")).cast("long")
         return F.shiftleft(rank, 56).bitwiseOR(h.bitwiseAND(F.lit(_HASH_MASK)))
 
@@ -80,9 +81,10 @@ def line_keys(lines: DataFrame, least_words: int, percent: int) -> DataFrame:
     def flip_half(bits: Column, k: Column) -> Column:
         return F.when(k.bitwiseAND(F.lit(64)) == 0, bits).otherwise(flip(bits, k))
 
-    found = F.array_distinct(F.transform(F.split("line", " "), key))
-    keyed = lines.select("doc_id", "line_no", F.sort_array(F.array_remove(found, key(F.lit("")))).alias("keys")).where(
-        F.size("keys") >= least_words)
+    hashed = F.array_distinct(F.transform(words_of(F.col("line")), lambda w: F.xxhash64(w)))
+    keyed = lines.select("doc_id", "line_no", hashed.alias("hashed")).where(
+        F.size("hashed") >= least_words).select(
+        "doc_id", "line_no", F.sort_array(F.transform("hashed", key)).alias("keys"))
     n = F.size("keys")
     length = n - F.floor((n * percent + 99) / 100).cast("int") + 1
     prefix = F.slice("keys", F.lit(1), length)
@@ -131,7 +133,7 @@ def _verify(pairs: DataFrame, docs: DataFrame, percent: int, doc_id: str, text:
     some = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(
         checked(ids), "doc_id", "left_semi")
     held = materialise(numbered_lines(some, "doc_id", "text").join(
-        places, ["doc_id", "line_no"], "left_semi").select(
+        checked(places), ["doc_id", "line_no"], "left_semi").select(
         "doc_id", "line_no", F.array_distinct(words_of(F.col("line"))).alias("words")))
     for side in ("y", "x"):
         pairs = pairs.join(held.withColumnsRenamed(
@@ -196,9 +198,11 @@ def dedup_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     gone = materialise(later_lines(docs, doc_id=doc_id, text=text, **options).groupBy("doc_id").agg(
         F.collect_list("line_no").alias("removed")).select(
         F.struct("doc_id", "removed").alias("_gone")))
+    lines_gone = gone.agg(F.sum(F.size("_gone.removed"))).first()[0] or 0
+    side = checked(gone) if lines_gone <= BROADCAST_LINES else gone
     kept = F.filter(F.split(F.col(text), "\n"),
                     lambda line, k: ~F.array_contains(F.col("_gone.removed"), k))
-    joined = docs.join(gone, F.col(doc_id) == F.col("_gone.doc_id"), "left")
+    joined = docs.join(side, F.col(doc_id) == F.col("_gone.doc_id"), "left")
     cleaned = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
     if drop_emptied:
         emptied = F.col("_gone").isNotNull() & (F.trim(F.array_join(kept, " ")) == "")
