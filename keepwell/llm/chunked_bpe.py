@@ -33,9 +33,10 @@ from keepwell.llm.textblocks import blocks, mix, text_bytes
 HASH_WINDOW = 24
 CUT_BITS = 10               # a chunk has about 2**10 bytes
 LEAST_CHUNK = 256
-CACHE_BYTES = 64_000_000    # text and ids kept for reuse by one task
+CACHE_BYTES = 16_000_000    # text and ids kept for reuse by one task
 ENTRY_BYTES = 600           # what an entry's objects cost besides
 LONG_PIECE = 8_192
+ENCODE_BLOCK_BYTES = 500_000
 #: Fixed value: the split byte-level pre-tokenizers of this family use.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _SPLIT = re.compile(rb"[\x21-\x7e](?=[ \n])")
@@ -212,7 +213,7 @@ def encode(docs: DataFrame, vocabulary: str, *, doc_id: str = "doc_id", text: st
 
     def run(batches):
         encoder = Encoder(Vocabulary(vocabulary))
-        for batch in blocks(batches):
+        for batch in blocks(batches, limit=ENCODE_BLOCK_BYTES):
             data, offsets = text_bytes(batch.column("text"))
             data = data.tobytes()
             ids = encoder.documents([data[a:b] for a, b in zip(offsets.tolist(), offsets[1:].tolist())])

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 4_000_000
+BLOCK_BYTES = 2_000_000
 _HASH_BYTES = 1 << 16
 _rng = np.random.default_rng(7_919)
 _BYTE_VALUE = _rng.integers(1, 2**63, 256, dtype=np.uint64)
