@@ -1,14 +1,16 @@
 """Line dedup: exact set-similarity join of lines, DataFrame functions only.
 
-A line is the set of its distinct words, which blanks separate. It goes if an earlier line
+A line is the set of its distinct words, which blanks separate, or any white space
+with ``any_space``; a run without either is one word in every script. It goes if an earlier line
 of the corpus (by doc_id, then line number) has a Jaccard similarity of
 ``percent`` / 100 or more, whether or not that earlier line goes itself. Lines
-of fewer than ``least_words`` distinct words stay.
+of fewer than ``least_words`` distinct words stay; with 1, only those without words.
 
 1. Word counts over all lines, in a fixed number of hash buckets, give every
    word a rarity class. A word's key is its rarity class, then its hash: one
    total order, rarest first.
-2. Equal sets are one class, with its first place; later places go.
+2. Equal sets are one class, with its first place; later places go. Sets too small
+   to be similar to any other set end here.
 3. A class's prefix is its rarest n - ceil(t n) + 1 words; similar sets share a
    prefix word. Pairs that meet must pass the length filter (n small against n
    large), the positional filter (what can still match after this word) and
@@ -42,16 +44,23 @@ LONG_LINE = 80
 #: Line numbers a broadcast may hold: some eight megabytes.
 BROADCAST_LINES = 2_000_000
 _HASH_MASK = (1 << 56) - 1
+#: White space inside a line, other than the blank.
+_OTHER_SPACE = r"[\t\x0B\f\r\x1C-\x1F\x{85}\p{Z}&&[^ ]]"
 
 
 def words_of(line: Column) -> Column:
     return F.array_remove(F.split(line, " "), "")
 
 
-def numbered_lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+def blanked(text: Column, any_space: bool) -> Column:
+    """``text`` with blanks for all white space but line feeds, if asked."""
+    return F.regexp_replace(text, _OTHER_SPACE, " ") if any_space else text
+
+
+def numbered_lines(docs: DataFrame, doc_id: str, text: str, any_space: bool = False) -> DataFrame:
     return docs.where(F.col(doc_id).isNotNull()).select(
         F.col(doc_id).alias("doc_id"),
-        F.posexplode(F.split(F.col(text), "\n")).alias("line_no", "line"))
+        F.posexplode(F.split(blanked(F.col(text), any_space), "\n")).alias("line_no", "line"))
 
 
 def rarity(lines: DataFrame) -> Column:
@@ -123,7 +132,7 @@ def _meet(later: DataFrame, earlier: DataFrame, percent: int, live: bool = False
         & (F.struct("x_doc", "x_line") < F.struct("y_doc", "y_line")))
 
 
-def _verify(pairs: DataFrame, docs: DataFrame, percent: int, doc_id: str, text: str) -> DataFrame:
+def _verify(pairs: DataFrame, docs: DataFrame, percent: int, doc_id: str, text: str, any_space: bool) -> DataFrame:
     """The pairs whose word sets are similar, as (y_doc, y_line, x_doc, x_line)."""
     pairs = materialise(pairs.select("y_doc", "y_line", "x_doc", "x_line").distinct())
     places = pairs.select(F.col("y_doc").alias("doc_id"), F.col("y_line").alias("line_no")).unionByName(
@@ -132,7 +141,7 @@ def _verify(pairs: DataFrame, docs: DataFrame, percent: int, doc_id: str, text:
     ids = materialise(places.select("doc_id").distinct())
     some = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(
         checked(ids), "doc_id", "left_semi")
-    held = materialise(numbered_lines(some, "doc_id", "text").join(
+    held = materialise(numbered_lines(some, "doc_id", "text", any_space).join(
         checked(places), ["doc_id", "line_no"], "left_semi").select(
         "doc_id", "line_no", F.array_distinct(words_of(F.col("line"))).alias("words")))
     for side in ("y", "x"):
@@ -145,25 +154,26 @@ def _verify(pairs: DataFrame, docs: DataFrame, percent: int, doc_id: str, text:
 
 
 def later_lines(docs: DataFrame, *, percent: int = PERCENT, least_words: int = LEAST_WORDS,
-                doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+                any_space: bool = False, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, line_no) of every line that goes; line numbers start at 0."""
-    keys = materialise(line_keys(numbered_lines(docs, doc_id, text), least_words, percent))
+    keys = materialise(line_keys(numbered_lines(docs, doc_id, text, any_space), least_words, percent))
     classes = materialise(keys.groupBy("set_a", "set_b", "n").agg(
         F.min(F.struct("doc_id", "line_no")).alias("place"),
         F.first("bits").alias("bits"), F.first("half").alias("half"), F.first("prefix").alias("prefix"), F.first("star").alias("star")))
-    narrow = classes.select("n", "bits", "half", F.col("place.doc_id").alias("doc"),
+    # Of all other sets, one with a word more or less is the most similar.
+    narrow = classes.where(100 * F.col("n") >= percent * (F.col("n") + 1)).select("n", "bits", "half", F.col("place.doc_id").alias("doc"),
                             F.col("place.line_no").alias("line"), "prefix", "star")
 
     rare = narrow.select("n", "bits", "half", "doc", "line", F.lit(0).alias("at"), F.explode("star").alias("word"))
     first = rare.groupBy("word").agg(
         F.min(F.struct("doc", "line", "n", "bits", "half", "at")).alias("first"), F.count("*").alias("times"))
     first = first.where("times > 1").select("word", "first.*")
-    stars = materialise(_verify(_meet(rare, first, percent), docs, percent, doc_id, text).select(
+    stars = materialise(_verify(_meet(rare, first, percent), docs, percent, doc_id, text, any_space).select(
         F.col("y_doc").alias("doc"), F.col("y_line").alias("line")).distinct())
     marked = narrow.join(checked(stars.withColumn("gone", F.lit(True))), ["doc", "line"], "left")
     index = marked.select("n", "bits", "half", "doc", "line", F.col("gone").isNull().cast("int").alias("live"),
                           F.posexplode("prefix").alias("at", "word"))
-    others = _verify(_meet(index, index, percent, live=True), docs, percent, doc_id, text).select(
+    others = _verify(_meet(index, index, percent, live=True), docs, percent, doc_id, text, any_space).select(
         F.col("y_doc").alias("doc"), F.col("y_line").alias("line"))
     similar = materialise(stars.unionByName(others).distinct())
 
@@ -191,11 +201,11 @@ def removed_per_document(docs: DataFrame, *, doc_id: str = "doc_id", text: str =
 
 
 def dedup_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
-                drop_emptied: bool = False, **options) -> DataFrame:
+                drop_emptied: bool = False, any_space: bool = False, **options) -> DataFrame:
     """``docs`` with the later lines taken out of the text; same columns. A
     document that loses all its words keeps a blank text, or goes too with
     ``drop_emptied``; texts without words before stay in either case."""
-    gone = materialise(later_lines(docs, doc_id=doc_id, text=text, **options).groupBy("doc_id").agg(
+    gone = materialise(later_lines(docs, doc_id=doc_id, text=text, any_space=any_space, **options).groupBy("doc_id").agg(
         F.collect_list("line_no").alias("removed")).select(
         F.struct("doc_id", "removed").alias("_gone")))
     lines_gone = gone.agg(F.sum(F.size("_gone.removed"))).first()[0] or 0
@@ -205,6 +215,6 @@ def dedup_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     joined = docs.join(side, F.col(doc_id) == F.col("_gone.doc_id"), "left")
     cleaned = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
     if drop_emptied:
-        emptied = F.col("_gone").isNotNull() & (F.trim(F.array_join(kept, " ")) == "")
+        emptied = F.col("_gone").isNotNull() & (F.trim(blanked(F.array_join(kept, " "), any_space)) == "")
         joined = joined.where(~emptied)
     return joined.select(*[cleaned.alias(c) if c == text else F.col(c) for c in docs.columns])

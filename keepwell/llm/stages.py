@@ -17,8 +17,8 @@ def quality(spark, docs, sf_dir):
 
 def lines(spark, docs, sf_dir):
     """Later lines go out of the texts, and ``n_chars`` follows. A document of
-    which nothing is left, a copy, goes as a whole."""
-    cleaned = line_dedup.dedup_lines(docs, drop_emptied=True)
+    which nothing is left, a copy, goes as a whole; so lines of one word count too."""
+    cleaned = line_dedup.dedup_lines(docs, least_words=1, any_space=True, drop_emptied=True)
     return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from keepwell.llm import (
-    byte_language, chunked_bpe, hilbert_shards, line_dedup, minhash_groups, subword_quality,
+    byte_language, chunked_bpe, hilbert_shards, line_dedup, minhash_groups, stages, subword_quality,
     suffix_matches, surrogates,
 )
 from keepwell.llm.queries import vocabulary
@@ -305,6 +305,18 @@ def test_emptied_documents_go_on_request(spark):
     assert {r.doc_id: r.text for r in left} == {1: "a b c", 3: "", 4: None, 5: "d"}
 
 
+def test_short_lines_and_other_white_space_count_on_request(spark, sf):
+    rows = [(1, "Ja\nDer Der Der\na\tb\tc d\n第一行"), (2, "Ja\nnur hier\nDer Der Der"), (3, "Ja\r\n第一行\n\t\u00a0\n"),
+            (4, "a\u00a0b c\u3000d e"), (5, "Nein\nJa nein"), (6, "\t"), (7, "x y\nx y z\nz y x\nx y")]
+    docs = documents(spark, rows)
+    out = line_dedup.removed_per_document(docs, least_words=1, any_space=True).collect()
+    assert {r.doc_id: r.removed for r in out} == {1: [], 2: [0, 2], 3: [0, 1], 4: [0], 5: [], 6: [], 7: [2, 3]}
+    named = [(i, t, "en", "s", len(t)) for i, t in rows]
+    whole = spark.createDataFrame(named, "doc_id long, text string, lang string, source string, n_chars long")
+    left = {r.doc_id: r.text for r in stages.lines(spark, whole, sf).collect()}
+    assert left == {1: rows[0][1], 2: "nur hier", 5: "Nein\nJa nein", 6: "\t", 7: "x y\nx y z"}
+
+
 # --- 8: surrogates ------------------------------------------------------------------
 
 def test_surrogates_are_consistent_distinct_and_in_format(spark):
