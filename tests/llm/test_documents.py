@@ -349,6 +349,26 @@ def test_surrogates_are_consistent_distinct_and_in_format(spark):
     assert {r.doc_id: r.text for r in other}[1] != got[1]
 
 
+def test_later_mentions_other_scripts_and_layouts_are_replaced(spark):
+    texts = {1: "Mr John Smith came. Smith said that John Smith's car and SMITH are one; smith and Smithers are not.",
+             2: "昨天王小明先生来了，王小明说好。", 3: "السيد محمد علي، ثم محمد", 4: "מר כהן, ואז כהן.", 5: "господин Иванов. Иванов ушёл",
+             6: "call +15551234567 or (555)123-4567 or +49 30 1234567", 7: "key " + "ab12" * 40 + " end",
+             8: "Mr 김민수, 김민수", 9: "昨日は田中さんと田中の家", 10: "Smith, of another document"}
+    out = surrogates.replace_entities(documents(spark, [*texts.items()]), "k").collect()
+    got = {r.doc_id: r.text for r in out}
+    private = {1: ("John", "Smith ", "SMITH", "Smith'"), 2: ("王小明",), 3: ("محمد", "علي"), 4: ("כהן",), 5: ("Иванов",),
+               6: ("1234567", "123-4567"), 7: ("ab12ab12",), 8: ("김민수",), 9: ("田中",)}
+    for i, names in private.items():
+        assert not any(name in got[i] for name in names), (i, got[i])
+    w = got[1].replace(".", "").replace("'", " ").split(" ")
+    assert w[2] == w[4] == w[8] and w[1] == w[7] and w[12] == w[2].upper() and "; smith and Smithers are not" in got[1]
+    assert got[2][2:5] == got[2][10:13] and got[2][5:10] == "先生来了，" and got[2].endswith("说好。")
+    name = got[5].split(" ")[1].strip(".")
+    assert got[5] == f"господин {name}. {name} ушёл"
+    assert got[8] == f"Mr {got[8][3:6]}, {got[8][3:6]}" and len(got[7]) == len(texts[7]) and got[10] == texts[10]
+    assert {r.doc_id: r.n_entities for r in out} == {1: 4, 2: 2, 3: 2, 4: 2, 5: 2, 6: 3, 7: 1, 8: 2, 9: 2, 10: 0}
+
+
 def test_collisions_are_drawn_again(spark, monkeypatch):
     entities = spark.createDataFrame([("ssn", f"{k:09d}") for k in range(40)], "kind string, normal string")
     original = surrogates._stream
