@@ -9,7 +9,9 @@ faster. Training is backpropagation through the segment in numpy, with Adam.
 
 The fit reads a bounded sample of labelled rows: about ``windows`` documents per
 language, one window of ``window_chars`` characters from each; everything is
-predicted.
+predicted. Every language is learned: where ``windows`` of each would be more than
+``most_rows`` in all, each has up to ``most_rows`` divided by their number, but one
+at least.
 
 A text that is null or has no letter is ``und`` with score 0. Rows without a
 language are not learned from. Ties go to the language that sorts first. Repeated
@@ -24,10 +26,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from keepwell.llm.sides import checked
 from keepwell.llm.textblocks import blocks, text_bytes
+from keepwell.session import materialise
 
 SEGMENT = 64
 LANES = 2_048               # segments that advance together
@@ -198,19 +202,23 @@ def _slopes(net: Network, data, valid, target, weight):
 def fit(docs: DataFrame, *, language: str = "lang", doc_id: str = "doc_id", text: str = "text",
         settings: Settings = Settings()) -> Network:
     """Fits on windows of about ``settings.windows`` documents per language,
-    drawn by a hash of the id; rare languages give what they have."""
+    drawn by a hash of the id; rare languages give what they have. Of more than
+    ``most_rows / windows`` languages each gives fewer, and none is left out."""
     rows = docs.where(F.col(language).isNotNull() & (F.length(text) > 0)).select(
         F.col(language).alias("lang"), F.col(text).cast("string").alias("text"),
         F.xxhash64(F.col(doc_id).cast("string"), F.lit("draw")).alias("draw"))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(
-        F.desc("n"), "lang").limit(settings.most_rows // settings.windows).collect()}
-    share = F.lit(0)
-    for name, n in counts.items():
-        share = F.when(F.col("lang") == name, min(1_000_000, -(-1_000_000 * settings.windows // n))).otherwise(share)
+    counts = materialise(rows.groupBy("lang").agg(F.count("*").alias("n")))
+    most = max(1, settings.most_rows // max(1, counts.count()))
+    # Of a small number so many more are drawn that no language is left without.
+    aim = settings.windows if settings.windows <= most else 2 * most + 20
+    share = F.least(F.lit(1_000_000), F.ceil(F.lit(1_000_000 * aim) / F.col("n")))
     room = F.greatest(F.length("text") - settings.window_chars, F.lit(0)) + 1
     window = F.substr("text", (F.pmod(F.shiftright("draw", 20), room) + 1).cast("int"), F.lit(settings.window_chars))
-    drawn = rows.where(F.pmod("draw", F.lit(1_000_000)) < share).select("lang", "draw", window.alias("window"))
-    found = drawn.orderBy("draw", "window").limit(settings.most_rows).select("window", "lang").collect()
+    drawn = rows.join(checked(counts), "lang").where(F.pmod("draw", F.lit(1_000_000)) < share).select(
+        "lang", "draw", window.alias("window"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "window"))
+    found = drawn.withColumn("place", place).where(F.col("place") <= most).orderBy("draw", "window").select(
+        "window", "lang").collect()
     return fit_windows([r[0] for r in found], [r[1] for r in found], settings)
 
 

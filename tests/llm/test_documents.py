@@ -157,6 +157,22 @@ def test_language_is_learned_and_undetermined_is_said(spark):
         byte_language.fit(docs.where("false"))
 
 
+def test_no_language_is_left_out(spark, monkeypatch):
+    rows = [(k, spoken("aa", k, 9), f"l{k % 7}") for k in range(350)] + [(999, spoken("bb", 1, 9), "rare")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    drawn = Counter()
+    fit_windows = byte_language.fit_windows
+
+    def counted(texts, languages, settings):
+        drawn.update(languages)
+        return fit_windows(texts, languages, settings)
+
+    monkeypatch.setattr(byte_language, "fit_windows", counted)
+    net = byte_language.fit(docs, settings=byte_language.Settings(units=2, epochs=1, windows=20, most_rows=40))
+    assert net.languages == [f"l{k}" for k in range(7)] + ["rare"]
+    assert drawn == {**{f"l{k}": 5 for k in range(7)}, "rare": 1}
+
+
 def test_gradients_match_differences():
     rng = np.random.default_rng(0)
     net = byte_language.Network(["a", "b"], rng.normal(0, .3, (2, 6, 256)), rng.normal(0, .3, (2, 6, 2)),
