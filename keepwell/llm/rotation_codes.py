@@ -1,6 +1,6 @@
 """Embedding near-dedup by randomised-rotation binary codes.
 
-1. Equal vectors of a label are merged into one class, named by its least id.
+1. Equal vectors of a label are merged into one class with a number of its own.
 2. A unit vector o is turned by several random rotations stacked to R (M rows);
    its code is the signs of R o. Stored with it: the correction factor
    f = <sign(R o) / sqrt M, R o / |R o|>.
@@ -74,19 +74,21 @@ def by_width(batches, *vectors: str):
 
 
 def usable(embeddings: DataFrame, vec_id: str, vector: str, label: str) -> DataFrame:
-    """(vec_id, label, vector, print_a, print_b) of the rows that may link."""
+    """(vec_id, label, vector, print_a, print_b, usable) of every row; the
+    others cannot link."""
     rows = embeddings.select(
         F.col(vec_id).alias("vec_id"), F.col(label).alias("label"),
-        F.col(vector).cast("array<double>").alias("vector")).where(
-        "vec_id IS NOT NULL AND label IS NOT NULL AND size(vector) > 0")
+        F.col(vector).cast("array<double>").alias("vector"))
+    named = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & (F.size("vector") > 0)
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     length = F.aggregate("vector", F.lit(0.0), lambda total, x: total + x * x)
-    return rows.where(finite).where(length > 0).where(length < float("inf")).select(
-        "*", F.xxhash64("vector").alias("print_a"), F.xxhash64(F.lit(1), "vector").alias("print_b"))
+    held = F.coalesce(named & finite & (length > 0) & (length < float("inf")), F.lit(False))
+    return rows.select("*", F.xxhash64("vector").alias("print_a"), F.xxhash64(F.lit(1), "vector").alias("print_b"),
+                       held.alias("usable"))
 
 
 def encode(classes: DataFrame, band_bits: int, bands: int) -> DataFrame:
-    """(vec_id, label, code, factor, keys): keys are the band buckets."""
+    """(class, label, code, factor, keys): keys are the band buckets."""
     def run(batches):
         turned: dict[int, np.ndarray] = {}
         for width, batch in by_width(batches, "vector"):
@@ -101,14 +103,14 @@ def encode(classes: DataFrame, band_bits: int, bands: int) -> DataFrame:
             salt = mix(np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(8_191) + np.uint64(width))
             keys = mix(number.astype(np.uint64) ^ salt).view(np.int64)
             yield pa.RecordBatch.from_arrays([
-                batch.column("vec_id"), batch.column("label"),
+                batch.column("class"), batch.column("label"),
                 pa.array([row.tobytes() for row in np.packbits(sign, axis=1)], pa.binary()),
                 pa.array(factor), pa.array(list(keys), pa.list_(pa.int64())),
-            ], names=["vec_id", "label", "code", "factor", "keys"])
+            ], names=["class", "label", "code", "factor", "keys"])
 
     kinds = {f.name: f.dataType.simpleString() for f in classes.schema}
-    return classes.select("vec_id", "label", "vector").mapInArrow(
-        run, f"vec_id {kinds['vec_id']}, label {kinds['label']}, code binary, factor double, keys array<long>")
+    return classes.select("class", "label", "vector").mapInArrow(
+        run, f"class {kinds['class']}, label {kinds['label']}, code binary, factor double, keys array<long>")
 
 
 def possible(pairs: DataFrame, threshold: float, bits: int) -> DataFrame:
@@ -150,37 +152,41 @@ def exact(pairs: DataFrame, threshold: float) -> DataFrame:
 def near_vectors(embeddings: DataFrame, threshold: float = 0.98, *, vec_id: str = "vec_id",
                  vector: str = "embedding", label: str = "label") -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of ``embeddings``."""
-    rows = usable(embeddings, vec_id, vector, label)
+    judged = usable(embeddings, vec_id, vector, label)
+    rows = judged.where("usable")
     prints = ["label", "print_a", "print_b"]
-    members = materialise(rows.select("vec_id", *prints))
-    sizes = materialise(members.groupBy(*prints).agg(
-        F.min("vec_id").alias("first"), F.count("*").alias("copies")))
+    members = materialise(judged.select("vec_id", *prints, "usable"))
+    sizes = materialise(members.where("usable").groupBy(*prints).agg(
+        F.min("vec_id").alias("first"), F.count("*").alias("copies")).withColumn(
+        "class", F.monotonically_increasing_id()))
     classes = materialise(rows.join(sizes, prints).where(F.col("vec_id") == F.col("first")).select(
-        "vec_id", "label", "vector").dropDuplicates(["vec_id"]))
+        "class", "label", "vector").dropDuplicates(["class"]))
     largest = sizes.groupBy("label").count().agg(F.max("count")).first()[0] or 1
     band_bits, bands = plan_bands(largest, threshold)
     coded = materialise(encode(classes, band_bits, bands))
 
-    buckets = coded.select("vec_id", "label", F.explode("keys").alias("key"))
-    x = buckets.withColumnsRenamed({"vec_id": "x"})
-    y = buckets.withColumnsRenamed({"vec_id": "y"})
+    buckets = coded.select("class", "label", F.explode("keys").alias("key"))
+    x = buckets.withColumnsRenamed({"class": "x"})
+    y = buckets.withColumnsRenamed({"class": "y"})
     pairs = x.join(y, ["key", "label"]).where("x < y").select("x", "y").distinct()
-    vectors = classes.select("vec_id", "vector")
-    asked = pairs.join(vectors.withColumnsRenamed({"vec_id": "x", "vector": "x_vector"}), "x").join(
-        coded.select(F.col("vec_id").alias("y"), F.col("code").alias("y_code"), F.col("factor").alias("y_factor")), "y")
+    vectors = classes.select("class", "vector")
+    asked = pairs.join(vectors.withColumnsRenamed({"class": "x", "vector": "x_vector"}), "x").join(
+        coded.select(F.col("class").alias("y"), F.col("code").alias("y_code"), F.col("factor").alias("y_factor")), "y")
     again = possible(asked, threshold, bands * band_bits).join(
-        vectors.withColumnsRenamed({"vec_id": "y", "vector": "y_vector"}), "y")
+        vectors.withColumnsRenamed({"class": "y", "vector": "y_vector"}), "y")
     links = materialise(exact(again, threshold))
 
     both = links.unionByName(links.select(F.col("y").alias("x"), F.col("x").alias("y")))
-    copies = sizes.select(F.col("first").alias("y"), "copies")
-    linked = both.join(copies, "y").groupBy(F.col("x").alias("first")).agg(F.sum("copies").alias("others"))
-    merged = components(links, "x", "y").withColumnsRenamed({"node": "first"})
-    found = sizes.join(linked, "first", "left").join(merged, "first", "left").select(
+    copies = sizes.select(F.col("class").alias("y"), "copies")
+    linked = both.join(copies, "y").groupBy(F.col("x").alias("class")).agg(F.sum("copies").alias("others"))
+    merged = materialise(components(links, "x", "y").withColumnsRenamed({"node": "class"}).join(
+        sizes.select("class", "first"), "class"))
+    named = merged.groupBy("component").agg(F.min("first").alias("component_id"))
+    found = sizes.join(linked, "class", "left").join(
+        merged.join(named, "component").select("class", "component_id"), "class", "left").select(
         *prints, (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
-        F.coalesce("component", "first").alias("component_id"))
-    placed = members.join(found, prints).select("vec_id", "n_links", "component_id")
-    rest = embeddings.select(F.col(vec_id).alias("vec_id")).join(
-        members.select("vec_id").distinct(), "vec_id", "left_anti")
-    alone = rest.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+        F.coalesce("component_id", "first").alias("component_id"))
+    placed = members.where("usable").join(found, prints).select("vec_id", "n_links", "component_id")
+    alone = members.where("NOT usable").select(
+        "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return placed.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

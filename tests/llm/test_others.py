@@ -64,6 +64,15 @@ def test_near_vectors_equal_brute_force(spark):
     assert rotation_codes.near_vectors(df.limit(0)).count() == 0
 
 
+def test_rows_that_share_an_id_count_one_by_one(spark):
+    a, b = [1.0, 2.0, 3.0, 4.0], [4.0, -3.0, 2.0, -1.0]
+    near_a, near_b = [1.0, 2.0, 3.0, 4.01], [4.0, -3.0, 2.0, -1.01]
+    rows = [(1, a, 0), (1, b, 0), (2, near_a, 0), (3, near_b, 0), (1, a, 1), (4, a, 1), (5, a, 2), (5, None, 2), (5, [0.0] * 4, 2)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    out = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in rotation_codes.near_vectors(df, 0.98).collect())
+    assert out == [(1, 1, 1, True)] * 3 + [(2, 1, 1, False), (3, 1, 1, False), (4, 1, 1, False)] + [(5, 0, 5, True)] * 3
+
+
 def test_estimates_are_unbiased_and_bounded():
     rng = np.random.default_rng(1)
     turn = rotation_codes.rotations(32, 256)
