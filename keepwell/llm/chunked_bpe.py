@@ -2,8 +2,8 @@
 
 A rolling hash over the last ``HASH_WINDOW`` bytes cuts every document where the
 text itself says so, hence equal passages of different documents fall into equal
-chunks. A chunk is encoded once per task and its ids are reused for every other
-occurrence. Chunks are then joined: around each join the text is encoded again
+chunks. A chunk's ids are reused for its other occurrences in the task for as long
+as it is among the last used ones that fit ``CACHE_BYTES``. Chunks are then joined: around each join the text is encoded again
 from the last place in the left chunk to the first place in the right one where
 the pre-tokenizer must split whatever stands around it. There, a printable ASCII
 character is followed by a blank or line feed: no pre-token has white space
@@ -34,7 +34,7 @@ HASH_WINDOW = 24
 CUT_BITS = 10               # a chunk has about 2**10 bytes
 LEAST_CHUNK = 256
 CACHE_BYTES = 16_000_000    # text and ids kept for reuse by one task
-ENTRY_BYTES = 600           # what an entry's objects cost besides
+ENTRY_BYTES = 400           # what an entry's objects cost besides
 LONG_PIECE = 8_192
 ENCODE_BLOCK_BYTES = 500_000
 #: Fixed value: the split byte-level pre-tokenizers of this family use.
@@ -130,24 +130,40 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self.known: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}
+        self.known: dict[bytes, tuple[bytes, bytes]] = {}    # least recently used first
+        self.kind = "<u2" if len(vocabulary.length) <= 1 << 16 else "<u4"
         self.held = self.encoded = self.reused = 0
 
     def _learn(self, parts: list[bytes]) -> None:
         fresh = list(dict.fromkeys(x for x in parts if x not in self.known))
         self.reused += sum(map(len, parts)) - sum(map(len, fresh))
+        for part in dict.fromkeys(parts):
+            if part in self.known:
+                self.known[part] = self.known.pop(part)
         for part in fresh:
             ids = self.vocabulary.encode(part)
-            self.known[part] = ids, np.cumsum(self.vocabulary.length[ids], dtype=np.int32)
-            self.held += ENTRY_BYTES + len(part) + 8 * len(ids)
+            ends = np.cumsum(self.vocabulary.length[ids])
+            self.known[part] = ids.astype(self.kind).tobytes(), ends.astype(self._ends(part)).tobytes()
+            self.held += self._cost(part)
             self.encoded += len(part)
 
+    @staticmethod
+    def _ends(part: bytes) -> str:
+        return "<u2" if len(part) < 1 << 16 else "<u8"
+
+    def _ids(self, part: bytes) -> np.ndarray:
+        return np.frombuffer(self.known[part][0], self.kind)
+
+    def _cost(self, part: bytes) -> int:
+        return ENTRY_BYTES + len(part) + sum(map(len, self.known[part]))
+
     def _forget(self) -> None:
-        """Drops the oldest entries beyond the bound."""
+        """Drops the least recently used entries beyond the bound."""
         for part in list(self.known):
             if self.held <= CACHE_BYTES:
                 break
-            self.held -= ENTRY_BYTES + len(part) + 8 * len(self.known.pop(part)[0])
+            self.held -= self._cost(part)
+            del self.known[part]
 
     def documents(self, texts: list[bytes]) -> list[np.ndarray]:
         chunked = []
@@ -157,7 +173,7 @@ class Encoder:
         self._learn([c for chunks in chunked for c in chunks])
         plans = [self._plan(chunks) for chunks in chunked]
         self._learn([p for plan in plans for p, low, high in plan if low < 0])
-        out = [np.concatenate([self.known[p][0][max(low, 0):high] for p, low, high in plan])
+        out = [np.concatenate([self._ids(p)[max(low, 0):high] for p, low, high in plan]).astype("<u4")
                if plan else np.zeros(0, "<u4") for plan in plans]
         self._forget()
         return out
@@ -168,7 +184,7 @@ class Encoder:
         for k, chunk in enumerate(chunks):
             low = self._agreed(chunk, first=True) if k else (0, 0)
             high = (self._agreed(chunk, first=False) if k + 1 < len(chunks)
-                    else (len(chunk), len(self.known[chunk][0])))
+                    else (len(chunk), len(self._ids(chunk))))
             if low is None or high is None or high[0] < low[0]:
                 open_text += chunk
                 continue
@@ -184,7 +200,7 @@ class Encoder:
     def _agreed(self, chunk: bytes, first: bool) -> tuple[int, int] | None:
         """(byte, ids before it) of the first or last certain split of the
         chunk at which one of its tokens ends."""
-        ends = self.known[chunk][1]
+        ends = np.frombuffer(self.known[chunk][1], self._ends(chunk))
         for at in self._splits(chunk, first):
             k = int(np.searchsorted(ends, at))
             if k < len(ends) and ends[k] == at:

@@ -230,6 +230,17 @@ def test_chunks_are_reused():
     assert encoder.encoded < 0.5 * encoder.reused
 
 
+def test_chunks_in_use_outlast_others(monkeypatch):
+    monkeypatch.setattr(chunked_bpe, "CACHE_BYTES", 60_000)
+    vocabulary_held = chunked_bpe.Vocabulary(vocabulary())
+    encoder = chunked_bpe.Encoder(vocabulary_held)
+    hot = prose(1, 1_000).encode()
+    for k in range(12):
+        ids = encoder.documents([hot, prose(50 + k, 1_200).encode()])[0]
+        assert ids.tolist() == vocabulary_held.encode(hot).tolist()
+    assert encoder.reused >= 10 * len(hot) and encoder.held <= 60_000
+
+
 # --- 6: decontamination -----------------------------------------------------------
 
 def hits(text, tests):
