@@ -4,15 +4,18 @@ import gzip
 import hashlib
 import io
 import random
+import re
 
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import corpus_pipeline
 from keepwell.llm import queries, rotation_codes, warc_merge
 from keepwell.llm.components import components
-from tests.llm.cases import groups
+from tests.llm.cases import groups, prose
+from tests.llm.test_documents import gone_lines, hits, shingles, similar
 
 
 # --- components -----------------------------------------------------------------
@@ -163,6 +166,44 @@ def test_pipeline_equals_its_stages(spark, sf):
         map(tuple, now.select(*names).collect()))
 
 
+def test_pipeline_equals_plain_python_after_the_scores(spark, tmp_path):
+    passage, leak = prose(90, 40).replace("\n", " "), prose(91, 14).replace("\n", " ")
+    good = {k: prose(k, 60) + f"\nown{k} line{k}\n" for k in range(40)}
+    near = good[3].replace("\n", " ").split(" ")
+    good |= {50: good[1], 51: "Ja\nJa\u00a0\nkurz", 52: "kurz\nJa", 53: passage + "\nfresh words", 54: "lead in\n" + passage,
+             55: good[2] + leak, 56: " ".join(near[:30]) + "\nx\ty", 57: " ".join(near[30:]) + "\nx y", 58: "", 59: None}
+    # Near copies as documents whose lines differ: cut at other places.
+    words = prose(92, 200).replace("\n", " ").split(" ")
+    good |= {60: "\n".join(" ".join(words[k:k + 20]) for k in range(0, 200, 20)),
+             61: "\n".join(" ".join(words[max(k, 0):k + 20]) for k in range(-10, 200, 20))}
+    texts = good | {100 + k: " ".join(w + "$$$" for w in prose(k, 60).split(" ")) for k in range(40)}
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in texts.items()],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, int(i < 100)) for i in texts if i % 100 < 40], "doc_id long, quality int").write.parquet(
+        f"{tmp_path}/labels.parquet")
+    tests = [(1, leak), (2, None), (3, "nothing of this stands in any text at all today")]
+    spark.createDataFrame(tests, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+
+    left = {r.doc_id: r.text for r in corpus_pipeline.STAGES[0][1](spark, docs, str(tmp_path)).collect()}
+    gone = gone_lines([(i, t and re.sub(r"[^\S\n]", " ", t)) for i, t in left.items()], least=1)
+    assert {(52, 0), (52, 1), (54, 1)} <= gone
+    for i in {i for i, _ in gone}:
+        left[i] = "\n".join(line for k, line in enumerate(left[i].split("\n")) if (i, k) not in gone)
+        if not left[i].strip():
+            del left[i]
+    sets = {i: shingles(t, 5) for i, t in left.items()}
+    first = groups(sorted(sets), lambda i, j: similar(sets[i], sets[j], 80))
+    left = {i: t for i, t in left.items() if first[i] == i and not hits(t, tests)[1]}
+    assert 1 in left and not {50, 52, 55, 61} & set(left)
+    plain = Tokenizer.from_file(queries.vocabulary())
+    ids = {i: np.array(plain.encode(t or "", add_special_tokens=False).ids, "<u4") for i, t in left.items()}
+    assert {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in out} == {
+        i: (len(x), hashlib.sha256(x.tobytes()).hexdigest(), hashlib.sha256((left[i] or "").encode()).hexdigest())
+        for i, x in ids.items()}
+
+
 def test_no_copy_survives_the_pipeline_stage(spark, sf):
     text = " ".join(f"w{k}" for k in range(40))
     docs = spark.createDataFrame([(1, text, "en", "s", 1), (2, text, "en", "s", 1), (3, text + " more", "en", "s", 1), (4, "other words here", "en", "s", 1)],
