@@ -9,7 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keepwell.llm import byte_language, chunked_bpe, hilbert_shards, line_dedup, minhash_groups, rotation_codes, subword_quality, suffix_matches, surrogates, warc_merge
+from keepwell.llm import (
+    byte_language, chunked_bpe, hilbert_shards, line_dedup, minhash_groups, repeated_bytes, rotation_codes,
+    subword_quality, suffix_matches, surrogates, warc_merge,
+)
 
 QUALITY_THRESHOLD = 0.3
 SHARDS = 40
@@ -104,6 +107,11 @@ def op10_warc_merge(spark, sf):
         "url_key", "captured_at", "position")
 
 
+def op11_lyndon_suffix_groups(spark, sf):
+    found = repeated_bytes.remove_repeats(load(spark, sf, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 QUERIES = {name: fn for name, fn in list(globals().items()) if name.startswith("op")}
 ORACLES: dict[str, str] = {}
 ORACLES["op7_line_dedup"] = f"""
