@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keepwell.llm import (
-    byte_language, chunked_bpe, hilbert_shards, line_dedup, minhash_groups, repeated_bytes, rotation_codes,
-    subword_quality, suffix_matches, surrogates, warc_merge,
+    byte_language, chunked_bpe, hilbert_shards, line_dedup, minhash_groups, ranked_search, repeated_bytes,
+    resampling, rotation_codes, subword_quality, suffix_matches, surrogates, warc_merge,
 )
 
 QUALITY_THRESHOLD = 0.3
@@ -112,6 +112,15 @@ def op11_lyndon_suffix_groups(spark, sf):
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
 
 
+def op12_importance_resampling(spark, sf):
+    found = resampling.resample(load(spark, sf, "documents"), load(spark, sf, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_best_position_search(spark, sf):
+    return ranked_search.search(load(spark, sf, "documents"), load(spark, sf, "benchmark"))
+
+
 QUERIES = {name: fn for name, fn in list(globals().items()) if name.startswith("op")}
 ORACLES: dict[str, str] = {}
 ORACLES["op7_line_dedup"] = f"""
@@ -227,3 +236,65 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, text_crc32, 'rows' AS law,
   CAST(place - ((place * {SHARDS} // n) * n + {SHARDS - 1}) // {SHARDS} AS BIGINT) AS slot,
   CAST(NULL AS INT) AS grown_shard, CAST(hilbert AS BIGINT) AS hilbert
 FROM placed"""
+
+_WORDS = "regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')".format(
+    upper="ABCDEFGHIJKLMNOPQRSTUVWXYZ", lower="abcdefghijklmnopqrstuvwxyz")
+ORACLES["op12_importance_resampling"] = f"""
+WITH RECURSIVE crc(b, c, k) AS (
+  SELECT range, CAST(range AS BIGINT), 0 FROM range(256)
+  UNION ALL SELECT b, xor(c >> 1, (c & 1) * 3988292384), k + 1 FROM crc WHERE k < 8),
+steps_of AS (SELECT list(c ORDER BY b) AS t FROM crc WHERE k = 8),
+doc_words AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS words FROM documents),
+tokens AS (
+  SELECT r, word, count(*) AS n FROM (SELECT r, unnest(words) AS word FROM doc_words) GROUP BY r, word),
+aims AS (SELECT word, count(*) AS n FROM (SELECT unnest({_WORDS}) AS word FROM benchmark) GROUP BY word),
+buckets AS (
+  SELECT word, xor(4294967295, list_reduce(
+    list_transform(regexp_extract_all(hex(encode(word)), '..'), lambda x: CAST('0x' || x AS BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), CAST(4294967295 AS BIGINT))) % {resampling.BUCKETS} AS bucket
+  FROM (SELECT word FROM tokens UNION SELECT word FROM aims), steps_of),
+corpus AS (SELECT bucket, sum(n) AS s FROM tokens JOIN buckets USING (word) GROUP BY bucket),
+target AS (SELECT bucket, sum(n) AS t FROM aims JOIN buckets USING (word) GROUP BY bucket),
+sums AS (SELECT (SELECT coalesce(sum(s), 0) FROM corpus) AS a, (SELECT coalesce(sum(t), 0) FROM target) AS b),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln(
+    CAST(coalesce(t, 0) + 1 AS DOUBLE) * CAST(a + {resampling.BUCKETS} AS DOUBLE)
+    / (CAST(s + 1 AS DOUBLE) * CAST(b + {resampling.BUCKETS} AS DOUBLE)))) AS BIGINT) AS gain
+  FROM corpus LEFT JOIN target USING (bucket), sums),
+weighed AS (
+  SELECT r, CAST(sum(n) AS BIGINT) AS n_features, CAST(floor(sum(n * gain) / CAST(sum(n) AS DOUBLE)) AS BIGINT) AS weight
+  FROM tokens JOIN buckets USING (word) JOIN gains USING (bucket) GROUP BY r),
+scored AS (
+  SELECT doc_id, r, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((
+      CAST('0x' || substr(sha256('{resampling.SEED}:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+  FROM doc_words LEFT JOIN weighed USING (r)),
+ranked AS (
+  SELECT r, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n
+  FROM scored WHERE n_features >= {resampling.LEAST_WORDS} AND score IS NOT NULL)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= {resampling.PERCENT} * n // 100 THEN place END AS rank
+FROM scored LEFT JOIN ranked USING (r)"""
+
+ORACLES["op13_best_position_search"] = f"""
+WITH doc_terms AS (SELECT doc_id, {_WORDS} AS words FROM documents),
+sizes AS (SELECT doc_id, len(words) AS n FROM doc_terms WHERE len(words) > 0),
+sums AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes),
+asked AS (
+  SELECT item_id, word, count(*) AS repeats FROM (SELECT item_id, unnest({_WORDS}) AS word FROM benchmark)
+  GROUP BY item_id, word),
+tokens AS (
+  SELECT doc_id, word, count(*) AS tf FROM (SELECT doc_id, unnest(words) AS word FROM doc_terms)
+  WHERE word IN (SELECT word FROM asked) GROUP BY doc_id, word),
+weighed AS (
+  SELECT word, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM (SELECT word, count(*) AS df FROM tokens GROUP BY word), sums),
+impacts AS (
+  SELECT doc_id, word, w * ((1000000000 * tf) // (1000 * tf + 8 * (
+    {100 - ranked_search.LENGTH_PERCENT} + ({ranked_search.LENGTH_PERCENT} * n * docs) // terms))) AS gain
+  FROM tokens JOIN weighed USING (word) JOIN sizes USING (doc_id), sums),
+scores AS (
+  SELECT item_id, doc_id, CAST(sum(gain * repeats) AS BIGINT) AS score
+  FROM asked JOIN impacts USING (word) GROUP BY item_id, doc_id)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+  FROM scores WHERE score > 0) WHERE rank <= {ranked_search.TOP}"""

@@ -148,7 +148,7 @@ def test_loser_tree_merges_any_number_of_runs():
 
 def test_one_query_per_operator():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert set(queries.ORACLES) <= set(queries.QUERIES) and "pipeline" in entry.queries()
 
 
