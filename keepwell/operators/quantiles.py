@@ -1,108 +1,168 @@
-"""Exact, linearly interpolated quantiles that never gather a column.
+"""Exact, linearly interpolated quantiles in two scans that never gather a column.
 
 Spark's ``percentile`` keeps every distinct value of a group in one aggregation
-buffer. Here values are counted in equal bins between the smallest and largest
-finite one, the bin that holds the wanted rank becomes the next range, and so
-on. Each round is one scan with map-side combining into at most ``bins`` rows
-per rank. The ends of a range are values of the column, the smallest falls into
-the first bin and the largest into the last, so every round leaves strictly
-fewer distinct values and the search ends, whatever the distribution, span or
-number of ties. Infinities are counted apart; NaN and blanks are left out.
+buffer. Here the first scan takes Spark's mergeable rank sketch of all columns and
+reads two values off it for every wanted rank, one surely below and one surely
+above. The second scan counts, per column, how many values lie in each stretch
+between these brackets, and counts the values inside a bracket one by one; the
+counts place every rank exactly. A bracket holds about a thousandth of the rows,
+so its values come to the driver only up to ``bins`` of them and are ordered over the
+cluster otherwise. Where a sketch should miss a rank all the same, the stretch
+that holds it becomes the next bracket.
+
+NaN and blanks are left out; infinities are values like others.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BINS = 4096
+from keepwell.operators.ordering import running_totals
+from keepwell.session import materialise
+
+#: The sketch errs by one rank in ACCURACY; brackets reach MARGIN to both sides,
+#: and SMALL_MARGIN where there are so few rows that one rank is more than that.
+ACCURACY = 10_000
+MARGIN, SMALL_MARGIN = 0.0005, 0.02
+SMALL = 10_000
+BINS = 100_000
 
 
 @dataclass
-class _Rank:
-    """The k-th smallest value of a column (k from 0), searched in [low, high]."""
-    column: str
-    k: int
-    low: float
-    high: float
-    value: float | None = None
+class _Column:
+    """What is known of one column: its rows and, per open rank, a bracket."""
+    name: str
+    n: int
+    low: float | None
+    high: float | None
+    brackets: dict[int, tuple[float, float]] = field(default_factory=dict)
+    values: dict[int, float] = field(default_factory=dict)
+
+    def edges(self) -> list[tuple[float, float]]:
+        """Brackets of the open ranks, overlapping ones joined, in order."""
+        out: list[tuple[float, float]] = []
+        for low, high in sorted(self.brackets.values()):
+            if out and low <= out[-1][1]:
+                out[-1] = (out[-1][0], max(out[-1][1], high))
+            else:
+                out.append((low, high))
+        return out
 
 
 def exact_quantiles(df: DataFrame, columns, probabilities, bins: int = BINS) -> dict[str, list[float | None]]:
     """Like ``DataFrame.approxQuantile``, but exact. Blanks are left out; a
     column without any value gives None. Pass a table that is cheap to scan
-    more than once."""
+    twice. ``bins`` counts come to the driver at most; it never changes results."""
     columns, probabilities = list(columns), [float(p) for p in probabilities]
     values = df.select(*[
-        F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(c)
-        for c in columns
+        F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(f"v{i}")
+        for i, c in enumerate(columns)
     ])
-    finite = {c: F.when(F.abs(c) < math.inf, F.col(c)) for c in columns}
-    stats = [F.struct(F.count(c).alias("n"), F.count_if(F.col(c) == -math.inf).alias("below"),
-                      F.count(finite[c]).alias("inside"), F.min(finite[c]).alias("low"),
-                      F.max(finite[c]).alias("high")).alias(c) for c in columns]
-    span = values.agg(*stats).first()
-
-    ranks: dict[tuple[str, int], _Rank] = {}
-    for c in columns:
-        for p in probabilities:
-            position = p * (span[c]["n"] - 1)
-            for k in (math.floor(position), math.ceil(position)):
-                if not span[c]["n"]:
-                    continue
-                inside = k - span[c]["below"]
-                rank = _Rank(c, inside, span[c]["low"], span[c]["high"])
-                if inside < 0:
-                    rank.value = -math.inf
-                elif inside >= span[c]["inside"]:
-                    rank.value = math.inf
-                ranks[c, k] = rank
-    _resolve(values, list(ranks.values()), bins)
-
-    def interpolated(c: str, p: float) -> float | None:
-        if not span[c]["n"]:
-            return None
-        position = p * (span[c]["n"] - 1)
-        lower, upper = math.floor(position), math.ceil(position)
-        below, above = ranks[c, lower].value, ranks[c, upper].value
-        if lower == upper or below == above:
-            return below
-        return (upper - position) * below + (position - lower) * above
-    return {c: [interpolated(c, p) for p in probabilities] for c in columns}
-
-
-def _resolve(values: DataFrame, ranks: list[_Rank], bins: int) -> None:
-    while True:
-        for r in ranks:
-            if r.value is None and r.low == r.high:
-                r.value = r.low
-        open_ranks = [r for r in ranks if r.value is None]
-        if not open_ranks:
-            return
-        # rank number -> its bins; at most len(ranks) * bins rows come back.
-        tagged = []
-        for i, r in enumerate(open_ranks):
-            x = F.col(r.column)
-            # Halves where the span of two finite doubles would overflow.
-            scale = 1.0 if math.isfinite(r.high - r.low) else 0.5
-            low, width = r.low * scale, r.high * scale - r.low * scale
-            bin_no = F.least(F.floor((x * scale - low) / width * bins), F.lit(bins - 1))
-            inside = x.between(r.low, r.high)
-            tagged.append(F.when(inside, F.struct(
-                F.lit(i).alias("i"), bin_no.alias("bin"), x.alias("x"))))
-        rows = (
-            values.select(F.explode(F.array_compact(F.array(*tagged))).alias("t"))
-            .groupBy("t.i", "t.bin")
-            .agg(F.count("*").alias("n"), F.min("t.x").alias("low"), F.max("t.x").alias("high"))
-            .orderBy("i", "bin").collect()
-        )
-        for i, r in enumerate(open_ranks):
-            k = r.k
-            for row in (row for row in rows if row["i"] == i):
-                if k < row["n"]:
-                    r.k, r.low, r.high = k, row["low"], row["high"]
-                    break
-                k -= row["n"]
+    found = _sketched(values, columns, probabilities)
+    while any(c.brackets for c in found):
+        _count(values, found, bins)
+    return {c.name: [_interpolated(c, p) for p in probabilities] for c in found}
+
+
+def _ranks(n: int, p: float) -> tuple[int, int]:
+    position = p * (n - 1)
+    return math.floor(position), math.ceil(position)
+
+
+def _sketched(values: DataFrame, columns: list[str], probabilities: list[float]) -> list[_Column]:
+    """The first scan: counts, ends and brackets of all wanted ranks."""
+    around = [min(1.0, max(0.0, p + side * margin))
+              for p in probabilities for margin in (MARGIN, SMALL_MARGIN) for side in (-1, 1)]
+    row = values.agg(*[F.struct(
+        F.count(v).alias("n"), F.min(v).alias("low"), F.max(v).alias("high"),
+        F.percentile_approx(v, around, ACCURACY).alias("cuts")).alias(v) for v in values.columns]).first()
+    out = []
+    for name, v in zip(columns, values.columns):
+        r = row[v]
+        column = _Column(name, r["n"], r["low"], r["high"])
+        for i, p in enumerate(probabilities if r["n"] else []):
+            at = 4 * i + (2 if r["n"] < SMALL else 0)
+            for k in _ranks(r["n"], p):
+                if k in (0, r["n"] - 1) or r["low"] == r["high"]:
+                    column.values[k] = r["high"] if k else r["low"]
+                else:
+                    column.brackets[k] = (r["cuts"][at], r["cuts"][at + 1])
+        out.append(column)
+    return out
+
+
+def _stretch(value: Column, edges: list[tuple[float, float]]) -> Column:
+    """2 i + 1 inside the i-th bracket, 2 i below it and above those before."""
+    out = F.lit(2 * len(edges))
+    for i, (low, high) in reversed(list(enumerate(edges))):
+        out = F.when(value < low, 2 * i).when(value <= high, 2 * i + 1).otherwise(out)
+    return out
+
+
+def _count(values: DataFrame, columns: list[_Column], bins: int) -> None:
+    """The second scan: settles ranks inside their brackets, moves the others'."""
+    parts = []
+    for i, c in enumerate(columns):
+        edges, v = c.edges(), F.col(f"v{i}")
+        if edges:
+            at = _stretch(v, edges)
+            parts.append(F.when(v.isNotNull(), F.struct(
+                F.lit(i).alias("i"), at.alias("at"), F.when(at % 2 == 1, v).alias("x"))))
+    # A row gives one entry per open column; equal entries fold before the shuffle.
+    entry = parts[0] if len(parts) == 1 else F.explode(F.array_compact(F.array(*parts)))
+    counted = values.select(entry.alias("t")).where("t IS NOT NULL").groupBy("t.i", "t.at", "t.x").agg(
+        F.count("*").alias("n"))
+    rows = counted.limit(bins + 1).collect()
+    many = None
+    if len(rows) > bins:
+        many = materialise(counted)
+        rows = many.groupBy("i", "at").agg(F.lit(None).cast("double").alias("x"), F.sum("n").alias("n")).collect()
+    for i, c in enumerate(columns):
+        if c.brackets:
+            _settle(c, i, [r for r in rows if r["i"] == i], many)
+
+
+def _settle(column: _Column, i: int, rows: list, many: DataFrame | None) -> None:
+    edges, before = column.edges(), 0
+    for at in range(2 * len(edges) + 1):
+        mine = sorted((r["x"], r["n"]) for r in rows if r["at"] == at) if at % 2 and many is None else [
+            (None, sum(r["n"] for r in rows if r["at"] == at))]
+        n = sum(m for _, m in mine)
+        for k in [k for k in column.brackets if before <= k < before + n]:
+            if at % 2 == 0:                         # the sketch missed it
+                low = edges[at // 2 - 1][1] if at else column.low
+                high = edges[at // 2][0] if at // 2 < len(edges) else column.high
+                column.brackets[k] = (low, high)
+                continue
+            if many is None:
+                seen = before
+                for x, m in mine:
+                    seen += m
+                    if k < seen:
+                        break
+                column.values[k] = x
+            else:
+                column.values[k] = _kth(many.where((F.col("i") == i) & (F.col("at") == at)), k - before)
+            del column.brackets[k]
+        before += n
+
+
+def _kth(counted: DataFrame, k: int) -> float:
+    """The k-th value (from 0) of (x, n) rows, ordered over the cluster."""
+    totals = running_totals(counted.select("x", "n"), [F.asc("x")], {"before": F.col("n")})
+    return totals.where((F.col("before") <= k) & (k < F.col("before") + F.col("n"))).first()["x"]
+
+
+def _interpolated(column: _Column, p: float) -> float | None:
+    if not column.n:
+        return None
+    lower, upper = _ranks(column.n, p)
+    below, above = column.values[lower], column.values[upper]
+    if lower == upper or below == above:
+        return below
+    position = p * (column.n - 1)
+    return (upper - position) * below + (position - lower) * above

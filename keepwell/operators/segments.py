@@ -10,23 +10,25 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from keepwell import contract as C
 from keepwell.functions import rules
+from keepwell.operators import lloyd
 from keepwell.operators import metrics as M
+from keepwell.operators.distances import euclidean_silhouettes
 from keepwell.operators.models import (
     KMEANS_ROWS_PER_TASK, FittedModel, assembler, fixed_layout,
 )
 from keepwell.operators.quantiles import exact_quantiles
 from keepwell.operators.validate import AccountTableError
+from keepwell.session import materialise
 
 RESTARTS = 10
-# Fits that run at once, as in Spark's own tuning classes.
-PARALLEL_FITS = 16
 THIRDS = (1 / 3, 2 / 3)
-EVALUATION_SCHEMA = "k int, inertia double, silhouette double"
+EVALUATION_SCHEMA = "k int, inertia double, silhouette double, silhouette_squared double"
 SCALED = [f"{c}_scaled" for c in C.SEGMENT_FEATURES]
 
 
@@ -38,62 +40,53 @@ def scaler_pipeline(inputs=C.SEGMENT_FEATURES) -> Pipeline:
     ])
 
 
-def _fit(vectors: DataFrame, k: int, seed: int) -> tuple[float, KMeansModel]:
-    model = KMeans(k=k, seed=seed, maxIter=300, tol=1e-4, featuresCol="segment_features",
-                   predictionCol="raw_cluster").fit(vectors)
-    return model.summary.trainingCost, model
-
-
-def best_fits(vectors: DataFrame, ks, restarts: int = RESTARTS) -> dict[int, tuple[float, KMeansModel]]:
-    """Per k the restart with the least inertia; ``vectors`` must be cached."""
-    jobs = [(k, C.SEED + i) for k in ks for i in range(restarts)]
-    with ThreadPool(min(PARALLEL_FITS, len(jobs))) as pool:
-        fits = pool.map(lambda job: (job, _fit(vectors, *job)), jobs)
-    best: dict[int, tuple[float, KMeansModel]] = {}
-    for (k, _), (cost, model) in fits:
-        if k not in best or cost < best[k][0]:
-            best[k] = (cost, model)
-    return best
+def _exact_model(centroids) -> KMeansModel:
+    """Spark's model with these centroids: one step over them as the only rows,
+    each the first centroid of its own cluster."""
+    spark = SparkSession.active()
+    rows = spark.createDataFrame([(Vectors.dense(c),) for c in centroids], ["segment_features"])
+    return KMeans(k=len(centroids), initMode="random", maxIter=1, seed=C.SEED,
+                  featuresCol="segment_features", predictionCol="raw_cluster").fit(rows)
 
 
 @contextmanager
 def _scaled(features: DataFrame):
-    """(fitted scaler, cached scaled vectors): the rows themselves are only
-    cached until the scaler is fitted and the vectors are stored."""
+    """(fitted scaler, cached scaled columns): the rows themselves are only
+    cached until the scaler is fitted and the columns are stored."""
     with fixed_layout(features.select(C.ID, *C.SEGMENT_FEATURES), KMEANS_ROWS_PER_TASK) as rows:
         scaler = scaler_pipeline().fit(rows)
-        vectors = scaler.transform(rows).select("segment_features").persist()
-        vectors.count()
+        values = vector_to_array("segment_features")
+        points = scaler.transform(rows).select(*[values[i].alias(c) for i, c in enumerate(SCALED)]).persist()
+        points.count()
     try:
-        yield scaler, vectors
+        yield scaler, points
     finally:
-        vectors.unpersist()
+        points.unpersist()
+
+
+def sweep(features: DataFrame, ks=C.K_RANGE, restarts: int = RESTARTS) -> tuple[list[tuple], DataFrame]:
+    """Rows of the evaluation, and the scaled points with the cluster of each k
+    (columns ``k2``, ``k3`` ...) the rows were measured on. All fits share their
+    passes over the rows, all clusterings their distances."""
+    with _scaled(features) as (_, points):
+        n = points.count()
+        best = lloyd.best_of(lloyd.run_fits(points, SCALED, ks, restarts, C.SEED))
+        names = {f"k{k}": fit for k, fit in sorted(best.items())}
+        clustered = materialise(lloyd.with_clusters(points, SCALED, names))
+    plain = {r["clustering"]: r["silhouette"] for r in
+             euclidean_silhouettes(clustered, SCALED, list(names)).collect()}
+    with ThreadPool(len(names)) as pool:
+        squared = pool.map(lambda c: M.silhouette(clustered, SCALED, c).first()[0], names)
+    # The scaler divides by the n-1 deviation; inertia is reported in units of
+    # the population deviation.
+    return [(fit.k, fit.inertia * n / (n - 1), plain[c], s)
+            for (c, fit), s in zip(names.items(), squared)], clustered
 
 
 def evaluate_k(features: DataFrame, ks=C.K_RANGE, restarts: int = RESTARTS) -> DataFrame:
-    """(k, inertia, silhouette), both over all rows; the silhouette takes
-    squared distances, so it needs two more passes per k and no sample."""
-    spark = features.sparkSession
-    with _scaled(features) as (_, vectors):
-        n = vectors.count()
-        fits = best_fits(vectors, ks, restarts)
-
-        def row(item):
-            k, (cost, model) = item
-            points = _unpacked(model.transform(vectors))
-            score = M.silhouette(points, SCALED, "raw_cluster").first()[0]
-            # The scaler divides by the n-1 deviation; inertia is reported in
-            # units of the population deviation.
-            return k, float(cost) * n / (n - 1), float(score)
-
-        with ThreadPool(min(PARALLEL_FITS, len(fits))) as pool:
-            out = pool.map(row, sorted(fits.items()))
-    return spark.createDataFrame(out, EVALUATION_SCHEMA)
-
-
-def _unpacked(clustered: DataFrame) -> DataFrame:
-    values = vector_to_array("segment_features")
-    return clustered.select("raw_cluster", *[values[i].alias(c) for i, c in enumerate(SCALED)])
+    """(k, inertia, silhouette, silhouette_squared), all over all rows: the first
+    silhouette by plain Euclidean distances, the second by squared ones."""
+    return features.sparkSession.createDataFrame(sweep(features, ks, restarts)[0], EVALUATION_SCHEMA)
 
 
 def best_k(evaluation: DataFrame) -> DataFrame:
@@ -174,8 +167,9 @@ class SegmentModel:
 
 def fit_segments(features: DataFrame, k: int = C.SEGMENT_COUNT,
                  restarts: int = RESTARTS) -> SegmentModel:
-    with _scaled(features) as (scaler, vectors):
-        _, kmeans = best_fits(vectors, [k], restarts)[k]
+    with _scaled(features) as (scaler, points):
+        best = lloyd.best_of(lloyd.run_fits(points, SCALED, [k], restarts, C.SEED))[k]
+    kmeans = _exact_model(best.centroids)
     fitted = FittedModel("KMeans", C.SEGMENT_FEATURES, PipelineModel([*scaler.stages, kmeans]))
     return SegmentModel.of(fitted)
 

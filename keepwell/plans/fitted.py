@@ -56,9 +56,9 @@ def _segments(app: str, sf: str):
 
 
 @lru_cache(maxsize=16)
-def _k_rows(app: str, sf: str):
-    """The sweep's seven result rows."""
-    return [tuple(r) for r in SG.evaluate_k(features(SparkSession.active(), sf)).collect()]
+def _k_sweep(app: str, sf: str):
+    """The sweep's seven result rows and the clusters they were measured on."""
+    return SG.sweep(features(SparkSession.active(), sf))
 
 
 @lru_cache(maxsize=16)
@@ -87,7 +87,11 @@ def segments(spark, sf) -> SG.SegmentModel:
 
 
 def k_evaluation(spark, sf) -> DataFrame:
-    return spark.createDataFrame(_k_rows(_key(spark), sf), SG.EVALUATION_SCHEMA)
+    return spark.createDataFrame(_k_sweep(_key(spark), sf)[0], SG.EVALUATION_SCHEMA)
+
+
+def k_clusters(spark, sf) -> DataFrame:
+    return _k_sweep(_key(spark), sf)[1]
 
 
 @lru_cache(maxsize=16)

@@ -435,6 +435,25 @@ FROM (SELECT p.Customer_ID, MAX(CASE WHEN g.Cluster = p.Cluster THEN n END) AS o
       GROUP BY 1)"""
 
 
+def _euclidean_silhouette() -> str:
+    """Over pairs of different points, with the rows they stand for as weights."""
+    cs = C.SEGMENT_FEATURES
+    apart = " + ".join(f"(p.{c} - q.{c}) * (p.{c} - q.{c})" for c in cs)
+    return f"""
+SELECT ROUND(SUM(w * CASE WHEN own_n > 1 AND GREATEST(a, b) > 0 THEN (b - a) / GREATEST(a, b)
+                     ELSE 0.0::DOUBLE END) / SUM(w), 6) AS silhouette
+FROM (SELECT id, ANY_VALUE(w) AS w, MAX(CASE WHEN mine THEN n END) AS own_n,
+             MAX(CASE WHEN mine AND n > 1 THEN total / (n - 1) END) AS a,
+             MIN(CASE WHEN NOT mine THEN total / n END) AS b
+      FROM (SELECT p.id, ANY_VALUE(p.w) AS w, p.Cluster = q.Cluster AS mine, q.Cluster AS other,
+                   SUM(q.w * SQRT({apart})) AS total, SUM(q.w)::DOUBLE AS n
+            FROM points p CROSS JOIN points q GROUP BY p.id, p.Cluster, q.Cluster)
+      GROUP BY id)"""
+
+
+_POINTS = f"""
+points AS (SELECT Cluster, {', '.join(C.SEGMENT_FEATURES)}, COUNT(*) AS w, ROW_NUMBER() OVER () AS id
+           FROM picked GROUP BY Cluster, {', '.join(C.SEGMENT_FEATURES)})"""
 _PICKED = f"""
 picked AS (SELECT Customer_ID, Cluster, {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in C.SEGMENT_FEATURES)}
            FROM named)"""
@@ -565,6 +584,7 @@ SELECT ROUND(SQRT(AVG(e * e)), 6) AS rmse, ROUND(AVG(ABS(e)), 6) AS mae,
 FROM (SELECT Total_Revenue AS y, Total_Revenue - Monthly_Charge * Tenure_in_Months AS e,
              AVG(Total_Revenue) OVER () AS mean_y FROM features)"""),
     "q_silhouette": m(_silhouette(), _PICKED),
+    "q_silhouette_euclidean": m(_euclidean_silhouette(), _PICKED, _POINTS),
     # priority matrix and KPIs
     "q_priority_labels": m("SELECT Customer_ID, Churn_Probability, Predicted_CLV, Priority_Label "
                            "FROM matrix"),
@@ -673,6 +693,8 @@ SELECT Customer_ID, Priority_Label, CASE WHEN hr THEN 'at/above' ELSE 'below' EN
     "q_comparison_check": "SELECT unnest([" + ", ".join(f"'{c}'" for c in C.CHURN_MODEL_NAMES)
         + "]) AS model, TRUE AS in_range, TRUE AS not_above_best",
     "q_k_sweep_check": "SELECT CAST(range AS INTEGER) AS k, TRUE AS inertia_falls, TRUE AS in_range FROM range(2, 9)",
+    "q_k_sweep_recount": "SELECT CAST(range AS INTEGER) AS k, TRUE AS all_used, TRUE AS same_inertia, "
+                         "TRUE AS not_above_best FROM range(2, 9)",
     # plain tables
     "t_order_quantiles": _union([_quantile_row(t, c) for t, c in (
         ("orders", "o_totalprice"), ("lineitem", "l_extendedprice"), ("customer", "c_acctbal"))]),

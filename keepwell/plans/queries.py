@@ -26,6 +26,7 @@ from keepwell.operators import priority as PR
 from keepwell.operators import score as SC
 from keepwell.operators import segments as SG
 from keepwell.operators import validate as V
+from keepwell.operators.distances import euclidean_silhouettes
 from keepwell.operators.ordering import rank_global
 from keepwell.operators.quantiles import exact_quantiles
 from keepwell.operators.sampling import exact_split, fixed_sample
@@ -344,6 +345,13 @@ def q_silhouette(spark, sf):
     return rounded(M.silhouette(clustered, list(C.SEGMENT_FEATURES), "Cluster"))
 
 
+def q_silhouette_euclidean(spark, sf):
+    """The same with plain distances, over all rows."""
+    base = rule_base(spark, sf)
+    clustered = rule_assigned(base, SG.population_terciles(base))
+    return rounded(euclidean_silhouettes(clustered, list(C.SEGMENT_FEATURES), ["Cluster"]).select("silhouette"))
+
+
 # --- priority matrix and KPIs ----------------------------------------------
 
 def q_priority_labels(spark, sf):
@@ -758,6 +766,22 @@ def q_k_sweep_check(spark, sf):
         F.col("silhouette").between(-1, 1).alias("in_range"))
 
 
+def q_k_sweep_recount(spark, sf):
+    """Per k: all clusters are used, the inertia follows from the assignments, and
+    the chosen k has the largest silhouette. Final centroids are within the
+    tolerance of their clusters' means, hence the thousandth."""
+    clusters, n = fitted.k_clusters(spark, sf), fitted.features(spark, sf).count()
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"k{k}").alias("c")) for k in C.K_RANGE]))
+    spread = clusters.select(each.alias("e"), *SG.SCALED).groupBy("e.k", "e.c").agg(
+        sum((F.var_pop(c) for c in SG.SCALED), F.lit(0.0)).alias("v"), F.count("*").alias("n"))
+    again = spread.groupBy("k").agg(F.count("*").alias("used"), F.sum(F.col("v") * F.col("n") * n / (n - 1)).alias("again"))
+    best = SG.best_k(fitted.k_evaluation(spark, sf)).select("silhouette").scalar()
+    return fitted.k_evaluation(spark, sf).join(F.broadcast(again), "k").select(
+        "k", (F.col("used") == F.col("k")).alias("all_used"),
+        F.col("inertia").between(F.col("again") * (1 - 1e-9), F.col("again") * 1.001).alias("same_inertia"),
+        (F.col("silhouette") <= best).alias("not_above_best"))
+
+
 def _tuned(query):
     @wraps(query)
     def run(spark: SparkSession, sf: str) -> DataFrame:

@@ -234,3 +234,34 @@ def test_standardise(spark):
     x = np.array([1.0, 2.0, 6.0])
     assert np.allclose([r.x_z for r in rows], (x - x.mean()) / x.std())
     assert [r.k_z for r in rows] == [0.0, 0.0, 0.0]
+
+
+@pytest.mark.parametrize("bins", [100_000, 50])
+def test_quantiles_of_many_columns_take_two_scans(spark, monkeypatch, bins):
+    from keepwell.operators import quantiles as Q
+    rng = np.random.default_rng(8)
+    data = {"a": rng.normal(size=30_000), "b": np.round(rng.exponential(3, 30_000), 1),
+            "c": np.where(rng.random(30_000) < 0.4, 7.0, rng.normal(size=30_000))}
+    df = spark.createDataFrame(list(zip(*[map(float, v) for v in data.values()])), list(data)).cache()
+    rounds, count = [], Q._count
+    monkeypatch.setattr(Q, "_count", lambda *a: (rounds.append(1), count(*a)))
+    probs = [0.001, 1 / 3, 0.5, 0.9999]
+    got = exact_quantiles(df, list(data), probs, bins=bins)
+    for c, v in data.items():
+        assert np.allclose(got[c], np.quantile(v, probs), rtol=1e-12)
+    assert len(rounds) == 1
+
+
+def test_quantiles_survive_a_wrong_sketch(spark, monkeypatch):
+    """Brackets beside the rank are moved, not believed."""
+    from keepwell.operators import quantiles as Q
+    sketched = Q._sketched
+
+    def wrong(*args):
+        found = sketched(*args)
+        for c in found:
+            c.brackets = {k: (c.low + 3.0, c.low + 4.0) for k in c.brackets}
+        return found
+    monkeypatch.setattr(Q, "_sketched", wrong)
+    values = [float(v) for v in range(100)]
+    assert exact_quantiles(frame(spark, values), ["x"], [0.02, 0.5])["x"] == [1.98, 49.5]
