@@ -21,7 +21,6 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
@@ -30,13 +29,14 @@ from pyspark.sql import functions as F
 from keepwell.llm.lyndon_suffixes import suffix_array
 from keepwell.llm.sides import checked
 from keepwell.llm.textblocks import blocks, mix, text_bytes
+from keepwell.llm.wordlists import texts
 from keepwell.session import materialise, shuffle_partitions
 
 SIZE = 400
 GRAM = 96
 #: Places of a suffix array: one in every STEP bytes, by the least hash of PIECE bytes.
-PIECE, STEP = 8, 24
-MOST_CLASSES = 4_096
+PIECE, STEP = 8, 48
+MOST_CLASSES = 512
 MOST_STARTS = 2_048
 BLOCK_BYTES = 1_000_000
 _PAD = 0xFF                                     # no byte of a UTF-8 text
@@ -63,64 +63,66 @@ def _gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
         length *= 2
 
 
+def _least(values: np.ndarray, width: int) -> np.ndarray:
+    """Least value of every run of ``width`` values, by doubling."""
+    length = 1
+    while 2 * length <= width:
+        values = np.minimum(values[:-length], values[length:])
+        length *= 2
+    more = width - length
+    return np.minimum(values[:len(values) - more], values[more:])
+
+
 def _least_places(values: np.ndarray, width: int) -> np.ndarray:
     """Place of the first least value of every run of ``width`` values."""
-    n = len(values)
-    if n < width:
-        return np.zeros(0, np.int64)
-    best, length = np.arange(n), 1
+    best, length = np.arange(len(values)), 1
     while 2 * length <= width:
         a, b = best[:-length], best[length:]
         best = np.where(values[b] < values[a], b, a)
         length *= 2
-    a, b = best[:n - width + 1], best[width - length:]
+    a, b = best[:len(values) - width + 1], best[width - length:]
     return np.where(values[b] < values[a], b, a)
 
 
-def text_segments(data: np.ndarray, size: int, gram: int) -> tuple[np.ndarray, ...]:
-    """(first start, number of starts, anchor, whether the anchor occurs in it at
-    several places) of the segments of one text. A long text is read in slices,
-    and a run of one anchor is cut after MOST_STARTS."""
-    first, starts, several = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, bool)]
-    anchor = [np.zeros(0, np.uint64)]
+def segments_of(data: np.ndarray, offsets: np.ndarray, size: int, gram: int) -> tuple[np.ndarray, ...]:
+    """(first start, number of starts, anchor, whether the anchor stands at several
+    places in it) of the segments of texts that follow each other in ``data``. The
+    bytes are read in slices, and a run of one anchor is cut after MOST_STARTS."""
+    width = size - gram + 1
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, bool))]
     for low in range(0, len(data) - size + 1, BLOCK_BYTES):
         hashes = _gram_hashes(data[low:low + BLOCK_BYTES + size - 1], gram)
-        place = _least_places(hashes, size - gram + 1)
-        least = hashes[place]
-        edge = np.append(np.flatnonzero(least[1:] != least[:-1]) + 1, len(least))
-        begin = np.append(0, edge[:-1])
-        parts = -(-(edge - begin) // MOST_STARTS)
+        least = _least(hashes, width)
+        at = np.arange(low, low + len(least))
+        doc = np.searchsorted(offsets, at, "right") - 1
+        fits = at + size <= offsets[doc + 1]
+        new = np.ones(len(least), bool)             # the first start of a segment
+        new[1:] = (least[1:] != least[:-1]) | (doc[1:] != doc[:-1]) | ~fits[:-1]
+        begin = np.flatnonzero(new & fits)
+        stop = np.append(np.flatnonzero(new | ~fits), len(least))
+        end = stop[np.searchsorted(stop, begin, "right")]
+        parts = -(-(end - begin) // MOST_STARTS)
         part = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-        begin = np.repeat(begin, parts) + part * MOST_STARTS
-        n = np.minimum(np.repeat(edge, parts) - begin, MOST_STARTS)
-        first.append(begin + low)
-        starts.append(n)
-        several.append(place[begin] != place[begin + n - 1])
-        anchor.append(least[begin])
-    return tuple(np.concatenate(x) for x in (first, starts, anchor, several))
+        begin, end = np.repeat(begin, parts) + part * MOST_STARTS, np.repeat(end, parts)
+        n = np.minimum(end - begin, MOST_STARTS)
+        view, anchor, last = sliding_window_view(hashes, width), least[begin], begin + n - 1
+        several = (begin + (view[begin] == anchor[:, None]).argmax(axis=1)
+                   != last + (view[last] == anchor[:, None]).argmax(axis=1))
+        found.append((begin + low, n, anchor, several))
+    return tuple(np.concatenate(x) for x in zip(*found))
 
 
 def _segment_rows(batch: pa.RecordBatch, size: int, gram: int) -> pa.RecordBatch:
     data, offsets = text_bytes(batch.column("text"))
-    doc, first, starts, anchor, several, label = [], [], [], [], [], []
-    for d in np.flatnonzero(np.diff(offsets) >= size):
-        text = data[offsets[d]:offsets[d + 1]]
-        at, n, hashes, more = text_segments(text, size, gram)
-        raw = text.tobytes()
-        label += [hashlib.blake2b(raw[a:a + k + size - 1], digest_size=16).digest()
-                  for a, k in zip(at.tolist(), n.tolist())]
-        doc.append(np.full(len(at), d))
-        first.append(at)
-        starts.append(n)
-        anchor.append(hashes.view(np.int64))
-        several.append(more)
-    doc, first, starts, anchor, several = (np.concatenate(x) if x else np.zeros(0, np.int64)
-                                           for x in (doc, first, starts, anchor, several))
-    doc = pa.array(doc, pa.int64())
+    first, starts, anchor, several = segments_of(data, offsets, size, gram)
+    doc = np.searchsorted(offsets, first, "right") - 1
+    raw = data.tobytes()
+    label = [hashlib.blake2b(raw[a:a + k + size - 1], digest_size=16).digest()
+             for a, k in zip(first.tolist(), starts.tolist())]
+    which = pa.array(doc, pa.int64())
     return pa.RecordBatch.from_arrays(
-        [batch.column("doc_id").take(doc), batch.column("digest").take(doc), pa.array(first, pa.int64()),
-         pa.array(starts, pa.int64()), pa.array(anchor, pa.int64()), pa.array(several.astype(bool), pa.bool_()),
-         pa.array(label, pa.binary())],
+        [batch.column("doc_id").take(which), batch.column("digest").take(which), pa.array(first - offsets[doc]),
+         pa.array(starts), pa.array(anchor.view(np.int64)), pa.array(several), pa.array(label, pa.binary())],
         names=["doc_id", "digest", "first", "starts", "anchor", "several", "label"])
 
 
@@ -326,14 +328,14 @@ def _contents(rows: DataFrame, classes: DataFrame, kind: str, size: int) -> Data
                                        & F.col("r.doc_id").eqNullSafe(F.col("w.doc_id")))
 
     def take(batches):
-        for batch in batches:
-            for raw, parts in zip(batch.column("text"), batch.column("parts")):
-                raw, parts = raw.as_py().encode(), parts.as_py()
-                yield pa.RecordBatch.from_pandas(pd.DataFrame({
-                    "anchor": [p["anchor"] for p in parts], "label": [p["label"] for p in parts],
-                    "times": [p["times"] for p in parts], "classes": [p["classes"] for p in parts],
-                    "content": [raw[p["first"]:p["first"] + p["starts"] + size - 1] for p in parts]}),
-                    preserve_index=False)
+        for batch in blocks(batches):
+            parts = [(text, p) for text, found in zip(texts(batch.column("text")), batch.column("parts").to_pylist())
+                     for p in found]
+            yield pa.RecordBatch.from_arrays([
+                *[pa.array([p[c] for _, p in parts], kind) for c, kind in (
+                    ("anchor", pa.int64()), ("label", pa.binary()), ("times", pa.int64()), ("classes", pa.int64()))],
+                pa.array([t[p["first"]:p["first"] + p["starts"] + size - 1] for t, p in parts], pa.binary())],
+                names=["anchor", "label", "times", "classes", "content"])
 
     return together.select("r.text", "w.parts").mapInArrow(
         take, "anchor long, label binary, times long, classes long, content binary")
@@ -350,11 +352,10 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def cut(batches):
-        for batch in batches:
+        for batch in blocks(batches):
             spans, kept, removed = [], [], []
-            for raw, runs in zip(batch.column("text"), batch.column("runs")):
-                raw = raw.as_py().encode()
-                mine = _joined(runs.as_py(), size)
+            for raw, runs in zip(texts(batch.column("text")), batch.column("runs").to_pylist()):
+                mine = _joined(runs, size)
                 edges = [0, *[x for span in mine for x in span], len(raw)]
                 kept.append(b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2])))
                 spans.append([{"low": a, "high": b} for a, b in mine])
