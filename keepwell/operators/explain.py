@@ -1,22 +1,26 @@
 """Which features move the churn score, for both classifiers.
 
 The logistic model is explained by column arithmetic alone. For the forest the
-exact path-dependent Shapley values of Lundberg et al. (2018) are computed leaf
-by leaf in ``mapInPandas``: a leaf that needs the features P gives feature j
+exact path-dependent Shapley values of Lundberg et al. (2018) are computed in
+Arrow batches. A leaf with value v whose path asks the features P gives feature j
 
-    value * (hit_j - share_j) * integral_0^1 prod_{i in P, i != j}
-                                             ((1-t) share_i + t hit_i) dt
+    v * (hit_j - share_j) * integral_0^1 prod_{i in P, i != j}
+                                         ((1-t) share_i + t hit_i) dt
 
-where hit_i tells whether the row meets the leaf's conditions on i and share_i
-is the fraction of training weight that does. The integrand is a polynomial of
-degree |P|-1, so Gauss-Legendre nodes give it exactly. The path table handed
-to the tasks is bounded by trees * 2^depth rows, whatever the data size.
+where hit_i tells whether the row meets the path's conditions on i and share_i is
+the fraction of training weight that does. The integrand is a polynomial of degree
+|P|-1, so Gauss-Legendre nodes give it exactly. Leaves share their paths, so the
+products are carried down the trees once, level by level for all trees together,
+the sums of leaf terms are carried up again, and every edge adds its feature's
+part; an edge that asks a feature again takes the place of the earlier one. The
+edge table handed to the tasks is bounded by trees * 2^depth, whatever the data.
 """
 
 from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -32,6 +36,8 @@ from keepwell.session import shuffle_partitions
 # Executors get the function itself, so they need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+_CELLS = 500_000           # rows times edges of a level held at once
+
 
 def logistic_contributions(model: FittedModel, df: DataFrame) -> DataFrame:
     """(id, feature, contribution) in log-odds: coefficient times the
@@ -46,35 +52,82 @@ def logistic_contributions(model: FittedModel, df: DataFrame) -> DataFrame:
     return scaled.select(C.ID, F.inline(terms))
 
 
-def forest_paths(model: FittedModel, scratch: str) -> list[tuple]:
-    """Leaves of the forest as (value / trees, features, low, high, share).
+@dataclass
+class Edges:
+    """The edges into the nodes of one depth, of all trees, ordered by feature.
+    Numbers in ``parent`` count the edges one level up (the tree at the first),
+    ``earlier`` is (level, number) of the last edge above that asks the same
+    feature, or level -1. Leaves have their value, other nodes 0."""
+    parent: np.ndarray
+    feature: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    share: np.ndarray
+    earlier: np.ndarray
+    value: np.ndarray
+
+
+@dataclass
+class Forest:
+    levels: list[Edges]
+    trees: int
+
+    def __iter__(self) -> Iterator[tuple]:
+        """Leaves as (value, features, low, high, share)."""
+        paths: list[list[dict]] = [[{} for _ in range(self.trees)]]
+        for e in self.levels:
+            now = []
+            for k, parent in enumerate(e.parent.tolist()):
+                path = {**paths[-1][parent], int(e.feature[k]): (e.low[k], e.high[k], e.share[k])}
+                now.append(path)
+                if e.value[k]:
+                    features = sorted(path)
+                    low, high, share = zip(*[path[f] for f in features])
+                    yield e.value[k], np.array(features), np.array(low), np.array(high), np.array(share)
+            paths.append(now)
+
+
+def forest_paths(model: FittedModel, scratch: str) -> Forest:
+    """The edges of the forest, leaf values divided by the number of trees.
 
     The node table is read from the model's own stored form; its size is set
     by the number and depth of the trees.
     """
     forest = model.pipeline.stages[-1]
     forest.write().overwrite().save(scratch)
-    nodes = (forest_nodes(scratch).orderBy("tree", "id").toPandas())
-    leaves = []
-    for _, tree in nodes.groupby("tree"):
-        rows = {r.id: r for r in tree.itertuples()}
-
-        def walk(node_id, bounds):
-            node = rows[node_id]
-            if node.left < 0:
-                features = sorted(bounds)
-                low, high, share = zip(*[bounds[f] for f in features]) if features else ((), (), ())
-                leaves.append((node.churn_share / forest.getNumTrees,
-                               np.array(features, dtype=int), np.array(low), np.array(high),
-                               np.array(share)))
-                return
-            low, high, share = bounds.get(node.feature, (-np.inf, np.inf, 1.0))
-            for child, edge in ((node.left, (low, min(high, node.threshold))),
-                                (node.right, (max(low, node.threshold), high))):
-                part = rows[child].weight / node.weight
-                walk(child, {**bounds, node.feature: (*edge, share * part)})
-        walk(0, {})
-    return leaves
+    table = forest_nodes(scratch).toPandas().sort_values(["tree", "id"], ignore_index=True)
+    node = {c: table[c].to_numpy() for c in table.columns}
+    # Ids count from 0 in every tree without gaps, so a node's row is known.
+    first = np.searchsorted(node["tree"], np.arange(node["tree"].max() + 1))
+    at = first.copy()                              # rows of the nodes one level up
+    n_features = len(model.inputs)
+    last = np.full((len(at), n_features, 2), -1)   # where a feature was asked last
+    levels: list[Edges] = []
+    while True:
+        inner = np.flatnonzero(node["left"][at] >= 0)
+        if not len(inner):
+            return Forest(levels, len(first))
+        up = np.concatenate([inner, inner])
+        right = np.repeat([False, True], len(inner))
+        row, feature = at[up], node["feature"][at[up]].astype(int)
+        child = first[node["tree"][row]] + np.where(right, node["right"][row], node["left"][row]).astype(int)
+        order = np.lexsort((up, feature))
+        up, right, row, feature, child = (x[order] for x in (up, right, row, feature, child))
+        earlier = last[up, feature]
+        low, high, share = np.full(len(up), -np.inf), np.full(len(up), np.inf), np.ones(len(up))
+        for k, e in enumerate(levels):
+            asked = np.flatnonzero(earlier[:, 0] == k)
+            which = earlier[asked, 1]
+            low[asked], high[asked], share[asked] = e.low[which], e.high[which], e.share[which]
+        cut = node["threshold"][row].astype(float)
+        low, high = np.where(right, np.maximum(low, cut), low), np.where(right, high, np.minimum(high, cut))
+        share = share * node["weight"][child] / node["weight"][row]
+        leaf = node["left"][child] < 0
+        levels.append(Edges(up, feature, low, high, share, earlier,
+                            np.where(leaf, node["churn_share"][child] / len(first), 0.0)))
+        last = last[up]
+        last[np.arange(len(up)), feature] = np.stack([np.full(len(up), len(levels) - 1), np.arange(len(up))], axis=1)
+        at = child
 
 
 def forest_nodes(path: str) -> DataFrame:
@@ -90,39 +143,78 @@ def forest_nodes(path: str) -> DataFrame:
         F.try_element_at(n["split"]["leftCategoriesOrThreshold"], F.lit(1)).alias("threshold"))
 
 
-def shapley_values(x: np.ndarray, leaves) -> np.ndarray:
-    """Contributions of every feature for every row of ``x``.
+def _three_ways(e: Edges, levels: list[Edges], t: float) -> tuple[np.ndarray, np.ndarray]:
+    """(factor, part) at one node of the integral, each for a row that misses the
+    earlier edge of the feature, that meets it but not this one, that meets both.
+    The factor turns the parent's product into this one's, the part is what a
+    unit of leaf sums below gives the feature."""
+    met_earlier, share_earlier = np.ones((2, len(e.share)))
+    has = e.earlier[:, 0] >= 0
+    for k, other in enumerate(levels):
+        asked = e.earlier[:, 0] == k
+        share_earlier[asked] = other.share[e.earlier[asked, 1]]
+    missed = (1 - t) * e.share
+    miss_earlier = np.where(has, (1 - t) * share_earlier, 1.0)
+    met_earlier = np.where(has, (1 - t) * share_earlier + t, 1.0)
+    neg, pos = -e.share / missed, (1 - e.share) / (missed + t)
+    neg_earlier = np.where(has, -share_earlier / miss_earlier, 0.0)
+    pos_earlier = np.where(has, (1 - share_earlier) / met_earlier, 0.0)
+    return (np.stack([missed / miss_earlier, missed / met_earlier, (missed + t) / met_earlier]),
+            np.stack([neg - neg_earlier, neg - pos_earlier, pos - pos_earlier]))
 
-    At each node a feature's factor is ``miss`` or ``met``; the product over
-    all features comes from summed logarithms and the one without feature j by
-    dividing its factor out, so a leaf costs three small matrix products.
-    """
+
+def shapley_values(x: np.ndarray, forest: Forest) -> np.ndarray:
+    """Contributions of every feature for every row of ``x``."""
     out = np.zeros(x.shape)
-    rules = {d: np.polynomial.legendre.leggauss((d + 1) // 2)
-             for d in {len(leaf[1]) for leaf in leaves} if d}
-    for value, features, low, high, share in leaves:
-        if not len(features):
-            continue
-        nodes, weights = rules[len(features)]
-        t = (nodes + 1) / 2
-        miss = share[:, None] * (1 - t)
-        met = miss + t
-        part = x[:, features]
-        hit = ((part > low) & (part <= high)).astype(float)
-        log_miss = np.log(miss)
-        product = np.exp(hit @ (np.log(met) - log_miss) + log_miss.sum(axis=0)) * (weights / 2)
-        integral = product @ (1 / miss).T + hit * (product @ (1 / met - 1 / miss).T)
-        out[:, features] += value * (hit - share) * integral
+    if not forest.levels:
+        return out
+    nodes, weights = np.polynomial.legendre.leggauss((len(forest.levels) + 1) // 2)
+    tables = [[_three_ways(e, forest.levels, (t + 1) / 2) for e in forest.levels] for t in nodes]
+    rows = max(1, _CELLS // max(len(e.parent) for e in forest.levels))
+    for at in range(0, len(x), rows):
+        part, met, state = x[at:at + rows], [], []
+        for e in forest.levels:
+            met.append((part[:, e.feature] > e.low) & (part[:, e.feature] <= e.high))
+            before = np.ones_like(met[-1])
+            for k in np.unique(e.earlier[e.earlier[:, 0] >= 0, 0]):
+                asked = e.earlier[:, 0] == k
+                before[:, asked] = met[k][:, e.earlier[asked, 1]]
+            state.append((met[-1], before))
+        for t, weight in enumerate(weights):
+            out[at:at + rows] += weight / 2 * _one_node(part, forest, tables[t], state)
+    return out
+
+
+def _one_node(x: np.ndarray, forest: Forest, tables: list, state: list) -> np.ndarray:
+    product, products = np.ones((len(x), forest.trees)), []
+    for e, (factor, _), (met, before) in zip(forest.levels, tables, state):
+        product = product[:, e.parent] * np.where(met, factor[2], np.where(before, factor[1], factor[0]))
+        products.append(product)
+    out, below = np.zeros(x.shape), None
+    for k in range(len(forest.levels) - 1, -1, -1):
+        e, (_, part), (met, before) = forest.levels[k], tables[k], state[k]
+        sums = products[k] * e.value
+        if below is not None:
+            sums += below
+        gain = sums * np.where(met, part[2], np.where(before, part[1], part[0]))
+        start = np.flatnonzero(np.diff(e.feature, prepend=-1))
+        out[:, e.feature[start]] += np.add.reduceat(gain, start, axis=1)
+        if k:
+            # Both children of a parent are edges of this level.
+            by_parent = np.argsort(e.parent, kind="stable")
+            parents = e.parent[by_parent[::2]]
+            below = np.zeros((len(x), len(forest.levels[k - 1].parent)))
+            below[:, parents] = sums[:, by_parent[::2]] + sums[:, by_parent[1::2]]
     return out
 
 
 def forest_contributions(model: FittedModel, df: DataFrame, scratch: str) -> DataFrame:
     """(id, feature, contribution) in probability units for every row."""
-    leaves, inputs, key = forest_paths(model, scratch), list(model.inputs), C.ID
+    forest, inputs, key = forest_paths(model, scratch), list(model.inputs), C.ID
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            values = shapley_values(batch[inputs].to_numpy(dtype=float), leaves)
+            values = shapley_values(batch[inputs].to_numpy(dtype=float), forest)
             yield pd.DataFrame({
                 key: np.repeat(batch[key].to_numpy(), len(inputs)),
                 "feature": np.tile(inputs, len(batch)),
@@ -136,11 +228,11 @@ def forest_contributions(model: FittedModel, df: DataFrame, scratch: str) -> Dat
 def forest_summary(model: FittedModel, df: DataFrame, scratch: str) -> DataFrame:
     """(feature, n, total, total_abs) over all rows, summed inside each batch:
     a batch sends one row per feature, not one per account and feature."""
-    leaves, inputs = forest_paths(model, scratch), list(model.inputs)
+    forest, inputs = forest_paths(model, scratch), list(model.inputs)
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            values = shapley_values(batch[inputs].to_numpy(dtype=float), leaves)
+            values = shapley_values(batch[inputs].to_numpy(dtype=float), forest)
             yield pd.DataFrame({"feature": inputs, "n": len(batch), "total": values.sum(axis=0),
                                 "total_abs": np.abs(values).sum(axis=0)})
 
@@ -152,10 +244,10 @@ def forest_summary(model: FittedModel, df: DataFrame, scratch: str) -> DataFrame
 def logistic_summary(model: FittedModel, df: DataFrame) -> DataFrame:
     """(feature, n, total, total_abs) by one wide aggregation without a shuffle
     of accounts."""
-    scaled = model.pipeline.transform(df)
-    weights = model.pipeline.stages[-1].coefficients.toArray()
-    values = vector_to_array("churn_features")
-    terms = scaled.select(*[(values[i] * float(w)).alias(f"c{i}") for i, w in enumerate(weights)])
+    scaler, last = model.pipeline.stages[-2:]
+    terms = df.select(*[
+        ((F.col(name).cast("double") - float(mean)) * (float(w) / float(std) if std else 0.0)).alias(f"c{i}")
+        for i, (name, w, mean, std) in enumerate(zip(model.inputs, last.coefficients, scaler.mean, scaler.std))])
     sums = terms.agg(F.count("*").alias("n"), *[
         F.struct(F.sum(c).alias("t"), F.sum(F.abs(c)).alias("a")).alias(c) for c in terms.columns])
     return sums.select(F.inline(F.array(*[
