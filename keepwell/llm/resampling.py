@@ -43,6 +43,7 @@ SEED = 2024
 HEAD = 65_536
 HEAD_BYTES = 64
 _HELD = 300_000
+_SIZES = 32                # classes of counts per power of two
 
 
 class _States(dict):
@@ -97,8 +98,8 @@ class Vocabulary:
 
 
 def _head(rows: DataFrame, size: int) -> list[tuple]:
-    """The most frequent words or pairs of all texts (ties by their bytes). Tasks
-    count before they send, and hold _HELD different ones at most."""
+    """The most frequent words or pairs of all texts, HEAD at most. Tasks count
+    before they send, and hold _HELD different ones at most."""
     def count(batches):
         held: Counter = Counter()
         for batch in blocks(batches):
@@ -114,8 +115,19 @@ def _head(rows: DataFrame, size: int) -> list[tuple]:
         yield _counted(held)
 
     counted = rows.mapInArrow(count, "run binary, n long").groupBy("run").agg(F.sum("n").alias("n"))
-    top = counted.where(F.octet_length("run") <= HEAD_BYTES).orderBy(F.desc("n"), "run").limit(HEAD)
-    return [tuple(bytes(r.run).split(b" ")) for r in top.select("run").collect()]
+    counted = materialise(counted.where(F.octet_length("run") <= HEAD_BYTES).withColumn(
+        "size", F.floor(F.log2("n") * _SIZES).cast("int")))
+    # Whole classes of like counts from the top, so the driver gets the head alone.
+    least, held = None, 0
+    for r in counted.groupBy("size").agg(F.count("*").alias("runs")).orderBy(F.desc("size")).collect():
+        held += r["runs"]
+        if held > HEAD:
+            break
+        least = r["size"]
+    if least is None:
+        return []
+    return [tuple(bytes(r.run).split(b" ")) for r in
+            counted.where(F.col("size") >= least).select("run").collect()]
 
 
 def _counted(held: Counter) -> pa.RecordBatch:
