@@ -88,13 +88,21 @@ def _long(df: DataFrame, checks, totals=()) -> DataFrame:
     return counted.select(F.inline(F.array(*rows)))
 
 
+def column_findings(df: DataFrame) -> list[tuple[int, str, str, int]]:
+    """What the schema alone shows, in the rows of the report."""
+    return ([(2, "missing_column", c, 1) for c in missing_columns(df)]
+            + [(3, "unexpected_column", c, 1) for c in unexpected_columns(df)])
+
+
+def row_counts(df: DataFrame) -> dict[tuple[int, str, str], Column]:
+    """All single-row checks of the report as aggregates, by (position, check, column)."""
+    return {(p, name, c): F.count_if(cond) for p, name, c, cond in _row_checks(df)}
+
+
 def validation_report(df: DataFrame, expected_rows: int | None = None) -> DataFrame:
     """(position, check, column, violations) in the order failures are raised."""
     spark = df.sparkSession
-    plan_time = (
-        [(2, "missing_column", c, 1) for c in missing_columns(df)]
-        + [(3, "unexpected_column", c, 1) for c in unexpected_columns(df)]
-    )
+    plan_time = column_findings(df)
     wanted = F.lit(expected_rows) if expected_rows is not None else F.count("*")
     rows = _long(df, _row_checks(df), [(1, "row_count", "*", F.abs(F.count("*") - wanted))])
     if C.ID in df.columns:
@@ -109,12 +117,17 @@ def validation_report(df: DataFrame, expected_rows: int | None = None) -> DataFr
 def enforce(report: DataFrame) -> None:
     """Raise on the first violated check. The report has one row per check and
     column of the contract, so fetching it is bounded."""
-    broken = report.where("violations > 0").orderBy("position", "column").collect()
+    enforce_rows([tuple(r) for r in report.where("violations > 0").select(
+        "position", "check", "column", "violations").collect()])
+
+
+def enforce_rows(rows: list[tuple[int, str, str, int]]) -> None:
+    """The same for the rows of a report that are here already."""
+    broken = sorted(((p, c, check, n) for p, check, c, n in rows if n))
     if broken:
-        first = broken[0]
-        same = [f"{r['column']} ({r['violations']})" for r in broken
-                if r["check"] == first["check"]]
-        raise AccountTableError(f"check {first['check']} failed: {', '.join(same)}")
+        first = broken[0][2]
+        same = [f"{c} ({n})" for _, c, check, n in broken if check == first]
+        raise AccountTableError(f"check {first} failed: {', '.join(same)}")
 
 
 def numeric_coercion(df: DataFrame) -> DataFrame:

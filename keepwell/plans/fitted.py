@@ -1,14 +1,13 @@
-"""Feature table and fitted models, made once per session and data folder.
+"""Feature table and fitted models, made once per session and state of the data.
 
 Fitting is the expensive part of every model query. The first query that
-needs a model fits it; the others reuse it. ``bench.py`` times the fits as
-lines of their own, so the reuse hides nothing.
+needs a model fits it; the others reuse it until a source file changes.
+``bench.py`` times the fits as lines of their own, so the reuse hides nothing.
 """
 
 from __future__ import annotations
 
 import uuid
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,49 +20,49 @@ from keepwell.operators import segments as SG
 from keepwell.operators.prepare import build_features
 from keepwell.operators.score import Bundle, score_records
 from keepwell.session import checkpoint_dir, materialise
-from keepwell.sources.star_schema import accounts
+from keepwell.sources.snapshots import per_snapshot
+from keepwell.sources.star_schema import SOURCE_TABLES, accounts
 
-@lru_cache(maxsize=16)
-def _stage_table(app: str, sf: str) -> DataFrame:
-    return materialise(build_features(accounts(SparkSession.active(), sf)))
 
+def _sources(sf: str) -> list[str]:
+    return [f"{sf}/{table}.parquet" for table in SOURCE_TABLES]
 
+
+kept = per_snapshot(_sources)
+
+@kept
 def features(spark: SparkSession, sf: str) -> DataFrame:
     """The stored feature table, the hand-over between pipeline stages. Splits
     and fits scan it many times."""
-    return _stage_table(_key(spark), sf)
-
-
-def _key(spark: SparkSession) -> str:
-    return spark.sparkContext.applicationId
+    return materialise(build_features(accounts(spark, sf)))
 
 
-@lru_cache(maxsize=16)
-def _churn(app: str, sf: str):
-    train, _ = churn_split(SparkSession.active(), sf)
+@kept
+def churn(spark, sf) -> dict[str, ML.FittedModel]:
+    train, _ = churn_split(spark, sf)
     return ML.fit_churn_models(train)
 
 
-@lru_cache(maxsize=16)
-def _value(app: str, sf: str):
-    train, _ = value_split(SparkSession.active(), sf)
+@kept
+def value(spark, sf) -> ML.FittedModel:
+    train, _ = value_split(spark, sf)
     return ML.fit_value_model(train)
 
 
-@lru_cache(maxsize=16)
-def _segments(app: str, sf: str):
-    return SG.fit_segments(features(SparkSession.active(), sf))
+@kept
+def segments(spark, sf) -> SG.SegmentModel:
+    return SG.fit_segments(features(spark, sf))
 
 
-@lru_cache(maxsize=16)
-def _k_sweep(app: str, sf: str):
+@kept
+def _k_sweep(spark, sf):
     """The sweep's seven result rows and the clusters they were measured on."""
-    return SG.sweep(features(SparkSession.active(), sf))
+    return SG.sweep(features(spark, sf))
 
 
-@lru_cache(maxsize=16)
-def _deployed(app: str, sf: str) -> str:
-    return ML.best_model(full_comparison(SparkSession.active(), sf)).first()["model"]
+@kept
+def _deployed(spark, sf) -> str:
+    return ML.best_model(full_comparison(spark, sf)).first()["model"]
 
 
 def churn_split(spark, sf):
@@ -74,38 +73,21 @@ def value_split(spark, sf):
     return ML.split_training_set(ML.value_training_set(features(spark, sf)), None)
 
 
-def churn(spark, sf) -> dict[str, ML.FittedModel]:
-    return _churn(_key(spark), sf)
-
-
-def value(spark, sf) -> ML.FittedModel:
-    return _value(_key(spark), sf)
-
-
-def segments(spark, sf) -> SG.SegmentModel:
-    return _segments(_key(spark), sf)
-
-
 def k_evaluation(spark, sf) -> DataFrame:
-    return spark.createDataFrame(_k_sweep(_key(spark), sf)[0], SG.EVALUATION_SCHEMA)
+    return spark.createDataFrame(_k_sweep(spark, sf)[0], SG.EVALUATION_SCHEMA)
 
 
 def k_clusters(spark, sf) -> DataFrame:
-    return _k_sweep(_key(spark), sf)[1]
-
-
-@lru_cache(maxsize=16)
-def _comparison(app: str, sf: str) -> DataFrame:
-    spark = SparkSession.active()
-    _, test = churn_split(spark, sf)
-    predictions = materialise(ML.held_out_predictions(churn(spark, sf), test))
-    return materialise(ML.compare_models(predictions))
+    return _k_sweep(spark, sf)[1]
 
 
+@kept
 def full_comparison(spark, sf) -> DataFrame:
     """Metrics of both classifiers on the held-out accounts; the deployed model
     is chosen from these, never from rounded ones."""
-    return _comparison(_key(spark), sf)
+    _, test = churn_split(spark, sf)
+    predictions = materialise(ML.held_out_predictions(churn(spark, sf), test))
+    return materialise(ML.compare_models(predictions))
 
 
 def comparison(spark, sf) -> DataFrame:
@@ -129,31 +111,22 @@ def profiles(spark, sf) -> DataFrame:
 
 
 def scores(spark, sf) -> DataFrame:
-    best = churn(spark, sf)[_deployed(_key(spark), sf)]
+    best = churn(spark, sf)[_deployed(spark, sf)]
     return ML.score_base(features(spark, sf), best, value(spark, sf))
 
 
-@lru_cache(maxsize=16)
-def _bundle(app: str, sf: str) -> Bundle:
-    spark = SparkSession.active()
+@kept
+def bundle(spark, sf) -> Bundle:
+    """What scoring needs, fitted on the base."""
     names = {r["cluster"]: r["segment"] for r in
              profiles(spark, sf).select("cluster", "segment").collect()}
-    return Bundle(churn(spark, sf)[_deployed(app, sf)], value(spark, sf), segments(spark, sf), names,
+    return Bundle(churn(spark, sf)[_deployed(spark, sf)], value(spark, sf), segments(spark, sf), names,
                   PR.median_thresholds(stored_scores(spark, sf)))
 
 
-def bundle(spark, sf) -> Bundle:
-    """What scoring needs, fitted on the base."""
-    return _bundle(_key(spark), sf)
-
-
-@lru_cache(maxsize=16)
-def _stored_scores(app: str, sf: str) -> DataFrame:
-    return materialise(scores(SparkSession.active(), sf))
-
-
+@kept
 def stored_scores(spark, sf) -> DataFrame:
-    return _stored_scores(_key(spark), sf)
+    return materialise(scores(spark, sf))
 
 
 def score_new(spark, sf) -> DataFrame:

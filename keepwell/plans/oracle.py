@@ -7,6 +7,8 @@ window, one ``quantile_cont``. The Spark side has to give the same values.
 
 from __future__ import annotations
 
+import re
+
 from keepwell import contract as C
 
 SAMPLE_ROWS = 100
@@ -451,6 +453,45 @@ FROM (SELECT id, ANY_VALUE(w) AS w, MAX(CASE WHEN mine THEN n END) AS own_n,
       GROUP BY id)"""
 
 
+def _drift_rows() -> str:
+    """The changes of the query, and the values they concern, one by one."""
+    places = {c: i for i, c in enumerate(C.COLUMNS)}
+    churn = {c: i for i, c in enumerate(C.CHURN_PREDICTORS)}
+    value = {c: i for i, c in enumerate(C.VALUE_PREDICTORS)}
+    n = len(C.COLUMNS)
+    raw_rows = [
+        ("accounts", places["Offer"], "Offer", "missing", None, "0 * COUNT(*)", "0"),
+        ("accounts", n - 1, "Loyalty_Tier", "unexpected", "string", "COUNT(Contract)", "0"),
+        ("accounts", n, "Is_Ok", "unexpected", "boolean", "COUNT(Age)", "0"),
+        ("accounts", places["Monthly_Charge"], "Monthly_Charge", "moved", "column 0", "COUNT(Monthly_Charge)", "0"),
+    ]
+    seniors = "COUNT(*) FILTER (WHERE Senior_Citizen = 1)"
+    built_rows = [
+        ("churn model", churn["Offer_Offer_A"], "Offer_Offer_A", "missing", None, "0 * COUNT(*)", "0"),
+        ("churn model", churn["Age"], "Age", "not a number", "string", "COUNT(Age)", seniors),
+        ("churn model", churn["Total_Services"], "Total_Services", "moved", "column 0", "COUNT(Total_Services)", "0"),
+        ("value model", value["Offer_Offer_A"], "Offer_Offer_A", "missing", None, "0 * COUNT(*)", "0"),
+        ("value model", value["Age"], "Age", "not a number", "string", "COUNT(Age)", seniors),
+    ]
+
+    def row(entry, table):
+        reader, place, column, drift, found, values, unusable = entry
+        text = "CAST(NULL AS VARCHAR)" if found is None else f"'{found}'"
+        return (f"SELECT '{reader}' AS reader, CAST({place} AS INTEGER) AS position, '{column}' AS \"column\", "
+                f"'{drift}' AS drift, {text} AS found, CAST({values} AS BIGINT) AS \"values\", "
+                f"CAST({unusable} AS BIGINT) AS unusable FROM {table}")
+    return _union([row(e, "raw") for e in raw_rows] + [row(e, "features") for e in built_rows])
+
+
+def _gate_rows(table: str, name: str) -> list[str]:
+    blanks = " + ".join(f"COUNT(*) FILTER (WHERE {c} IS NULL)" for c in C.FEATURE_COLUMNS)
+    counts = {"row_count": "ABS(COUNT(*) - (SELECT COUNT(*) FROM customer))", "blanks": blanks}
+    counts |= {f"{c}_not_finite": f"COUNT(*) FILTER (WHERE {c} IS NULL OR isnan({c}::DOUBLE) OR isinf({c}::DOUBLE))"
+               for c in C.SEGMENT_FEATURES}
+    return [f"SELECT '{name}' AS artifact, '{gate}' AS gate, CAST({n} AS BIGINT) AS violations, "
+            f"{n} = 0 AS passed FROM {table}" for gate, n in counts.items()]
+
+
 _POINTS = f"""
 points AS (SELECT Cluster, {', '.join(C.SEGMENT_FEATURES)}, COUNT(*) AS w, ROW_NUMBER() OVER () AS id
            FROM picked GROUP BY Cluster, {', '.join(C.SEGMENT_FEATURES)})"""
@@ -494,6 +535,18 @@ ORACLES = {
         f"SELECT '{c}' AS \"column\", {c} AS value, COUNT(*) AS row_count FROM raw "
         f"WHERE {_bad_word(c)} GROUP BY 2" for c in C.CATEGORY_FIELDS])),
     "q_status_counts": a("SELECT Customer_Status, COUNT(*) AS row_count FROM accounts GROUP BY 1"),
+    "q_contract_drift": _with([ACCOUNTS, RAW, FEATURES], _drift_rows()),
+    "q_class_presence": a("""
+SELECT CAST(c AS VARCHAR) AS class, TRUE AS expected,
+       (SELECT COUNT(*) FROM accounts WHERE Customer_Status = s) AS members,
+       (SELECT COUNT(*) FROM accounts WHERE Customer_Status = s) > 0 AS present
+FROM (VALUES (0, 'Stayed'), (1, 'Churned')) AS v(c, s)"""),
+    "q_artifact_gates": _with([ACCOUNTS, RAW, FEATURES, re.sub(
+        r"\b(repaired|encoded|derived|wide|features)\b", r"raw_\1", RAW_FEATURES)], _union(
+        _gate_rows("features", "features") + _gate_rows("raw_features", "raw features"))),
+    "q_artifact_refresh": a(_union([
+        f"SELECT {v} AS version, {k} AS reading, {c} AS value, COUNT(*) AS row_count FROM accounts GROUP BY 3"
+        for v, c in ((1, "Customer_Status"), (2, "Contract")) for k in (1, 2)])),
     "q_feature_nulls": rf(_union([
         f"SELECT '{c}' AS \"column\", COUNT(*) FILTER (WHERE {c} IS NULL) AS blanks FROM features"
         for c in C.FEATURE_COLUMNS])),

@@ -10,11 +10,11 @@ from __future__ import annotations
 import argparse
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from keepwell import contract as C
-from keepwell.operators import explain, kpis, models as ML, segments as SG, validate as V
+from keepwell.operators import explain, gates as G, kpis, models as ML, segments as SG, validate as V
 from keepwell.operators import metrics as M
 from keepwell.operators import priority as PR
 from keepwell.operators.prepare import build_features, split_rejected
@@ -28,18 +28,41 @@ log = logging.getLogger("keepwell")
 
 def features_stage(raw: DataFrame, root: str, expected_rows: int | None = None,
                    keep_rejects: bool = False) -> DataFrame:
-    """Validate, build and store the feature table. With ``keep_rejects`` rows
-    that stay incomplete (tenure 0) go to their own table instead of failing."""
-    V.enforce(V.validation_report(raw, expected_rows))
-    features = build_features(A.typed(raw))
+    """Validate, build and store the feature table in one read of ``raw``: the
+    checks of its rows and the blanks of the result are counted by the job that
+    writes. The table takes its place only when all hold. With ``keep_rejects``
+    rows that stay incomplete (tenure 0) go to their own table instead of failing."""
+    V.enforce_rows(V.column_findings(raw))
+    checks = V.row_counts(raw)
+    seen = Observation("checks of the raw rows")
+    rows = raw.observe(seen, F.count(F.lit(1)).alias("rows"), *[
+        count.alias(f"n{i}") for i, count in enumerate(checks.values())])
+    features = build_features(A.typed(rows))
+    if len(set(features.columns)) != len(features.columns):
+        raise V.AccountTableError("duplicate column names in the feature table")
+    written = G.write_counted(features, root, {
+        c: F.count_if(F.col(c).isNull()) for c in features.columns})
+    counted = seen.get
+    copies = V.duplicate_count(written.table).first()["extra_copies"]
+    found = [(*check, counted[f"n{i}"]) for i, check in enumerate(checks)] + [(4, "duplicate_id", C.ID, copies)]
+    if expected_rows is not None:
+        found.append((1, "row_count", "*", abs(counted["rows"] - expected_rows)))
+    blanks = [c for c, n in written.counts.items() if n]
+    try:
+        V.enforce_rows(found)
+        if blanks and not keep_rejects:
+            raise V.AccountTableError(f"blanks left in {blanks}")
+    except V.AccountTableError:
+        T.remove(raw.sparkSession, written.path)
+        raise
     if keep_rejects:
-        features, bad = split_rejected(features)
+        good, bad = split_rejected(written.table)
         T.write_table(bad, root, "rejected_accounts")
-    stored = T.write_table(features, root, "features")
-    blanks = V.feature_nulls(stored).where("blanks > 0").collect()   # one row per column
-    if blanks:
-        raise V.AccountTableError(f"blanks left in {[r['column'] for r in blanks]}")
-    log.info("features: %d rows", stored.count())
+        stored = T.write_table(good, root, "features")
+        T.remove(raw.sparkSession, written.path)
+    else:
+        stored = G.publish(written, root, "features")
+    log.info("features: %d rows read", counted["rows"])
     return stored
 
 

@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 
 from keepwell import contract as C
 from keepwell.functions import rules
+from keepwell.operators import drift as D
 from keepwell.operators import explain as E
+from keepwell.operators import gates as G
 from keepwell.operators import kpis as K
 from keepwell.operators import lookup as LK
 from keepwell.operators import metrics as M
@@ -35,6 +37,7 @@ from keepwell.operators.standardise import standardise
 from keepwell.plans import fitted
 from keepwell.session import checkpoint_dir, materialise, tune
 from keepwell.sources import accounts as A
+from keepwell.sources import snapshots as S
 from keepwell.sources import tables as T
 from keepwell.sources.star_schema import accounts, load, raw_accounts
 from keepwell.streaming.scoring import account_stream, score_stream
@@ -211,6 +214,56 @@ def q_label_contract(spark, sf):
     return V.label_contract(rule_matrix(spark, sf))
 
 
+def q_contract_drift(spark, sf):
+    """The raw extract and the feature table, each changed the way a careless
+    delivery would, against what their readers expect."""
+    sent = raw(spark, sf)
+    sent = sent.select("Monthly_Charge", *[c for c in sent.columns if c not in ("Monthly_Charge", "Offer")],
+                       F.col("Contract").alias("Loyalty_Tier")).withColumn("Is_Ok", F.col("Age") != "4x")
+    built = features(spark, sf)
+    built = built.drop("Offer_Offer_A").withColumn(
+        "Age", F.when(F.col("Senior_Citizen") == 1, "senior").otherwise(F.col("Age").cast("string")))
+    offered = built.select("Total_Services", *[c for c in C.CHURN_PREDICTORS if c in built.columns and c != "Total_Services"])
+    return D.drift_table(sent, [D.account_reader()], texts_are_typed=False).unionByName(
+        D.drift_table(offered, [D.model_reader("churn model", C.CHURN_PREDICTORS),
+                                D.model_reader("value model", C.VALUE_PREDICTORS, exact=False)]))
+
+
+def q_class_presence(spark, sf):
+    """Are both outcomes there, per contract type?"""
+    a = accounts(spark, sf, [C.ID, "Customer_Status", "Contract"])
+    labelled = a.where(F.col("Customer_Status").isin(*C.LABELLED_STATUSES)).withColumn(
+        "label", (F.col("Customer_Status") == "Churned").cast("int"))
+    return D.class_presence(labelled).select("class", "expected", "members", "present")
+
+
+def q_artifact_gates(spark, sf):
+    """Two tables written with their gates: one made of clean accounts, one of the
+    raw extract, whose repeated ids and damaged values leave blanks."""
+    root = f"{checkpoint_dir(spark)}/gates-{uuid.uuid4().hex}"
+    customers = load(spark, sf, "customer").count()
+    out = None
+    for name, table in (("features", features(spark, sf)), ("raw features", raw_features(spark, sf))):
+        gates = G.rows_gate(customers) | G.blanks_gate(table) | G.finite_gates(C.SEGMENT_FEATURES)
+        part = G.gate_rows(name, G.write_counted(table, root, gates).counts, spark)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def q_artifact_refresh(spark, sf):
+    """An artifact read through the cache, written anew by another run, read again."""
+    root = f"{checkpoint_dir(spark)}/refresh-{uuid.uuid4().hex}"
+    a = accounts(spark, sf, [C.ID, "Customer_Status", "Contract"])
+    out = None
+    for version, column in ((1, "Customer_Status"), (2, "Contract")):
+        T.write_table(V.value_counts(a, column).toDF("value", "row_count"), root, "counts")
+        for reading in (1, 2):
+            part = materialise(S.cached_table(spark, root, "counts").select(
+                F.lit(version).alias("version"), F.lit(reading).alias("reading"), "value", "row_count"))
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
 # --- projections and derived features --------------------------------------
 
 def q_repair_blanks(spark, sf):

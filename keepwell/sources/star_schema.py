@@ -19,6 +19,10 @@ _FROM_EVENTS = {"Total_Extra_Data_Charges", "Total_Revenue"}
 _MONEY = "decimal(18,2)"
 
 
+#: The tables the account view is made of.
+SOURCE_TABLES = ("customer", "nation", "orders", "lineitem", "events")
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

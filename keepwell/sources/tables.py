@@ -46,11 +46,29 @@ def publish(spark: SparkSession, root: str, names=STAGE_TABLES) -> list[str]:
     return list(names)
 
 
+def _file_system(spark: SparkSession, path: str):
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path, hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    hadoop_path, fs = _file_system(spark, path)
+    fs.delete(hadoop_path, True)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Puts a folder in the place of another, which goes."""
+    old, fs = _file_system(spark, source)
+    new, _ = _file_system(spark, target)
+    fs.delete(new, True)
+    fs.mkdirs(new.getParent())
+    if not fs.rename(old, new):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Works for every file system the cluster knows, not only local disk."""
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    hadoop_path, fs = _file_system(spark, path)
     return bool(fs.exists(hadoop_path))
 
 
