@@ -36,7 +36,7 @@ SIZE = 400
 GRAM = 96
 #: Places of a suffix array: one in every STEP bytes, by the least hash of PIECE bytes.
 PIECE, STEP = 8, 48
-MOST_CLASSES = 512
+MOST_CLASSES = 4_096
 MOST_STARTS = 2_048
 BLOCK_BYTES = 1_000_000
 _PAD = 0xFF                                     # no byte of a UTF-8 text
@@ -215,6 +215,7 @@ def _runs(marks: np.ndarray) -> list[dict[str, int]]:
 
 
 _DECIDED = "anchor long, label binary, runs array<struct<low: long, high: long>>"
+_RUNS = pa.list_(pa.struct([("low", pa.int64()), ("high", pa.int64())]))
 
 
 def _decide(rows: list[tuple], size: int) -> pa.RecordBatch:
@@ -227,8 +228,7 @@ def _decide(rows: list[tuple], size: int) -> pa.RecordBatch:
     kept = [k for k, found in enumerate(runs) if found]
     return pa.RecordBatch.from_arrays([
         pa.array([rows[k][0] for k in kept], pa.int64()), pa.array([rows[k][1] for k in kept], pa.binary()),
-        pa.array([runs[k] for k in kept],
-                 pa.list_(pa.struct([("low", pa.int64()), ("high", pa.int64())])))],
+        pa.array([runs[k] for k in kept], _RUNS)],
         names=["anchor", "label", "runs"])
 
 
@@ -272,10 +272,15 @@ def _one_by_one(classes: DataFrame, size: int) -> DataFrame:
         "anchor", "label", "times", "content").mapInArrow(
         strings, "anchor long, label binary, times long, start long, string binary"))
     again = each.groupBy("string").agg(F.sum("times").alias("all")).where("all > 1").select("string")
-    found = each.join(again, "string").groupBy("anchor", "label").agg(
-        F.transform(F.collect_list("start"),
-                    lambda k: F.struct(k.alias("low"), (k + 1).alias("high"))).alias("runs"))
-    return found
+    starts = each.join(again, "string").groupBy("anchor", "label").agg(F.collect_list("start").alias("starts"))
+
+    def join(batches):
+        for batch in batches:
+            found = [_runs(np.bincount(k) > 0) for k in batch.column("starts").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("anchor"), batch.column("label"),
+                                              pa.array(found, _RUNS)], names=["anchor", "label", "runs"])
+
+    return starts.mapInArrow(join, _DECIDED)
 
 
 def repeated_strings(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
@@ -285,7 +290,7 @@ def repeated_strings(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "te
     the runs [low, high) of byte places at which strings of ``size`` bytes start
     that also start elsewhere."""
     if not 0 < gram <= size - STEP - PIECE:
-        raise ValueError("gram must be positive and at least 32 bytes below size")
+        raise ValueError(f"gram must be positive and at least {STEP + PIECE} bytes below size")
     rows = _digested(docs, doc_id, text)
     kind = rows.schema["doc_id"].dataType.simpleString()
 
@@ -362,7 +367,7 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
                 removed.append(sum(b - a for a, b in mine))
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), batch.column("n_bytes"), pa.array(removed, pa.int64()),
-                pa.array(spans, pa.list_(pa.struct([("low", pa.int64()), ("high", pa.int64())]))),
+                pa.array(spans, _RUNS),
                 pa.array(kept, pa.binary()),
                 pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string())],
                 names=["doc_id", "n_bytes", "n_removed", "spans", "kept", "kept_sha256"])
