@@ -728,6 +728,9 @@ SELECT Customer_ID, Priority_Label, CASE WHEN hr THEN 'at/above' ELSE 'below' EN
         "SELECT Customer_ID AS customer_id, reasons = '' AS accepted, reasons "
         f"FROM (SELECT Customer_ID, concat_ws('; ', {_reasons()}) AS reasons FROM typed)"),
     "q_bundle_round_trip": _no_violation("customer"),
+    "q_bundle_swap": r(
+        "SELECT Customer_ID AS customer_id, concat_ws('; ', " + _reasons() + ") = '' AS accepted, "
+        "TRUE AS by_its_version, TRUE AS as_the_version_says FROM typed"),
     "q_scored_base_check": _no_violation("customer"),
     "q_model_label_check": _no_violation("customer"),
     "q_segment_nearest_check": _no_violation("customer"),

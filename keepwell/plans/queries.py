@@ -8,6 +8,7 @@ rule; queries named ``q_model_*`` and the other unverified ones fit models.
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 from functools import wraps
 
 from pyspark.ml.functions import vector_to_array
@@ -28,6 +29,7 @@ from keepwell.operators import priority as PR
 from keepwell.operators import score as SC
 from keepwell.operators import segments as SG
 from keepwell.operators import validate as V
+from keepwell.operators import versions as VS
 from keepwell.operators.distances import euclidean_silhouettes
 from keepwell.operators.ordering import rank_global
 from keepwell.operators.quantiles import exact_quantiles
@@ -728,6 +730,37 @@ def q_bundle_round_trip(spark, sf):
     return _verdict(both, ~F.col("loaded").eqNullSafe(F.col("fitted")))
 
 
+def q_bundle_swap(spark, sf):
+    """A stream over two deliveries. Between them a second version is put in force
+    (one that calls every account worth an immediate save) and a third is begun
+    but never finished; each delivery is scored by the version then in force."""
+    root = f"{checkpoint_dir(spark)}/swap-{uuid.uuid4().hex}"
+    first = fitted.bundle(spark, sf)
+    second = replace(first, thresholds=PR.Thresholds(-1.0, float("-inf")))
+    sent, half = raw(spark, sf), half_of(C.ID)
+    VS.publish(first, f"{root}/bundles")
+    current = VS.CurrentBundle(f"{root}/bundles")
+    for delivery in (0, 1):
+        sent.where(half == delivery).write.mode("append").parquet(f"{root}/in")
+        stream = account_stream(spark, f"{root}/in", schema=spark.read.parquet(f"{root}/in").schema)
+        score_stream(stream, current, f"{root}/scores", f"{root}/rejects", f"{root}/state").awaitTermination()
+        VS.publish(second, f"{root}/bundles")
+        second.save(f"{root}/bundles/versions/begun-{delivery}")
+    scored = spark.read.parquet(f"{root}/scores").select(
+        "customer_id", F.lit(True).alias("accepted"), "bundle_version",
+        (F.col("priority_label") == "Immediate Save").alias("saved"))
+    bad = spark.read.parquet(f"{root}/rejects").select(
+        "customer_id", F.lit(False).alias("accepted"), "bundle_version", F.lit(None).cast("boolean").alias("saved"))
+    answers = scored.unionByName(bad).withColumn("delivery", half_of("customer_id"))
+    return answers.select(
+        "customer_id", "accepted", (F.col("bundle_version") == F.col("delivery") + 1).alias("by_its_version"),
+        F.when(F.col("delivery") == 1, F.coalesce("saved", F.lit(True))).otherwise(True).alias("as_the_version_says"))
+
+
+def half_of(column: str):
+    return F.pmod(F.xxhash64(column), F.lit(2))
+
+
 def q_scored_base_check(spark, sf):
     """Stored scores equal the deployed models' answers, and both are in range."""
     again = fitted.scores(spark, sf).withColumnsRenamed({C.PROBABILITY: "p", C.VALUE: "v"})

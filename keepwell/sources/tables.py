@@ -66,6 +66,33 @@ def move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot move {source} to {target}")
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder; none if it is not there."""
+    hadoop_path, fs = _file_system(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(hadoop_path)] if fs.exists(hadoop_path) else []
+
+
+def rename_new(spark: SparkSession, source: str, target: str) -> bool:
+    """Renames a file unless the target is there already."""
+    old, fs = _file_system(spark, source)
+    new, _ = _file_system(spark, target)
+    return not fs.exists(new) and bool(fs.rename(old, new))
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, by the driver."""
+    hadoop_path, fs = _file_system(spark, path)
+    out = fs.create(hadoop_path, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    return "\n".join(r[0] for r in spark.read.text(path).collect())
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Works for every file system the cluster knows, not only local disk."""
     hadoop_path, fs = _file_system(spark, path)

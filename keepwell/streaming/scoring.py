@@ -1,17 +1,22 @@
 """The batch scoring function on a stream.
 
-Scoring is stateless: models, names and medians are fixed when the query
+Scoring is stateless: models, names and medians are fixed when a micro-batch
 starts. So there is no watermark and no state store; each micro-batch is one
-projection whose accepted and rejected records go to a sink each.
+projection whose accepted and rejected records go to a sink each. A stream that
+is given a bundle keeps it; one that is given ``CurrentBundle`` asks for the
+version in force at the start of every micro-batch and notes it with the rows, so
+no batch is scored by two versions.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from keepwell import contract as C
 from keepwell.operators.score import OUTPUTS, Bundle, score_records
+from keepwell.operators.versions import CurrentBundle
 
 
 def account_stream(spark: SparkSession, path: str, schema=C.ACCOUNT_SCHEMA,
@@ -24,17 +29,23 @@ def account_stream(spark: SparkSession, path: str, schema=C.ACCOUNT_SCHEMA,
     return reader.load(path)
 
 
-def score_stream(records: DataFrame, bundle: Bundle, out_path: str, reject_path: str,
+def score_stream(records: DataFrame, bundle: Bundle | CurrentBundle, out_path: str, reject_path: str,
                  checkpoint: str, available_now: bool = True) -> StreamingQuery:
     """Scores and rejects of every micro-batch, from one reading of it. Each
     batch owns the folder of its number, which a repeated batch overwrites, so
     both sinks hold every record once. ``checkpoint`` must be in shared storage."""
     def write(batch: DataFrame, number: int) -> None:
-        judged = score_records(batch, bundle).persist()
+        noted = []
+        if isinstance(bundle, CurrentBundle):
+            version, used = bundle.get()
+            noted = [F.lit(version).alias("bundle_version")]
+        else:
+            used = bundle
+        judged = score_records(batch, used).persist()
         try:
-            judged.where("accepted").select("customer_id", *OUTPUTS).write.mode("overwrite").parquet(
+            judged.where("accepted").select("customer_id", *OUTPUTS, *noted).write.mode("overwrite").parquet(
                 f"{out_path}/batch={number}")
-            judged.where("NOT accepted").select("customer_id", "reasons").write.mode("overwrite").parquet(
+            judged.where("NOT accepted").select("customer_id", "reasons", *noted).write.mode("overwrite").parquet(
                 f"{reject_path}/batch={number}")
         finally:
             judged.unpersist()
