@@ -143,6 +143,43 @@ def forest_nodes(path: str) -> DataFrame:
         F.try_element_at(n["split"]["leftCategoriesOrThreshold"], F.lit(1)).alias("threshold"))
 
 
+def forest_walk(x: np.ndarray, forest: Forest) -> np.ndarray:
+    """Score of every row: the values of the leaves whose paths it meets."""
+    out, alive = np.zeros(len(x)), np.ones((len(x), forest.trees), bool)
+    for e in forest.levels:
+        part = x[:, e.feature]
+        alive = alive[:, e.parent] & (part > e.low) & (part <= e.high)
+        out += alive @ e.value
+    return out
+
+
+def walked_scores(model: FittedModel, df: DataFrame, scratch: str) -> DataFrame:
+    """(id, walked) for every row, from the stored nodes instead of the model."""
+    forest, inputs, key = forest_paths(model, scratch), list(model.inputs), C.ID
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({key: batch[key], "walked": forest_walk(batch[inputs].to_numpy(dtype=float), forest)})
+
+    return df.select(key, *inputs).mapInPandas(walk, f"{key} string, walked double")
+
+
+def counted_importance(model: FittedModel, scratch: str) -> DataFrame:
+    """(feature, share) from the gains of the stored nodes: per tree the gain of
+    every split times the rows that meet it, as shares, averaged over the trees."""
+    forest = model.pipeline.stages[-1]
+    forest.write().overwrite().save(scratch)
+    n = F.col("nodeData")
+    splits = SparkSession.active().read.parquet(f"{scratch}/data").where(n["leftChild"] >= 0).select(
+        F.col("treeID").alias("tree"), n["split"]["featureIndex"].alias("i"),
+        (n["gain"] * n["impurityStats"][0]).alias("gain"))
+    trees = splits.groupBy("tree").agg(F.sum("gain").alias("whole"))
+    shares = splits.join(trees, "tree").groupBy("i").agg(F.sum(F.col("gain") / F.col("whole")).alias("part"))
+    names = F.array(*[F.lit(f) for f in model.inputs])
+    total = shares.agg(F.sum("part")).scalar()
+    return shares.select(F.element_at(names, F.col("i") + 1).alias("feature"), (F.col("part") / total).alias("share"))
+
+
 def _three_ways(e: Edges, levels: list[Edges], t: float) -> tuple[np.ndarray, np.ndarray]:
     """(factor, part) at one node of the integral, each for a row that misses the
     earlier edge of the feature, that meets it but not this one, that meets both.

@@ -81,13 +81,18 @@ def k_clusters(spark, sf) -> DataFrame:
     return _k_sweep(spark, sf)[1]
 
 
+@kept
+def held_out(spark, sf) -> DataFrame:
+    """Predictions of both classifiers for the held-out accounts."""
+    _, test = churn_split(spark, sf)
+    return materialise(ML.held_out_predictions(churn(spark, sf), test))
+
+
 @kept
 def full_comparison(spark, sf) -> DataFrame:
     """Metrics of both classifiers on the held-out accounts; the deployed model
     is chosen from these, never from rounded ones."""
-    _, test = churn_split(spark, sf)
-    predictions = materialise(ML.held_out_predictions(churn(spark, sf), test))
-    return materialise(ML.compare_models(predictions))
+    return materialise(ML.compare_models(held_out(spark, sf)))
 
 
 def comparison(spark, sf) -> DataFrame:

