@@ -72,7 +72,8 @@ def op6_suffix_decontamination(spark, sf):
 
 
 def op7_line_dedup(spark, sf):
-    found = line_dedup.removed_per_document(load(spark, sf, "documents"))
+    """Every line with a word counts, words split at all white space."""
+    found = line_dedup.removed_per_document(load(spark, sf, "documents"), least_words=1, any_space=True)
     return found.select("doc_id", F.col("n_lines").cast("long").alias("n_lines"),
                         F.size("removed").cast("long").alias("n_removed"),
                         F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed_lines"))
@@ -123,16 +124,16 @@ def op13_best_position_search(spark, sf):
 
 QUERIES = {name: fn for name, fn in list(globals().items()) if name.startswith("op")}
 ORACLES: dict[str, str] = {}
-ORACLES["op7_line_dedup"] = f"""
+ORACLES["op7_line_dedup"] = fr"""
 WITH lines AS (
   SELECT doc_id, unnest(range(len(parts))) AS line_no, unnest(parts) AS line
   FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents
         WHERE doc_id IS NOT NULL AND text IS NOT NULL)),
 sets AS (
   SELECT doc_id, line_no, list_sort(list_distinct(list_filter(
-    string_split(line, ' '), lambda w: w <> ''))) AS words
+    string_split(regexp_replace(line, '[\t\x0B\f\r\x1C-\x1F\x{{85}}\pZ]', ' ', 'g'), ' '), lambda w: w <> ''))) AS words
   FROM lines),
-usable AS (SELECT * FROM sets WHERE len(words) >= {line_dedup.LEAST_WORDS}),
+usable AS (SELECT * FROM sets WHERE len(words) >= 1),
 classes AS (
   SELECT words, len(words) AS n, min({{'d': doc_id, 'l': line_no}}) AS place, row_number() OVER () AS id
   FROM usable GROUP BY words),
