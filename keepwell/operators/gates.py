@@ -12,7 +12,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from keepwell.operators.validate import AccountTableError, not_finite
@@ -29,14 +29,37 @@ class Written:
     counts: dict[str, int]
 
 
+def observable(df: DataFrame) -> DataFrame:
+    """``df`` in a session of its own with the same settings. A session that has
+    observed keeps a manager Spark 4.1 cannot ship to executors, and the functions
+    of its fitted models ship their session; so no session that fits observes."""
+    spark = df.sparkSession
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    name = f"observed_{uuid.uuid4().hex}"
+    df.createGlobalTempView(name)
+    try:
+        return own.table(f"global_temp.{name}")
+    finally:
+        spark.catalog.dropGlobalTempView(name)
+
+
 def write_counted(df: DataFrame, root: str, counts: dict[str, Column]) -> Written:
     """``df`` in a candidate folder below ``root``, and the aggregates ``counts``
     of its rows, in one job."""
+    return write_observed(observable(df), root, counts, df.sparkSession)
+
+
+def write_observed(df: DataFrame, root: str, counts: dict[str, Column], spark: SparkSession) -> Written:
+    """The same for a table that is observable already; the result is ``spark``'s."""
     seen = Observation(f"gates-{uuid.uuid4().hex}")
     candidate = f"_candidate-{uuid.uuid4().hex}"
     table = tables.write_table(
         df.observe(seen, *[c.alias(n) for n, c in counts.items()]), root, candidate)
-    return Written(table, tables.table_path(root, candidate), dict(seen.get))
+    return Written(tables.read_table(spark, root, candidate, schema=table.schema),
+                   tables.table_path(root, candidate), dict(seen.get))
 
 
 def publish(written: Written, root: str, name: str) -> DataFrame:

@@ -35,13 +35,13 @@ def features_stage(raw: DataFrame, root: str, expected_rows: int | None = None,
     V.enforce_rows(V.column_findings(raw))
     checks = V.row_counts(raw)
     seen = Observation("checks of the raw rows")
-    rows = raw.observe(seen, F.count(F.lit(1)).alias("rows"), *[
+    rows = G.observable(raw).observe(seen, F.count(F.lit(1)).alias("rows"), *[
         count.alias(f"n{i}") for i, count in enumerate(checks.values())])
     features = build_features(A.typed(rows))
     if len(set(features.columns)) != len(features.columns):
         raise V.AccountTableError("duplicate column names in the feature table")
-    written = G.write_counted(features, root, {
-        c: F.count_if(F.col(c).isNull()) for c in features.columns})
+    written = G.write_observed(features, root, {
+        c: F.count_if(F.col(c).isNull()) for c in features.columns}, raw.sparkSession)
     counted = seen.get
     copies = V.duplicate_count(written.table).first()["extra_copies"]
     found = [(*check, counted[f"n{i}"]) for i, check in enumerate(checks)] + [(4, "duplicate_id", C.ID, copies)]

@@ -128,3 +128,10 @@ def test_feature_stage_keeps_the_former_table(spark, table, tmp_path, change, me
     with pytest.raises(V.AccountTableError, match="missing_column"):
         PL.features_stage(table({}).drop("Offer"), root)
     assert C.FEATURE_COLUMNS == tuple(T.read_table(spark, root, "features").columns)
+
+
+def test_models_work_in_a_session_that_wrote_with_gates(spark, sf, tmp_path):
+    f = fitted.features(spark, sf)
+    G.write_gated(f.select(C.ID), str(tmp_path), "t", G.rows_gate(None))
+    assert fitted.segments(spark, sf).assign(f).groupBy("cluster").count().count() == 4
+    assert spark.conf.get("spark.sql.shuffle.partitions") == G.observable(f).sparkSession.conf.get("spark.sql.shuffle.partitions")
