@@ -5,8 +5,9 @@ word suffixes in one fixed order of the 64-bit word hashes; only suffixes whose
 first two words start some test suffix are kept, the others can never be found.
 Every test suffix is binary-searched for its first ``window`` words, and each
 occurrence is extended to its longest verbatim match. The test side is read in
-blocks of bounded size, so neither side has to fit anywhere as a whole, and
-documents are never shuffled.
+blocks of bounded size. Up to one block, documents are read once and never
+shuffled; with more, they are stored with row numbers and each block is a scan of
+its own with a small result, so one block is in memory anywhere at a time.
 
 Nulls and texts without words: no match, a row all the same. Ties and repeated
 rows: every occurrence counts, each row by itself. Empty tables: empty result, or
@@ -20,12 +21,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from keepwell.llm.sides import checked
 from keepwell.llm.textblocks import (
     LETTER_OR_DIGIT, blocks, text_bytes, window_hashes, words,
 )
+from keepwell.session import materialise
 
 WINDOW = 10
 BENCHMARK_BLOCK_BYTES = 8_000_000
@@ -155,7 +158,7 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     out = None
-    for items, _ in benchmark_blocks(benchmark, item_id, item_text):
+    for items, last in benchmark_blocks(benchmark, item_id, item_text):
         shared = docs.sparkSession.sparkContext.broadcast(items)
 
         def find(batches, shared=shared):
@@ -174,62 +177,90 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc
 
         part = rows.mapInArrow(
             find, f"doc_id {kind}, item_id string, doc_word long, item_word long, n_words long")
+        if out is None and last:
+            return part
+        part = materialise(part)
+        shared.destroy()
         out = part if out is None else out.unionByName(part)
     return out
 
 
-def _scanned(docs: DataFrame, benchmark: DataFrame, row, text: str, item_id: str,
-             item_text: str, window: int) -> DataFrame:
-    """``row`` of every document with its hit spans, items, longest match and
-    number of words. The documents are scanned once per test block; what was
-    found so far travels with the row, so texts are never shuffled."""
-    rows = docs.select(
-        row.alias("row"), F.col(text).cast("string").alias("text"),
-        F.lit(None).cast("array<long>").alias("spans"),
-        F.lit(None).cast("array<string>").alias("items"),
-        F.lit(0).cast("long").alias("longest"), F.lit(0).cast("long").alias("words"))
-    for items, last in benchmark_blocks(benchmark, item_id, item_text):
-        shared = docs.sparkSession.sparkContext.broadcast(items)
+def _found_in(batch: pa.RecordBatch, text: str, tests: BenchmarkSide):
+    """The shard of a batch and its (window, word position) matches."""
+    shard = Shard(*text_bytes(batch.column(text)), tests)
+    return shard, *shard.matches(tests)
 
-        def scan(batches, shared=shared, last=last):
-            tests = BenchmarkSide(shared.value, window)
-            for batch in blocks(batches):
-                yield _scan_block(batch, tests, last)
 
-        rows = rows.mapInArrow(scan, rows.schema)
-    return rows
+_FOUND = "n_words long, spans array<long>, items array<string>, longest long"
 
 
-def _scan_block(batch: pa.RecordBatch, tests: BenchmarkSide, last: bool) -> pa.RecordBatch:
-    """Adds the hits of one test block. A span is first word << 32 | words;
-    spans are disjoint and sorted. The last scan sends no text back."""
-    shard = Shard(*text_bytes(batch.column("text")), tests)
-    which, at = shard.matches(tests)
+def _scan_block(batch: pa.RecordBatch, name: str, tests: BenchmarkSide, all_rows: bool) -> pa.RecordBatch:
+    """Per document, or per document with a match: its number of words, hit spans,
+    items and longest match. A span is first word << 32 | words; spans are disjoint
+    and sorted, null without a match."""
+    shard, which, at = _found_in(batch, "text", tests)
     edge = np.zeros(len(shard.hash) + 1, np.int64)
     np.add.at(edge, at, 1)
     np.add.at(edge, at + tests.need[which], -1)
     hit = np.cumsum(edge[:-1]) > 0
     doc = shard.doc[at]
-    length = batch.column("longest").to_numpy().copy()
-    np.maximum.at(length, doc, shard.lengths(tests, which, at))
-    found: dict[int, set[str]] = {}
+    longest = np.zeros(batch.num_rows, np.int64)
+    np.maximum.at(longest, doc, shard.lengths(tests, which, at))
+    held: dict[int, set[str]] = {}
     for d, k in np.unique(np.stack([doc, tests.item[which]], axis=1), axis=0).tolist():
-        found.setdefault(d, set()).add(tests.names[k])
-    spans, items = batch.column("spans").to_pylist(), batch.column("items").to_pylist()
-    for d, names in found.items():
-        mine = hit[shard.first[d]:shard.first[d + 1]].copy()
-        for span in spans[d] or ():
-            mine[span >> 32:(span >> 32) + (span & 0xFFFFFFFF)] = True
-        step = np.diff(mine.astype(np.int8), prepend=0, append=0)
+        held.setdefault(d, set()).add(tests.names[k])
+    rows = range(batch.num_rows) if all_rows else sorted(held)
+    spans, items = [], []
+    for d in rows:
+        if d not in held:
+            spans.append(None)
+            items.append(None)
+            continue
+        step = np.diff(hit[shard.first[d]:shard.first[d + 1]].astype(np.int8), prepend=0, append=0)
         first, end = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
-        spans[d] = ((first << 32) | (end - first)).tolist()
-        items[d] = sorted(names | set(items[d] or ()))
-    text = pa.nulls(batch.num_rows, batch.schema.field("text").type) if last else batch.column("text")
+        spans.append(((first << 32) | (end - first)).tolist())
+        items.append(sorted(held[d]))
+    picked = np.array(rows, np.int64)
     return pa.RecordBatch.from_arrays([
-        batch.column("row"), text, pa.array(spans, pa.list_(pa.int64())),
-        pa.array(items, pa.list_(pa.string())), pa.array(length, pa.int64()),
-        pa.array(np.diff(shard.first), pa.int64()),
-    ], schema=batch.schema)
+        batch.column(name).take(pa.array(picked)), pa.array(np.diff(shard.first)[picked]),
+        pa.array(spans, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string())), pa.array(longest[picked]),
+    ], names=[name, "n_words", "spans", "items", "longest"])
+
+
+def _scan(rows: DataFrame, name: str, items: list[tuple[str, str]], window: int, all_rows: bool):
+    """(found per row of ``rows`` by its column ``name``, the broadcast it needs)."""
+    shared = rows.sparkSession.sparkContext.broadcast(items)
+    kind = rows.schema[name].dataType.simpleString()
+
+    def scan(batches):
+        tests = BenchmarkSide(shared.value, window)
+        for batch in blocks(batches):
+            yield _scan_block(batch, name, tests, all_rows)
+
+    return rows.select(name, "text").mapInArrow(scan, f"{name} {kind}, {_FOUND}"), shared
+
+
+def _hit_words(spans: Column) -> Column:
+    """Words in spans sorted by their first, overlaps counted once."""
+    def add(total, span):
+        first, end = F.shiftright(span, 32), F.shiftright(span, 32) + span.bitwiseAND(F.lit(0xFFFFFFFF))
+        more = F.greatest(end - F.greatest(first, total["end"]), F.lit(0))
+        return F.struct(F.greatest(end, total["end"]).alias("end"), (total["n"] + more).alias("n"))
+
+    zero = F.struct(F.lit(0).cast("long").alias("end"), F.lit(0).cast("long").alias("n"))
+    return F.aggregate(F.coalesce(spans, F.array().cast("array<long>")), zero, add, lambda total: total["n"])
+
+
+def _later_hits(rows: DataFrame, later: Iterator, window: int) -> DataFrame | None:
+    """What all further test blocks find in the stored ``rows``, by ``_key``: an
+    action and a small table per block, whose broadcast goes when it is done."""
+    out = None
+    for items, _ in later:
+        found, shared = _scan(rows, "_key", items, window, False)
+        found = materialise(found)
+        shared.destroy()
+        out = found if out is None else out.unionByName(found)
+    return out
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id",
@@ -238,20 +269,53 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_i
     """One row per document: doc_id, n_words, n_hit (words inside any window
     found), items (ids as strings, sorted), longest_match (words of the longest
     verbatim match) and contaminated."""
-    row = F.struct(F.col(doc_id).alias("doc_id"))
-    found = _scanned(docs, benchmark, row, text, item_id, item_text, window)
-    hit = F.aggregate(F.coalesce("spans", F.array().cast("array<long>")), F.lit(0).cast("long"),
-                      lambda total, span: total + span.bitwiseAND(F.lit(0xFFFFFFFF)))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
+    tests = benchmark_blocks(benchmark, item_id, item_text)
+    items, last = next(tests)
+    if last:
+        found, _ = _scan(rows, "doc_id", items, window, True)
+    else:
+        rows = materialise(rows.withColumn("_key", F.monotonically_increasing_id()))
+        first, shared = _scan(rows, "_key", items, window, True)
+        first = materialise(first)
+        shared.destroy()
+        more = _later_hits(rows, tests, window).unionByName(first.where("spans IS NOT NULL"))
+        more = more.groupBy("_key").agg(
+            F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
+            F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+            F.max("longest").alias("longest"))
+        found = rows.select("_key", "doc_id").join(first.select("_key", "n_words"), "_key").join(
+            more, "_key", "left")
     return found.select(
-        "row.doc_id", F.col("words").alias("n_words"), hit.alias("n_hit"),
+        "doc_id", "n_words", _hit_words(F.col("spans")).alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
-        F.col("longest").alias("longest_match"), F.col("spans").isNotNull().alias("contaminated"))
+        F.coalesce("longest", F.lit(0)).cast("long").alias("longest_match"),
+        F.col("spans").isNotNull().alias("contaminated"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
                   item_id: str = "item_id", item_text: str = "text",
                   window: int = WINDOW) -> DataFrame:
-    """``docs`` without the documents that hold any test window; same columns."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    found = _scanned(docs, benchmark, row, text, item_id, item_text, window)
-    return found.where(F.col("spans").isNull()).select("row.*")
+    """``docs`` without the documents that hold any test window; same columns. With
+    one test block each row goes to a worker once and is let through or not."""
+    tests = benchmark_blocks(benchmark, item_id, item_text)
+    items, last = next(tests)
+    if last:
+        shared = docs.sparkSession.sparkContext.broadcast(items)
+
+        def keep(batches):
+            side = BenchmarkSide(shared.value, window)
+            for batch in blocks(batches, text):
+                shard, _, at = _found_in(batch, text, side)
+                hit = np.zeros(batch.num_rows, bool)
+                hit[shard.doc[at]] = True
+                yield batch.filter(pa.array(~hit))
+
+        return docs.mapInArrow(keep, docs.schema)
+    stored = materialise(docs.withColumn("_key", F.monotonically_increasing_id()))
+    rows = stored.select("_key", F.col(text).cast("string").alias("text"))
+    found, shared = _scan(rows, "_key", items, window, False)
+    found = materialise(found)
+    shared.destroy()
+    hit = materialise(_later_hits(rows, tests, window).unionByName(found).select("_key").distinct())
+    return stored.join(checked(hit), "_key", "left_anti").select(*docs.columns)
