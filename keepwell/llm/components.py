@@ -40,7 +40,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))).distinct())
     before = None
     while True:
-        state = tuple(now.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum("b")).first())
+        state = tuple(now.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a", F.lit(1)))).first())
         if state == before:
             break
         before = state

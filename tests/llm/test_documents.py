@@ -442,3 +442,19 @@ def test_hash_of_a_blockwise_text_is_the_hash_of_the_word(spark):
     for w, h in zip(spelled, whole.hash.tolist()):
         assert named.setdefault(w, h) == h
     assert len(set(named.values())) == len(named)
+
+
+# --- ids of every kind ---------------------------------------------------------------
+
+@pytest.mark.parametrize("kind,name", [("string", lambda i: f"id-{i:03d}"), ("long", lambda i: (1 << 62) + i),
+                                       ("long", lambda i: i - (1 << 62))])
+def test_near_duplicates_take_ids_of_every_kind(spark, kind, name):
+    texts = family(12, [0, 1, 2], 7) + [prose(400 + k, 60) for k in range(4)]
+    rows = [(name(i), t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, f"doc_id {kind}, text string")
+    sets = {i: shingles(t, 3) for i, t in rows}
+    want = groups(sorted(sets), lambda i, j: similar(sets[i], sets[j], 85))
+    out = {r.doc_id: r.component_id for r in minhash_groups.near_duplicates(docs, size=3, percent=85).collect()}
+    assert out == want
+    kept = minhash_groups.keep_one(docs, size=3, percent=85)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i in want if want[i] == i)
