@@ -36,6 +36,8 @@ from keepwell.session import checkpoint_dir, materialise, shuffle_partitions
 LEAST_BYTES = 1_000
 RECORDS_PER_ARCHIVE = 2_000
 FIRST_CAPTURE = "2024-01-01 00:00:00"
+#: Seconds from there to the first and the last whole day of the years 1 to 9999.
+MOMENTS = (-738_885 * 86_400, 2_913_173 * 86_400)
 # --- fixed values of the format ---
 VERSION = "WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -94,10 +96,12 @@ def record_text(captured_at: Column) -> Column:
 
 def write_archives(classified: DataFrame, path: str) -> None:
     """Archives of at most ``RECORDS_PER_ARCHIVE`` records below ``path``. Pages
-    carry no time of capture; they were captured a second apart by page id."""
+    carry no time of capture; they were captured a second apart by page id, those
+    with ids beyond the years 1 to 9999 at the ends of that span."""
     start = F.lit(FIRST_CAPTURE).cast("timestamp_ntz")
-    moment = F.dateadd(F.to_date(start), F.floor(F.coalesce("page_id", F.lit(0)) / 86_400).cast("int"))
-    second = F.pmod(F.coalesce("page_id", F.lit(0)), F.lit(86_400))
+    seconds = F.greatest(F.least(F.coalesce("page_id", F.lit(0)), F.lit(MOMENTS[1])), F.lit(MOMENTS[0]))
+    moment = F.dateadd(F.to_date(start), F.floor(seconds / 86_400).cast("int"))
+    second = F.pmod(seconds, F.lit(86_400))
     clock = F.concat_ws(":", *[F.lpad(F.pmod(F.floor(second / unit), F.lit(size)).cast("string"), 2, "0")
                                for unit, size in ((3_600, 24), (60, 60), (1, 60))])
     captured = F.concat(moment.cast("string"), F.lit("T"), clock, F.lit("Z"))

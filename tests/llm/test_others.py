@@ -126,6 +126,17 @@ def test_archives_are_read_back_in_one_order(spark, monkeypatch):
     assert warc_merge.archive_pages(df.limit(0)).count() == 0
 
 
+def test_page_ids_of_any_size(spark):
+    ids = [(1 << 62) + 1, -(1 << 62), 0, -1, 10**14]
+    big = "<p>" * 400
+    df = spark.createDataFrame([(i, f"http://s{k}.org/", big) for k, i in enumerate(ids)], "page_id long, url string, html string")
+    out = {r.page_id: r for r in warc_merge.archive_pages(df).collect()}
+    assert set(out) == set(ids) and sorted(r.position for r in out.values()) == list(range(len(ids)))
+    assert {i for i in ids if out[i].record_type == "response"} == {max(ids)}
+    assert out[max(ids)].captured_at.startswith("9999-12-") and out[min(ids)].captured_at.startswith("0001-01-01")
+    assert out[-1].captured_at == "2023-12-31T23:59:59Z"
+
+
 def test_archives_are_valid_records(spark, tmp_path):
     _, df = pages(spark)
     warc_merge.write_archives(warc_merge.classify(df), str(tmp_path / "w"))
