@@ -64,24 +64,27 @@ def numbered_lines(docs: DataFrame, doc_id: str, text: str, any_space: bool = Fa
 
 
 def rarity(lines: DataFrame) -> Column:
-    """Rarity class of every hash bucket, 0 to 127, as one constant array. The
-    table has ``RARITY_BUCKETS`` entries whatever the corpus."""
+    """Rarity class of every hash bucket, 0 to 127, in the top byte of a long, as
+    one constant array. The table has ``RARITY_BUCKETS`` entries whatever the corpus."""
     counts = lines.select(F.explode(F.split("line", " ")).alias("word")).where("word != ''").select(
         F.pmod(F.xxhash64("word"), F.lit(RARITY_BUCKETS)).alias("bucket")).groupBy("bucket").agg(
         F.least(F.lit(127), F.floor(4 * F.log2(F.count("*") + 1))).cast("int").alias("class")).collect()
     table = [0] * RARITY_BUCKETS
     for row in counts:
-        table[row["bucket"]] = row["class"]
-    return F.from_json(F.lit("[" + ",".join(map(str, table)) + "]"), "array<int>")
+        table[row["bucket"]] = row["class"] << 56
+    return F.from_json(F.lit("[" + ",".join(map(str, table)) + "]"), "array<bigint>")
 
 
-def line_keys(lines: DataFrame, least_words: int, percent: int) -> DataFrame:
-    """(doc_id, line_no, n, set_a, set_b, prefix) of lines with enough words."""
+def line_keys(lines: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, line_no, n, set_a, set_b, prefix) of lines with words. Which have
+    enough of them is asked of the stored table: here Spark would move that filter
+    below the hashing and hash every word twice."""
     classes = rarity(lines)
 
     def key(h: Column) -> Column:
-        rank = F.element_at(classes, (F.pmod(h, F.lit(RARITY_BUCKETS)) + 1).cast("int")).cast("long")
-        return F.shiftleft(rank, 56).bitwiseOR(h.bitwiseAND(F.lit(_HASH_MASK)))
+        # Never null, so that the keys are sorted as plain longs.
+        rank = F.coalesce(F.get(classes, h.bitwiseAND(F.lit(RARITY_BUCKETS - 1)).cast("int")), F.lit(0).cast("long"))
+        return rank.bitwiseOR(h.bitwiseAND(F.lit(_HASH_MASK)))
 
     def flip(bits: Column, k: Column) -> Column:
         return bits.bitwiseXOR(F.call_function(
@@ -91,8 +94,7 @@ def line_keys(lines: DataFrame, least_words: int, percent: int) -> DataFrame:
         return F.when(k.bitwiseAND(F.lit(64)) == 0, bits).otherwise(flip(bits, k))
 
     hashed = F.array_distinct(F.transform(words_of(F.col("line")), lambda w: F.xxhash64(w)))
-    keyed = lines.select("doc_id", "line_no", hashed.alias("hashed")).where(
-        F.size("hashed") >= least_words).select(
+    keyed = lines.where(F.trim("line") != "").select("doc_id", "line_no", hashed.alias("hashed")).select(
         "doc_id", "line_no", F.sort_array(F.transform("hashed", key)).alias("keys"))
     n = F.size("keys")
     length = n - F.floor((n * percent + 99) / 100).cast("int") + 1
@@ -156,7 +158,8 @@ def _verify(pairs: DataFrame, docs: DataFrame, percent: int, doc_id: str, text:
 def later_lines(docs: DataFrame, *, percent: int = PERCENT, least_words: int = LEAST_WORDS,
                 any_space: bool = False, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, line_no) of every line that goes; line numbers start at 0."""
-    keys = materialise(line_keys(numbered_lines(docs, doc_id, text, any_space), least_words, percent))
+    keys = materialise(line_keys(numbered_lines(docs, doc_id, text, any_space), percent)).where(
+        F.col("n") >= least_words)
     classes = materialise(keys.groupBy("set_a", "set_b", "n").agg(
         F.min(F.struct("doc_id", "line_no")).alias("place"),
         F.first("bits").alias("bits"), F.first("half").alias("half"), F.first("prefix").alias("prefix"), F.first("star").alias("star")))
