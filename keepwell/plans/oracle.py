@@ -715,6 +715,11 @@ FROM matrix JOIN features x USING (Customer_ID)"""),
     "q_pick_account": m("""
 SELECT * FROM ranked WHERE contains(lower(Customer_ID), 'c0000001')
 ORDER BY rank LIMIT 1 OFFSET 3"""),
+    "q_indexed_search": m("SELECT * FROM ranked WHERE contains(lower(Customer_ID), 'c0000001')"),
+    "q_indexed_pick": m("""
+SELECT * FROM ranked WHERE contains(lower(Customer_ID), 'c0000001')
+ORDER BY rank LIMIT 1 OFFSET 3"""),
+    "q_indexed_account": m("SELECT * FROM ranked WHERE rank = 1"),
     "q_rule_explained": m(f"""
 SELECT Customer_ID, Priority_Label, CASE WHEN hr THEN 'at/above' ELSE 'below' END AS risk_side,
        CASE WHEN hv THEN 'at/above' ELSE 'below' END AS value_side,

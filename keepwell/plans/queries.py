@@ -22,6 +22,7 @@ from keepwell.operators import explain as E
 from keepwell.operators import gates as G
 from keepwell.operators import kpis as K
 from keepwell.operators import lookup as LK
+from keepwell.operators import lookup_index as LI
 from keepwell.operators import metrics as M
 from keepwell.operators import models as ML
 from keepwell.operators import prepare as P
@@ -528,6 +529,28 @@ def q_pick_account(spark, sf):
     return LK.pick_account(PR.ranked_list(rule_matrix(spark, sf)), SEARCH_TEXT, row=3)
 
 
+def indexed_matrix(spark: SparkSession, sf: str) -> LI.LookupIndex:
+    """The ranked list stored for look-ups."""
+    ranked = PR.ranked_list(rule_matrix(spark, sf))
+    return LI.write_index(ranked, f"{checkpoint_dir(spark)}/lookup-{uuid.uuid4().hex}")
+
+
+def q_indexed_search(spark, sf):
+    """The search by the trigram postings."""
+    return indexed_matrix(spark, sf).search(SEARCH_TEXT)
+
+
+def q_indexed_pick(spark, sf):
+    return LK.pick_hit(indexed_matrix(spark, sf).search(SEARCH_TEXT), row=3)
+
+
+def q_indexed_account(spark, sf):
+    """Exact look-up of the account at the top of the list: one file is read."""
+    index = indexed_matrix(spark, sf)
+    top = index.search("").where("rank = 1").first()
+    return index.account(top[C.ID])
+
+
 def q_rule_explained(spark, sf):
     base = rule_base(spark, sf)
     thresholds = PR.median_thresholds(base)
