@@ -92,20 +92,32 @@ def require_finite(df: DataFrame, columns) -> None:
         raise AccountTableError(f"not finite: {[r['column'] for r in broken]}")
 
 
-# Rows one task handles: forests do much work per row, k-means very little.
-FOREST_ROWS_PER_TASK = 2_000
-KMEANS_ROWS_PER_TASK = 100_000
-MOST_TASKS = 2_000
+@dataclass(frozen=True)
+class Layout:
+    """How many tasks share a fit's rows: one for each ``few`` rows, up to
+    ``tasks`` of them; then these take more rows each, up to ``most``."""
+    few: int
+    tasks: int
+    most: int
+
+    def parts(self, n: int) -> int:
+        return max(1, min(self.tasks, math.ceil(n / self.few)), math.ceil(n / self.most))
+
+
+# Forests do much work per row, but in every pass each task sends the counters of
+# all bins of all open nodes, however few rows it has: some hundred MB a fit and
+# task. K-means does little per row, and a task sends a row per cluster.
+FOREST_LAYOUT = Layout(few=2_000, tasks=12, most=500_000)
+KMEANS_LAYOUT = Layout(few=100_000, tasks=2_000, most=100_000)
 
 
 @contextmanager
-def fixed_layout(df: DataFrame, rows_per_task: int = FOREST_ROWS_PER_TASK):
+def fixed_layout(df: DataFrame, layout: Layout = FOREST_LAYOUT):
     """Cached rows in the layout every fit shares. Bagging draws per partition,
     so the number of partitions follows the row count and these parameters
     alone, never a session setting: the same rows and seed give the same forest
     on any cluster."""
-    n = df.count()
-    parts = min(MOST_TASKS, max(1, math.ceil(n / rows_per_task)))
+    parts = layout.parts(df.count())
     rows = df.repartition(parts, C.ID).sortWithinPartitions(C.ID).persist(
         StorageLevel.MEMORY_AND_DISK)
     try:

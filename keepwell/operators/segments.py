@@ -20,7 +20,7 @@ from keepwell.operators import lloyd
 from keepwell.operators import metrics as M
 from keepwell.operators.distances import euclidean_silhouettes
 from keepwell.operators.models import (
-    KMEANS_ROWS_PER_TASK, FittedModel, assembler, fixed_layout,
+    KMEANS_LAYOUT, FittedModel, assembler, fixed_layout,
 )
 from keepwell.operators.quantiles import exact_quantiles
 from keepwell.operators.validate import AccountTableError
@@ -53,7 +53,7 @@ def _exact_model(centroids) -> KMeansModel:
 def _scaled(features: DataFrame):
     """(fitted scaler, cached scaled columns): the rows themselves are only
     cached until the scaler is fitted and the columns are stored."""
-    with fixed_layout(features.select(C.ID, *C.SEGMENT_FEATURES), KMEANS_ROWS_PER_TASK) as rows:
+    with fixed_layout(features.select(C.ID, *C.SEGMENT_FEATURES), KMEANS_LAYOUT) as rows:
         scaler = scaler_pipeline().fit(rows)
         values = vector_to_array("segment_features")
         points = scaler.transform(rows).select(*[values[i].alias(c) for i, c in enumerate(SCALED)]).persist()
