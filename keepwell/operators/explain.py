@@ -145,14 +145,22 @@ def forest_nodes(path: str) -> DataFrame:
 
 def forest_walk(x: np.ndarray, forest: Forest) -> np.ndarray:
     """Score of every row: the values of the leaves whose paths it meets."""
-    out, alive = np.zeros(len(x)), np.ones((len(x), forest.trees), bool)
-    for e in forest.levels:
-        part = x[:, e.feature]
-        alive = alive[:, e.parent] & (part > e.low) & (part <= e.high)
-        out += alive @ e.value
+    out = np.zeros(len(x))
+    rows = _rows_at_once(forest)
+    for at in range(0, len(x), rows):
+        part = x[at:at + rows]
+        alive = np.ones((len(part), forest.trees), bool)
+        for e in forest.levels:
+            asked = part[:, e.feature]
+            alive = alive[:, e.parent] & (asked > e.low) & (asked <= e.high)
+            out[at:at + rows] += alive @ e.value
     return out
 
 
+def _rows_at_once(forest: Forest) -> int:
+    return max(1, _CELLS // max((len(e.parent) for e in forest.levels), default=1))
+
+
 def walked_scores(model: FittedModel, df: DataFrame, scratch: str) -> DataFrame:
     """(id, walked) for every row, from the stored nodes instead of the model."""
     forest, inputs, key = forest_paths(model, scratch), list(model.inputs), C.ID
@@ -207,7 +215,7 @@ def shapley_values(x: np.ndarray, forest: Forest) -> np.ndarray:
         return out
     nodes, weights = np.polynomial.legendre.leggauss((len(forest.levels) + 1) // 2)
     tables = [[_three_ways(e, forest.levels, (t + 1) / 2) for e in forest.levels] for t in nodes]
-    rows = max(1, _CELLS // max(len(e.parent) for e in forest.levels))
+    rows = _rows_at_once(forest)
     for at in range(0, len(x), rows):
         part, met, state = x[at:at + rows], [], []
         for e in forest.levels:
