@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keepwell.operators.lloyd import matrix, squared_distances
+from keepwell.operators.lloyd import matrix
 from keepwell.operators.ordering import ordered_layout
 from keepwell.session import materialise, shuffle_partitions
 
@@ -27,7 +28,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Points of one broadcast; at three coordinates about 20 MB.
 STRIPE_POINTS = 500_000
-_TILE = 2_000_000          # distances held at once
+# Distances held at once, 0.5 MB: they are gone over nine times.
+_TILE_ROWS, _TILE_POINTS = 64, 1_024
 
 
 def _distinct(points: DataFrame, features: list[str], clusters: list[str]) -> DataFrame:
@@ -46,20 +48,62 @@ def _cluster_sizes(distinct: DataFrame, clusters: int) -> list[dict[int, int]]:
     return out
 
 
-def _stripe_sums(points: DataFrame, xs: list[str], stripe: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """Adds to ``sums`` the distances to a stripe: (coordinates, weight of every
-    point in every cluster of every clustering)."""
-    shared = points.sparkSession.sparkContext.broadcast(stripe)
+@dataclass(frozen=True)
+class Stripe:
+    """Points in the order of their groups; a group is the points that agree in all
+    clusterings, and ``columns`` names the sums of the groups it counts in."""
+    coordinates: np.ndarray        # one row per coordinate
+    weight: np.ndarray
+    group: np.ndarray
+    columns: np.ndarray            # a row per group, a column per clustering
+
+    @staticmethod
+    def of(points: np.ndarray, weight: np.ndarray, columns: np.ndarray) -> "Stripe":
+        named, group = np.unique(columns, axis=0, return_inverse=True)
+        order = np.argsort(group.ravel(), kind="stable")
+        return Stripe(np.ascontiguousarray(points[order].T), weight[order], group.ravel()[order], named)
+
+
+def distance_sums(x: np.ndarray, stripe: Stripe, width: int) -> np.ndarray:
+    """Per row of ``x`` and column the weighted sum of distances to the stripe's
+    points. Tiles of the distances stay in the processor's cache, and a tile is
+    summed up by the few groups it meets."""
+    got = np.zeros((len(x), width))
+    whole, part = np.empty((2, _TILE_ROWS, _TILE_POINTS))
+    for first in range(0, len(stripe.weight), _TILE_POINTS):
+        tile = slice(first, first + _TILE_POINTS)
+        others, group = stripe.coordinates[:, tile], stripe.group[tile]
+        n = len(group)
+        met = stripe.columns[group[0]:group[-1] + 1]
+        by_group = np.zeros((n, len(met)))
+        by_group[np.arange(n), group - group[0]] = stripe.weight[tile]
+        counts_in = np.zeros((len(met), width))
+        counts_in[np.arange(len(met))[:, None], met] = 1.0
+        if len(met) > width:
+            by_group, counts_in = by_group @ counts_in, np.eye(width)
+        for at in range(0, len(x), _TILE_ROWS):
+            rows = x[at:at + _TILE_ROWS]
+            far, step = whole[:len(rows), :n], part[:len(rows), :n]
+            np.subtract(rows[:, 0, None], others[0], out=far)
+            np.multiply(far, far, out=far)
+            for j in range(1, len(others)):
+                np.subtract(rows[:, j, None], others[j], out=step)
+                np.multiply(step, step, out=step)
+                np.add(far, step, out=far)
+            np.sqrt(far, out=far)
+            got[at:at + len(rows)] += far @ by_group @ counts_in
+    return got
+
+
+def _stripe_sums(points: DataFrame, xs: list[str], stripe: Stripe, width: int) -> DataFrame:
+    """Adds to ``sums`` the distances to a stripe."""
+    shared = points.sparkSession.sparkContext.broadcast(tuple(vars(stripe).values()))
     names = points.columns
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        others, weight = shared.value
-        tall = max(1, _TILE // max(1, len(others)))
+        others = Stripe(*shared.value)
         for batch in batches:
-            x = matrix(batch, xs)
-            got = np.zeros((len(x), weight.shape[1]))
-            for at in range(0, len(x), tall):
-                got[at:at + tall] = np.sqrt(squared_distances(x[at:at + tall], others)) @ weight
+            got = distance_sums(matrix(batch, xs), others, width)
             before = batch.column("sums")
             flat = before.flatten().to_numpy(zero_copy_only=False).reshape(got.shape)
             total = pa.FixedSizeListArray.from_arrays(pa.array((flat + got).ravel()), got.shape[1])
@@ -91,7 +135,7 @@ def euclidean_silhouettes(points: DataFrame, features: list[str], clusters: list
     now = distinct.withColumn("sums", F.array_repeat(F.lit(0.0), len(column)))
     now = now.repartition(shuffle_partitions(spark), *xs, *cs)
     for stripe in _stripes(distinct, xs, cs, column, stripe_points):
-        now = materialise(_stripe_sums(now, xs, stripe))
+        now = materialise(_stripe_sums(now, xs, stripe, len(column)))
     values = [_value(i, found, column) for i, found in enumerate(sizes)]
     rows = now.agg(*[(F.sum(v * F.col("n")) / F.sum("n")).alias(f"v{i}") for i, v in enumerate(values)])
     return rows.select(F.inline(F.array(*[
@@ -99,7 +143,7 @@ def euclidean_silhouettes(points: DataFrame, features: list[str], clusters: list
 
 
 def _stripes(distinct: DataFrame, xs: list[str], cs: list[str], column: dict,
-             size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+             size: int) -> Iterator[Stripe]:
     """The distinct points in pieces of at most ``size``, one on the driver at a
     time: whole ranges of the stored order where they fit, else slices of one."""
     ranges = {r["_range"]: r["n"] for r in distinct.groupBy("_range").agg(F.count("*").alias("n")).collect()}
@@ -118,12 +162,9 @@ def _stripes(distinct: DataFrame, xs: list[str], cs: list[str], column: dict,
         pieces.append(F.col("_range").isin(open_ranges))
     for where in pieces:
         table = distinct.where(where).select(*xs, *cs, "n").toArrow()
-        weight = np.zeros((table.num_rows, len(column)))
         n = table.column("n").to_numpy().astype(float)
-        for i, c in enumerate(cs):
-            at = [column[i, v] for v in table.column(c).to_pylist()]
-            weight[np.arange(len(at)), at] = n
-        yield np.stack([table.column(x).to_numpy() for x in xs], axis=1), weight
+        columns = np.stack([[column[i, v] for v in table.column(c).to_pylist()] for i, c in enumerate(cs)], axis=1)
+        yield Stripe.of(np.stack([table.column(x).to_numpy() for x in xs], axis=1), n, columns)
 
 
 def _value(i: int, sizes: dict, column: dict):

@@ -1,11 +1,13 @@
 """Batched k-means and the Euclidean silhouette against brute force."""
 
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from keepwell.operators import lloyd
-from keepwell.operators.distances import euclidean_silhouettes
+from keepwell.operators.distances import Stripe, distance_sums, euclidean_silhouettes
 from keepwell.operators.segments import _exact_model
 
 XY = ["x", "y"]
@@ -107,3 +109,21 @@ def test_euclidean_silhouette_equals_brute_force(spark, stripe):
 def test_euclidean_silhouette_of_nothing(spark):
     df = table(spark, np.ones((5, 2)), c=np.zeros(5)).where(F.lit(False))
     assert euclidean_silhouettes(df, XY, ["c"]).first().silhouette is None
+
+
+def test_distance_sums_hold_one_tile_at_a_time():
+    """Tiles of few and of many groups, rows and points over several tiles."""
+    rng = np.random.default_rng(4)
+    x, points = rng.normal(size=(150, 3)), rng.normal(size=(40_000, 3))
+    weight = rng.integers(1, 5, len(points)).astype(float)
+    far = np.sqrt(((x[:, None] - points[None]) ** 2).sum(axis=2)) * weight
+    for kinds in (1, 2, 9, 30):
+        columns = np.stack([rng.integers(kinds, size=len(points)), kinds + rng.integers(kinds, size=len(points))], axis=1)
+        want = np.stack([far[:, (columns == c).any(axis=1)].sum(axis=1) for c in range(2 * kinds)], axis=1)
+        stripe = Stripe.of(points, weight, columns)
+        tracemalloc.start()
+        got = distance_sums(x, stripe, 2 * kinds)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert np.allclose(got, want, rtol=1e-12)
+        assert peak < 5_000_000                   # a row of all distances alone has 0.3 MB, all have 48
