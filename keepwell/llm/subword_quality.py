@@ -96,6 +96,16 @@ class Model:
         return z / z.sum(axis=1, keepdims=True)
 
 
+def _counted(text: str | None, bits: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """(buckets, times of each, features) of a text. All rows of the sample stand in
+    the driver, so a bucket has four bytes and its times four: shares are taken a
+    mini-batch at a time."""
+    data, offsets = text_bytes(pa.array([text], pa.string()))
+    bucket = np.concatenate([np.zeros(0, np.uint32), *[b for _, b in features(data, offsets, bits)]])
+    used, times = np.unique(bucket, return_counts=True)
+    return used.astype(np.uint32), times.astype(np.uint32), max(1, len(bucket))
+
+
 def fit_rows(texts: list[str | None], labels: list[int], settings: Settings = Settings()) -> Model:
     """Mini-batch SGD with a rate that falls to zero, as in one-hidden-layer
     bag-of-subwords models."""
@@ -103,12 +113,7 @@ def fit_rows(texts: list[str | None], labels: list[int], settings: Settings = Se
     if len(classes) < 2:
         raise ValueError("a quality classifier needs labelled rows of two classes")
     bits, width = settings.bucket_bits, settings.dimensions
-    rows = []
-    for text in texts:
-        data, offsets = text_bytes(pa.array([text], pa.string()))
-        bucket = np.concatenate([b for _, b in features(data, offsets, bits)] or [[]]).astype(np.int64)
-        used, times = np.unique(bucket, return_counts=True)
-        rows.append((used, times / max(1, len(bucket))))
+    rows = [_counted(text, bits) for text in texts]
     rng = np.random.default_rng(settings.seed)
     embedding = rng.uniform(-1 / width, 1 / width, (1 << bits, width))
     output, bias = np.zeros((width, len(classes))), np.zeros(len(classes))
@@ -121,7 +126,8 @@ def fit_rows(texts: list[str | None], labels: list[int], settings: Settings = Se
             chosen = order[at:at + settings.batch]
             rate = settings.rate * (1 - done / steps)
             done += 1
-            used, times = (np.concatenate([rows[k][i] for k in chosen]) for i in (0, 1))
+            used = np.concatenate([rows[k][0] for k in chosen])
+            times = np.concatenate([rows[k][1] / rows[k][2] for k in chosen])
             doc = np.repeat(np.arange(len(chosen)), [len(rows[k][0]) for k in chosen])
             vectors = embedding[used]
             edge = np.searchsorted(doc, np.arange(len(chosen) + 1))
