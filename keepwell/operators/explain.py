@@ -10,7 +10,7 @@ Arrow batches. A leaf with value v whose path asks the features P gives feature
 where hit_i tells whether the row meets the path's conditions on i and share_i is
 the fraction of training weight that does. The integrand is a polynomial of degree
 |P|-1, so Gauss-Legendre nodes give it exactly. Leaves share their paths, so the
-products are carried down the trees once, level by level for all trees together,
+products are carried down a tree once, level by level for many rows together,
 the sums of leaf terms are carried up again, and every edge adds its feature's
 part; an edge that asks a feature again takes the place of the earlier one. The
 edge table handed to the tasks is bounded by trees * 2^depth, whatever the data.
@@ -37,6 +37,7 @@ from keepwell.session import shuffle_partitions
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _CELLS = 500_000           # rows times edges of a level held at once
+_TILE_CELLS = 200_000      # rows times edges of a tree's level times nodes of the integral
 
 
 def logistic_contributions(model: FittedModel, df: DataFrame) -> DataFrame:
@@ -208,49 +209,98 @@ def _three_ways(e: Edges, levels: list[Edges], t: float) -> tuple[np.ndarray, np
             np.stack([neg - neg_earlier, neg - pos_earlier, pos - pos_earlier]))
 
 
-def shapley_values(x: np.ndarray, forest: Forest) -> np.ndarray:
-    """Contributions of every feature for every row of ``x``."""
-    out = np.zeros(x.shape)
-    if not forest.levels:
-        return out
-    nodes, weights = np.polynomial.legendre.leggauss((len(forest.levels) + 1) // 2)
-    tables = [[_three_ways(e, forest.levels, (t + 1) / 2) for e in forest.levels] for t in nodes]
-    rows = _rows_at_once(forest)
-    for at in range(0, len(x), rows):
-        part, met, state = x[at:at + rows], [], []
-        for e in forest.levels:
-            met.append((part[:, e.feature] > e.low) & (part[:, e.feature] <= e.high))
-            before = np.ones_like(met[-1])
-            for k in np.unique(e.earlier[e.earlier[:, 0] >= 0, 0]):
-                asked = e.earlier[:, 0] == k
-                before[:, asked] = met[k][:, e.earlier[asked, 1]]
-            state.append((met[-1], before))
-        for t, weight in enumerate(weights):
-            out[at:at + rows] += weight / 2 * _one_node(part, forest, tables[t], state)
-    return out
+def _single_trees(forest: Forest) -> Iterator[Forest]:
+    """The same edges tree by tree, numbered anew."""
+    trees, tree_of = [], np.arange(forest.trees)
+    for e in forest.levels:
+        tree_of = tree_of[e.parent]
+        trees.append(tree_of)
+    for t in range(forest.trees):
+        levels, number = [], []                # number: of an edge of the forest in its tree
+        for e, tree in zip(forest.levels, trees):
+            own = np.flatnonzero(tree == t)
+            if not len(own):
+                break
+            parent = number[-1][e.parent[own]] if number else np.zeros(len(own), int)
+            number.append(np.zeros(len(tree), int))
+            number[-1][own] = np.arange(len(own))
+            earlier = e.earlier[own]
+            for k in range(len(levels)):
+                asked = earlier[:, 0] == k
+                earlier[asked, 1] = number[k][earlier[asked, 1]]
+            levels.append(Edges(parent, *(getattr(e, f)[own] for f in ("feature", "low", "high", "share")),
+                                earlier, e.value[own]))
+        yield Forest(levels, 1)
 
 
-def _one_node(x: np.ndarray, forest: Forest, tables: list, state: list) -> np.ndarray:
-    product, products = np.ones((len(x), forest.trees)), []
-    for e, (factor, _), (met, before) in zip(forest.levels, tables, state):
-        product = product[:, e.parent] * np.where(met, factor[2], np.where(before, factor[1], factor[0]))
+def shapley_values(x: np.ndarray, forest: Forest) -> np.ndarray:
+    """Contributions of every feature for every row of ``x``, tree by tree and
+    as many rows at a time as leave the arrays of a level in the processor's cache."""
+    out = np.zeros(x.shape[::-1])
+    columns = np.ascontiguousarray(x.T)
+    for tree in _single_trees(forest):
+        if not tree.levels:
+            continue
+        nodes, weights = np.polynomial.legendre.leggauss((len(tree.levels) + 1) // 2)
+        steps = [_Step.of(e, tree.levels, (nodes + 1) / 2, weights / 2) for e in tree.levels]
+        rows = max(1, _TILE_CELLS // (len(nodes) * max(len(e.parent) for e in tree.levels)))
+        for at in range(0, len(x), rows):
+            _add_tree(out[:, at:at + rows], columns[:, at:at + rows], steps)
+    return np.ascontiguousarray(out.T)
+
+
+@dataclass(frozen=True)
+class _Step:
+    """A level of one tree: per edge and way, in this order, the ``factor`` and
+    ``part`` at all nodes of the integral, the latter times the nodes' weights."""
+    edges: Edges
+    factor: np.ndarray
+    part: np.ndarray
+    earlier: list[tuple]           # (level, edges here, the edges there)
+    feature_start: np.ndarray
+    pairs: np.ndarray              # both children of a parent next to each other
+
+    @staticmethod
+    def of(e: Edges, levels: list[Edges], at: np.ndarray, weights: np.ndarray) -> "_Step":
+        ways = [_three_ways(e, levels, t) for t in at]
+        factor, part = (np.stack([w[i] for w in ways], axis=-1).swapaxes(0, 1).reshape(-1, len(at)) for i in (0, 1))
+        earlier = []
+        for k in np.unique(e.earlier[e.earlier[:, 0] >= 0, 0]):
+            asked = np.flatnonzero(e.earlier[:, 0] == k)
+            earlier.append((k, asked, e.earlier[asked, 1]))
+        return _Step(e, factor, part * weights, earlier, np.flatnonzero(np.diff(e.feature, prepend=-1)),
+                     np.argsort(e.parent, kind="stable"))
+
+
+def _add_tree(out: np.ndarray, x: np.ndarray, steps: list[_Step]) -> None:
+    """Adds a tree's contributions; ``out`` and ``x`` have a row per feature."""
+    product = np.ones((1, x.shape[1], steps[0].factor.shape[1]))
+    hits, ways, products = [], [], []
+    for step in steps:
+        e, asked = step.edges, x[step.edges.feature]
+        met = (asked > e.low[:, None]) & (asked <= e.high[:, None])
+        # Who meets an edge has met the earlier one of its feature.
+        way = (3 * np.arange(len(met)) + 1)[:, None] + met
+        for k, here, there in step.earlier:
+            way[here] -= ~hits[k][there]
+        product = product.take(e.parent, axis=0)
+        product *= step.factor.take(way, axis=0, mode="clip")
+        hits.append(met)
+        ways.append(way)
         products.append(product)
-    out, below = np.zeros(x.shape), None
-    for k in range(len(forest.levels) - 1, -1, -1):
-        e, (_, part), (met, before) = forest.levels[k], tables[k], state[k]
-        sums = products[k] * e.value
+    below = None
+    for k in range(len(steps) - 1, -1, -1):
+        step, sums = steps[k], products[k]
+        sums *= step.edges.value[:, None, None]
         if below is not None:
-            sums += below
-        gain = sums * np.where(met, part[2], np.where(before, part[1], part[0]))
-        start = np.flatnonzero(np.diff(e.feature, prepend=-1))
-        out[:, e.feature[start]] += np.add.reduceat(gain, start, axis=1)
-        if k:
-            # Both children of a parent are edges of this level.
-            by_parent = np.argsort(e.parent, kind="stable")
-            parents = e.parent[by_parent[::2]]
-            below = np.zeros((len(x), len(forest.levels[k - 1].parent)))
-            below[:, parents] = sums[:, by_parent[::2]] + sums[:, by_parent[1::2]]
-    return out
+            inner, leaf_sums = below
+            sums[inner] += leaf_sums
+        gain = step.part.take(ways[k], axis=0, mode="clip")
+        gain *= sums
+        gain = gain @ np.ones(gain.shape[2])
+        out[step.edges.feature[step.feature_start]] += np.add.reduceat(gain, step.feature_start, axis=0)
+        # Both children of a parent are edges of this level.
+        below = step.edges.parent[step.pairs[::2]], sums[step.pairs[::2]] + sums[step.pairs[1::2]]
 
 
 def forest_contributions(model: FittedModel, df: DataFrame, scratch: str) -> DataFrame:
