@@ -7,18 +7,13 @@ from functools import wraps
 from pyspark.sql import functions as F
 
 from keepwell.llm import line_dedup, minhash_groups, subword_quality, suffix_matches
-from keepwell.llm.queries import QUALITY_THRESHOLD, encoding_digests, load, quality_model
-
-
-#: Bytes of one Arrow batch. Texts are long: the usual 10,000 rows of a batch would
-#: stand in the executor and in its Python workers at once, some of them several times.
-BATCH_BYTES = 8_000_000
+from keepwell.llm.queries import QUALITY_THRESHOLD, bound_batches, encoding_digests, load, quality_model
 
 
 def _bounded(stage):
     @wraps(stage)
     def run(spark, docs, sf_dir):
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+        bound_batches(spark)
         return stage(spark, docs, sf_dir)
     return run
 
