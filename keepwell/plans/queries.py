@@ -727,12 +727,13 @@ def q_score_acceptance(spark, sf):
 
 
 def q_stream_scoring(spark, sf):
-    """The same through a stream: a file source read in several batches, one
+    """The same through a stream: a file source read in three batches, one
     sink for scores and one for rejects, put together again."""
     root = f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
-    raw(spark, sf).repartition(3).write.parquet(f"{root}/in")
+    files = -(-spark.sparkContext.defaultParallelism // 3)      # of a batch: all cores write
+    raw(spark, sf).repartition(3 * files).write.parquet(f"{root}/in")
     schema = spark.read.parquet(f"{root}/in").schema
-    stream = account_stream(spark, f"{root}/in", schema=schema, files_per_trigger=1)
+    stream = account_stream(spark, f"{root}/in", schema=schema, files_per_trigger=files)
     score_stream(stream, fitted.bundle(spark, sf), f"{root}/scores", f"{root}/rejects",
                  f"{root}/state").awaitTermination()
     good, bad = spark.read.parquet(f"{root}/scores"), spark.read.parquet(f"{root}/rejects")

@@ -18,6 +18,9 @@ from keepwell import contract as C
 from keepwell.operators.score import OUTPUTS, Bundle, score_records
 from keepwell.operators.versions import CurrentBundle
 
+# Parts of a micro-batch per core that are taken as they come.
+_PARTS_A_CORE = 4
+
 
 def account_stream(spark: SparkSession, path: str, schema=C.ACCOUNT_SCHEMA,
                    fmt: str = "parquet", files_per_trigger: int | None = None) -> DataFrame:
@@ -30,10 +33,14 @@ def account_stream(spark: SparkSession, path: str, schema=C.ACCOUNT_SCHEMA,
 
 
 def spread(batch: DataFrame) -> DataFrame:
-    """A micro-batch in one task per core at least. It comes with a task per file or
-    so, and scoring a record costs far more than sending it."""
+    """A micro-batch in one task per core at least, all with rows. A file comes in
+    about as many parts as there are cores, but these are ranges of bytes, and all rows
+    of a row group are in the part that holds its middle. So the number of parts says
+    little unless it is several times that of the cores, and scoring a record costs far
+    more than sending it."""
     cores = batch.sparkSession.sparkContext.defaultParallelism
-    return batch if batch.rdd.getNumPartitions() >= cores else batch.repartition(cores)
+    parts = batch.rdd.getNumPartitions()
+    return batch if parts >= _PARTS_A_CORE * cores else batch.repartition(max(cores, parts))
 
 
 def score_stream(records: DataFrame, bundle: Bundle | CurrentBundle, out_path: str, reject_path: str,
